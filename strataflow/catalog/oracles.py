@@ -386,7 +386,7 @@ def oracle_sql() -> dict[str, str]:
             group by ts having count(*) > 1"""),
         "gold_replace_partition": _with(f"""select {_GOLD} from (select * replace (
             case when summary_date in ('1998-03-01', '1998-03-02') then avg_fare + 1 else avg_fare end as avg_fare)
-            from gold where summary_date <> '1998-03-03')"""),
+            from gold where summary_date <> '1998-04-03')"""),
         "gold_layout": _with(f"select {_GOLD} from gold"),
         "layer_counts": _with("""select
             (select count(*) from trips where taxi_type = 'yellow' and year(pickup) = 1999) as bronze_yellow_rows,

@@ -240,13 +240,13 @@ def bronze_append(spark, d):
     ).withColumn("puYear", F.col("puYear").cast("bigint"))
 
 
-def _upserted(spark, target, source, keys, partition_col, schema) -> DataFrame:
+def _upserted(spark, target, source, keys, date_col, schema) -> DataFrame:
     """Load the target, upsert the source twice, read the table back."""
     path = new_path(spark, "upserted")
-    sinks.write_upsert(path, target, keys, partition_col)
-    sinks.write_upsert(path, source, keys, partition_col)
-    sinks.write_upsert(path, source, keys, partition_col)
-    return spark.read.schema(schema).parquet(path)
+    sinks.write_upsert(path, target, keys, date_col)
+    sinks.write_upsert(path, source, keys, date_col)
+    sinks.write_upsert(path, source, keys, date_col)
+    return spark.read.schema(sinks.monthly(schema)).parquet(path).drop(sinks.MONTH)
 
 
 @query
@@ -282,7 +282,7 @@ def merge_conflicts(spark, d):
     return _shown(sinks.duplicate_keys(weather_silver(spark, d), ["weather_ts"]))
 
 
-REPLACED_DATES = ("1998-03-01", "1998-03-02", "1998-03-03")
+REPLACED_DATES = ("1998-03-01", "1998-03-02", "1998-04-03")
 
 
 @query
@@ -295,7 +295,7 @@ def gold_replace_partition(spark, d):
     rebuilt = summary.where(F.col("summary_date").isin(*REPLACED_DATES[:2])).withColumn(
         "avg_fare", F.col("avg_fare") + 1)
     sinks.replace_dates(path, rebuilt, REPLACED_DATES)
-    return _shown(spark.read.schema(contracts.GOLD_DAILY).parquet(path))
+    return _shown(spark.read.schema(sinks.monthly(contracts.GOLD_DAILY)).parquet(path).drop(sinks.MONTH))
 
 
 @query

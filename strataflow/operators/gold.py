@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.operators.clean import run_time
+from strataflow.operators.sinks import MONTH
 from strataflow.sources.contracts import GOLD_DAILY
 
 
 def _on_dates(df: DataFrame, column: str, dates: Sequence[str] | None) -> DataFrame:
-    return df if dates is None else df.where(F.col(column).isin(list(dates)))
+    """The given dates; a table split by month also skips its other months."""
+    if dates is None:
+        return df
+    if MONTH in df.columns:
+        df = df.where(F.col(MONTH).isin(sorted({day[:7] for day in dates})))
+    return df.where(F.col(column).isin(list(dates)))
 
 
 def trip_daily(trips: DataFrame, dates: Sequence[str] | None = None) -> DataFrame:

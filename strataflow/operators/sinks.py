@@ -19,8 +19,12 @@ from pyspark.sql import types as T
 from strataflow.sources.reading import IngestionError
 from strataflow.storage import is_missing_path, materialize
 
-# An upsert that touches more day partitions than this rewrites the table unpruned.
-MAX_PRUNED_PARTITIONS = 20_000
+# Directory column of upserted tables. Months match the slices a run ingests and stay few;
+# days are found inside by the files' min/max statistics.
+MONTH = "_month"
+
+# An upsert that touches more months than this rewrites the table unpruned.
+MAX_PRUNED_MONTHS = 10_000
 
 
 class MergeConflict(RuntimeError):
@@ -69,16 +73,29 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return target.join(source_keys, same, "left_anti").unionByName(source)
 
 
-def _rebalanced(df: DataFrame, partition_col: str) -> DataFrame:
-    """Few files per partition directory; AQE splits a partition that is too large for a task."""
-    return df.hint("rebalance", F.col(partition_col))
+def monthly(schema: T.StructType) -> T.StructType:
+    """A table's contract plus its directory column."""
+    return T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+
+
+def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by ``columns``: tight min/max statistics per file.
+
+    A full key as ``columns`` lets a hot date spread over several files.
+    """
+    by = [F.col(c) for c in columns]
+    ranged = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(*by)
 
 
-def _replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+def _replace_months(df: DataFrame, path: str, date_col: str, cluster_by: Sequence[str]) -> None:
+    """Overwrite the months ``df`` has rows of; inside, rows are clustered by date and key."""
     (
-        df.write.mode("overwrite")
+        clustered(df, [date_col, *(c for c in cluster_by if c != date_col)])
+        .withColumn(MONTH, F.left(F.col(date_col), F.lit(7)))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
+        .partitionBy(MONTH)
         .parquet(path)
     )
 
@@ -92,37 +109,30 @@ def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         raise IngestionError(f"Cannot read table {path!r}: {error}") from error
 
 
-def write_upsert(path: str, source: DataFrame, keys: Sequence[str], partition_col: str) -> int:
-    """Upsert into a partitioned table, rewriting only partitions the source touches.
+def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: str) -> int:
+    """Upsert into a table split by month of ``date_col``; only touched months are rewritten.
 
-    ``partition_col`` must be a function of the key (a trip key contains its pickup time),
-    so a match can only lie in the same partition. Source and merged rows are written to
-    the shared folder before the target changes. Returns the number of source rows.
+    ``date_col`` must be a function of the key (a trip key contains its pickup time), so a
+    match can only lie in the same month. Source and merged rows are written to the shared
+    folder before the target changes. Returns the number of source rows.
     """
     spark = source.sparkSession
     staged = materialize(source, "upsert_source")
     check_unique(staged, keys)
 
-    target = _read_if_exists(spark, path, staged.schema)
+    target = _read_if_exists(spark, path, monthly(staged.schema))
     if target is None:
-        _replace_partitions(_rebalanced(staged, partition_col), path, partition_col)
+        _replace_months(staged, path, date_col, keys)
     else:
-        # Partition values only (days).
-        days = staged.select(partition_col).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()
-        if len(days) <= MAX_PRUNED_PARTITIONS:
-            target = target.where(F.col(partition_col).isin([day[0] for day in days]))
-        merged = materialize(upsert(target, staged, keys), "upsert_merged")
-        _replace_partitions(_rebalanced(merged, partition_col), path, partition_col)
+        month = F.left(F.col(date_col), F.lit(7))
+        months = [row[0] for row in staged.select(month).distinct().limit(MAX_PRUNED_MONTHS + 1).collect()]
+        if len(months) <= MAX_PRUNED_MONTHS:
+            target = target.where(F.col(MONTH).isin(months))
+        merged = materialize(upsert(target.drop(MONTH), staged, keys), "upsert_merged")
+        _replace_months(merged, path, date_col, keys)
     return written_rows(staged)
 
 
-def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
-    """Rows range-partitioned and sorted by ``columns``: tight min/max statistics per file."""
-    by = [F.col(c) for c in columns]
-    ranged = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
-    return ranged.sortWithinPartitions(*by)
-
-
 def _inside(dates: Sequence[str], column: str) -> Column:
     """True for rows of the given dates; fails the job for any other row."""
     message = F.concat(F.lit("row outside the replaced dates: "), F.coalesce(F.col(column), F.lit("NULL")))
@@ -143,20 +153,24 @@ def replace_dates(
     anything is replaced.
     """
     spark = df.sparkSession
-    staged = materialize(df.where(_inside(dates, column)), "replaced_dates")
-    filled = _dates_in(staged, column)
-    if filled:
-        _replace_partitions(clustered(staged, [column, *cluster_by]), path, column)
-
-    # Dynamic overwrite leaves a date without new rows as it was: write zero rows over it.
-    target = _read_if_exists(spark, path, df.schema)
+    new = staged = materialize(df.where(_inside(dates, column)), "replaced_dates")
+    months = {day[:7] for day in dates}
+    present: set[str] = set()
+    target = _read_if_exists(spark, path, monthly(df.schema))
     if target is not None:
-        for day in sorted(_dates_in(target.where(F.col(column).isin(list(dates))), column) - filled):
-            empty = target.drop(column).where("false")
-            empty.write.mode("overwrite").parquet(f"{path}/{column}={day}")
+        old = target.where(F.col(MONTH).isin(sorted(months)))
+        present = _values(old, MONTH)
+        kept = old.where(~F.col(column).isin(list(dates))).drop(MONTH)
+        new = materialize(kept.unionByName(staged), "replaced_months")
+    filled = _values(new.select(F.left(F.col(column), F.lit(7)).alias(MONTH)), MONTH)
+    if filled:
+        _replace_months(new, path, column, cluster_by)
+    # Dynamic overwrite leaves a month without rows as it was: write zero rows over it.
+    for month in sorted(present - filled):
+        new.where("false").write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
     return written_rows(staged)
 
 
-def _dates_in(df: DataFrame, column: str) -> set[str]:
-    """Distinct dates: at most as many as the caller listed."""
+def _values(df: DataFrame, column: str) -> set[str]:
+    """Distinct months among those the caller's dates fall in."""
     return {row[0] for row in df.select(column).distinct().collect()}

@@ -87,7 +87,7 @@ def cleanse_weather(spark: SparkSession, p: JobParams) -> int:
 def check_drift(spark: SparkSession, p: JobParams) -> str:
     """Report and metric tables for the run; a failure is recorded and does not stop the job."""
     try:
-        trips = read_layer(spark, p.root, "silver", "nyctaxi", contracts.SILVER_TRIPS)
+        trips = read_layer(spark, p.root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS))
         samples = drift.drift_input(trips, drift.DRIFT_FEATURES, "pickup_ts", p.reference_year, p.year)
         report = drift.drift_report(samples, drift.DRIFT_FEATURES, p.psi_threshold, p.ks_threshold)
         path = layer_path(p.root, "gold", f"drift_report/run={p.raw_run_id}")
@@ -101,8 +101,8 @@ def check_drift(spark: SparkSession, p: JobParams) -> str:
 
 
 def summarize(spark: SparkSession, p: JobParams) -> int:
-    trips = read_layer(spark, p.root, "silver", "nyctaxi", contracts.SILVER_TRIPS)
-    weather = read_optional(spark, p.root, "silver", "weather", contracts.SILVER_WEATHER)
+    trips = read_layer(spark, p.root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS))
+    weather = read_optional(spark, p.root, "silver", "weather", sinks.monthly(contracts.SILVER_WEATHER))
     summary = gold.gold_daily_summary(trips, weather, p.summary_dates, p.run_ts)
     return sinks.replace_dates(layer_path(p.root, "gold", "daily_trip_summary"), summary, p.summary_dates)
 
