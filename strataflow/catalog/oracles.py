@@ -466,8 +466,8 @@ def oracle_sql() -> dict[str, str]:
         "search_results": _with("""select qid, cast(rank as bigint) as rank, id, text as content,
             round(score, 6) as score, lang, source from hits join documents on doc_id = id"""),
         "rag_context": _with("select qid, question, source_ids, context from contexts"),
-        "rag_messages": _with(f"""select qid, 0 as i, 'system' as role, {_literal(SYSTEM_PROMPT)} as content from contexts
-            union all select qid, 1, 'user', {user} from contexts"""),
+        "rag_messages": _with(f"""select qid, cast(0 as bigint) as i, 'system' as role, {_literal(SYSTEM_PROMPT)} as content from contexts
+            union all select qid, cast(1 as bigint), 'user', {user} from contexts"""),
         "judge_inputs": _with(f"""select qid, {judge[0]} || context || {judge[1]} || question || {judge[2]} ||
             response || chr(10) as judge_input from answers where n_chunks > 0""", terms=CTES["pair_terms"]),
         "eval_parse": _with("""select doc_id, groundedness, relevance, coherence, passed from scored

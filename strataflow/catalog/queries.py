@@ -388,8 +388,15 @@ def dim_date(spark, d):
 # --- drift ---------------------------------------------------------------------------
 
 
+def _two_years(spark: SparkSession, d: str) -> DataFrame:
+    """The compared years, cleansed: rows of one key share the pickup, so slicing first is safe."""
+    rows = tt.trips(spark, d)
+    both = clean.within("pickup", REF_YEAR) | clean.within("pickup", CUR_YEAR)
+    return clean.silver_trips(rows.where(both), tt.ADAPTED_TRIPS, tt.RUN_TS)
+
+
 def _samples(spark: SparkSession, d: str) -> DataFrame:
-    return drift.drift_input(trips_silver(spark, d), FEATURES, "pickup_ts", REF_YEAR, CUR_YEAR)
+    return drift.drift_input(_two_years(spark, d), FEATURES, "pickup_ts", REF_YEAR, CUR_YEAR)
 
 
 def _shifted(spark: SparkSession, d: str) -> DataFrame:
@@ -463,7 +470,7 @@ def drift_report_shifted(spark, d):
 @query
 def drift_by_type(spark, d):
     samples = drift.drift_input(
-        trips_silver(spark, d), FEATURES, "pickup_ts", REF_YEAR, CUR_YEAR, group_by=("taxi_type",))
+        _two_years(spark, d), FEATURES, "pickup_ts", REF_YEAR, CUR_YEAR, group_by=("taxi_type",))
     return _shown(drift.drift_report(samples, group_by=("taxi_type",)))
 
 
@@ -489,11 +496,15 @@ def drift_metrics(spark, d):
 
 
 def _corpus(spark: SparkSession, d: str) -> DataFrame:
-    docs = tt.table(spark, d, "documents").select(
+    return tt.table(spark, d, "documents").select(
         F.col("doc_id").alias("id"), F.col("text").alias("content"), "lang", "source")
+
+
+def _vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Document vectors with their metadata, without the texts."""
     vectors = tt.table(spark, d, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("content_vector"))
-    return docs.join(vectors, "id", "left")
+    return vectors.join(_corpus(spark, d).drop("content"), "id")
 
 
 def _questions(spark: SparkSession, d: str) -> DataFrame:
@@ -524,18 +535,18 @@ def bm25_topk(spark, d):
 
 @query
 def vector_topk(spark, d):
-    return _shown(retrieve.vector_topk(_questions(spark, d), _corpus(spark, d)))
+    return _shown(retrieve.vector_topk(_questions(spark, d), _vectors(spark, d)))
 
 
 @query
 def hybrid_topk(spark, d):
-    return _shown(retrieve.hybrid_topk(_questions(spark, d), _corpus(spark, d)))
+    return _shown(retrieve.hybrid_topk(_questions(spark, d), _corpus(spark, d), _vectors(spark, d)))
 
 
 @query
 def hybrid_filtered(spark, d):
     return _shown(retrieve.hybrid_topk(
-        _questions(spark, d), _corpus(spark, d), where=F.col("lang").isin("en", "fr")))
+        _questions(spark, d), _corpus(spark, d), _vectors(spark, d), where=F.col("lang").isin("en", "fr")))
 
 
 @query

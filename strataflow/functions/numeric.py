@@ -17,9 +17,9 @@ def count_not_above(bounds: Column, value: Column, max_bounds: int) -> Column:
     return F.aggregate(F.array(*(F.lit(s) for s in steps)), F.lit(0), advance)
 
 
-def lerp(low: Column, high: Column, t: Column) -> Column:
-    """Linear interpolation, measured from the nearer end (exact at both ends)."""
-    return F.when(t >= 0.5, high - (high - low) * (1 - t)).otherwise(low + (high - low) * t)
+def lerp(low: str, high: str, t: str) -> str:
+    """SQL text of a linear interpolation, measured from the nearer end (exact at both ends)."""
+    return f"if({t} >= 0.5D, {high} - ({high} - {low}) * (1 - {t}), {low} + ({high} - {low}) * {t})"
 
 
 def ks_pvalue(statistic: Column, n: Column, m: Column, terms: int = 100) -> Column:

@@ -94,7 +94,7 @@ def silver_trips(df: DataFrame, b: TripBinding, run_ts: str | None = None) -> Da
     keyed = filter_quality(df, b).select(
         "*", surrogate_key(b).alias("trip_id"), tag.alias("_tag")
     )
-    unique = dedup_latest(keyed, ["_tag", "trip_id"], b.tie_break, _ingested(df, b.ingested))
+    unique = dedup_latest(keyed, ["trip_id", "_tag"], b.tie_break, _ingested(df, b.ingested))
     return unique.select(
         F.col("trip_id"),
         F.col(b.pickup).alias("pickup_ts"),

@@ -184,25 +184,26 @@ def _shares(n_bins: int) -> list[float]:
     return [float(p) / 100 for p in np.linspace(0, 100, n_bins + 1)]
 
 
-def _order_statistic(rank: Column) -> Column:
+def _order_statistic(rank: str) -> str:
     """Reference value at a 0-based rank: the row whose run of equal values covers it."""
-    covers = (F.col("cum_ref") - F.col("n_ref") <= rank) & (rank < F.col("cum_ref"))
-    return F.max(F.when(covers, F.col("value")))
+    return f"max(case when cum_ref - n_ref <= {rank} and {rank} < cum_ref then value end)"
 
 
 def _quantiles(n_bins: int) -> tuple[list[Column], Column]:
-    """(aggregates finding the neighbouring order statistics, array built from them)."""
+    """(aggregates finding the neighbouring order statistics, array built from them).
+
+    Written as SQL text: three aggregates per quantile would be many single column calls.
+    """
     found, points = [], []
     for i, share in enumerate(_shares(n_bins)):
-        position = (F.col("total_ref") - 1) * F.lit(share)
-        low = F.floor(position)
+        position = f"((total_ref - 1) * {share!r}D)"
         found += [
-            _order_statistic(low).alias(f"_low{i}"),
-            _order_statistic(F.least(low + 1, F.col("total_ref") - 1)).alias(f"_high{i}"),
-            F.max(position - low).alias(f"_t{i}"),
+            F.expr(f"{_order_statistic(f'floor({position})')} as _low{i}"),
+            F.expr(f"{_order_statistic(f'least(floor({position}) + 1, total_ref - 1)')} as _high{i}"),
+            F.expr(f"max({position} - floor({position})) as _t{i}"),
         ]
-        points.append(lerp(F.col(f"_low{i}"), F.col(f"_high{i}"), F.col(f"_t{i}")))
-    return found, F.array(*points)
+        points.append(lerp(f"_low{i}", f"_high{i}", f"_t{i}"))
+    return found, F.expr(f"array({', '.join(points)})")
 
 
 def quantiles(cum: DataFrame, n_bins: int = PSI_BINS, group_by: Sequence[str] = ()) -> DataFrame:
@@ -219,12 +220,10 @@ def quantiles(cum: DataFrame, n_bins: int = PSI_BINS, group_by: Sequence[str] =
 def discrete_quantiles(cum: DataFrame, shares: Sequence[float], group_by: Sequence[str] = ()) -> DataFrame:
     """Smallest reference value with at least the given share of rows at or below it."""
     def at(share: float) -> Column:
-        rank = F.greatest(F.lit(1), F.ceil(F.lit(share) * F.col("total_ref"))) - 1
-        return _order_statistic(rank)
+        rank = f"(greatest(1, ceil({share!r}D * total_ref)) - 1)"
+        return F.expr(f"{_order_statistic(rank)} as p{round(share * 100)}")
 
-    return cum.groupBy(*group_by, "feature").agg(
-        *(at(share).alias(f"p{round(share * 100)}") for share in shares)
-    )
+    return cum.groupBy(*group_by, "feature").agg(*(at(share) for share in shares))
 
 
 def histogram(freq: DataFrame, breaks: DataFrame, n_bins: int = PSI_BINS,

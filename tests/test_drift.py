@@ -1,0 +1,192 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strataflow.functions.numeric import count_not_above, ks_pvalue
+from strataflow.operators import drift
+
+
+def samples(spark, ref, cur, feature="x"):
+    rows = [(feature, "ref", float(v)) for v in ref] + [(feature, "cur", float(v)) for v in cur]
+    return spark.createDataFrame(rows, "feature string, side string, value double")
+
+
+def expected(ref, cur):
+    """The three statistics by direct numpy computation."""
+    ref, cur = np.sort(ref), np.sort(cur)
+    both = np.unique(np.concatenate([ref, cur]))
+    f = np.searchsorted(ref, both, side="right") / len(ref)
+    g = np.searchsorted(cur, both, side="right") / len(cur)
+    gap = np.abs(f - g)
+    edges = np.unique(np.percentile(ref, np.linspace(0, 100, 11)))
+    if len(edges) < 2:
+        psi = 0.0
+    else:
+        a, b = np.histogram(ref, edges)[0], np.histogram(cur, edges)[0]
+        with np.errstate(invalid="ignore"):
+            r, c = a / a.sum() + 1e-6, b / b.sum() + 1e-6
+        psi = float(np.sum((c - r) * np.log(c / r)))
+    return psi, float(gap.max()), float(np.sum(gap[:-1] * np.diff(both)))
+
+
+def one(report):
+    rows = report.collect()
+    assert len(rows) == 1
+    return rows[0]
+
+
+@pytest.mark.parametrize("buckets", [None, 7])
+@pytest.mark.parametrize("case", ["same", "shifted", "scaled", "ties", "tiny"])
+def test_statistics_equal_numpy(spark, rng, case, buckets):
+    ref = rng.normal(0, 1, 700)
+    cur = {"same": ref, "shifted": rng.normal(4, 1, 500), "scaled": ref * 1.35,
+           "ties": np.round(rng.normal(0, 1, 600), 1), "tiny": np.array([0.5])}[case]
+    if case == "ties":
+        ref = np.round(ref, 1)
+    if case == "tiny":
+        ref = np.array([0.0, 1.0, 2.0])
+    got = one(drift.drift_report(samples(spark, ref, cur), buckets=buckets))
+    psi, ks, w1 = expected(ref, cur)
+    assert got["psi"] == pytest.approx(psi, rel=1e-9, abs=1e-12)
+    assert got["ks_statistic"] == pytest.approx(ks, abs=1e-12)
+    assert got["wasserstein"] == pytest.approx(w1, rel=1e-9, abs=1e-12)
+
+
+def test_quantiles_equal_numpy_exactly(spark, rng):
+    ref = np.round(rng.gamma(2.0, 7.0, 997), 2)
+    cum = drift.cumulative(drift.frequency_table(samples(spark, ref, [1.0])), buckets=5)
+    got = drift.quantiles(cum).first()["quantiles"]
+    assert got == list(np.percentile(ref, np.linspace(0, 100, 11)))
+
+
+def test_identical_samples_do_not_drift(spark, rng):
+    data = rng.normal(0, 1, 2000)
+    got = one(drift.drift_report(samples(spark, data, data, "temperature")))
+    assert got["feature"] == "temperature" and got["psi"] < 0.01 and not got["is_drifted"]
+    assert got["ks_statistic"] == 0.0 and got["wasserstein"] == 0.0 and got["ks_p_value"] == 1.0
+
+
+def test_large_shift_drifts(spark, rng):
+    got = one(drift.drift_report(samples(spark, rng.normal(0, 1, 2000), rng.normal(5, 1, 2000))))
+    assert got["psi"] > 0.2 and got["ks_statistic"] > 0.9 and got["wasserstein"] > 4 and got["is_drifted"]
+    assert got["ks_p_value"] < 1e-6
+
+
+def test_constant_reference_has_psi_zero(spark):
+    got = one(drift.drift_report(samples(spark, [1.0] * 100, [1.0] * 100)))
+    assert got["psi"] == 0.0 and got["wasserstein"] == 0.0 and not got["is_drifted"]
+
+
+def test_all_current_values_outside_the_reference_range(spark):
+    got = one(drift.drift_report(samples(spark, range(50), [1000.0] * 5)))
+    assert math.isnan(got["psi"]) and got["ks_statistic"] == 1.0 and got["is_drifted"]
+    score = one(drift.violations(drift.drift_report(samples(spark, range(50), [1000.0] * 5))))
+    assert (score["measure"], score["score"], score["threshold"]) == ("ks_statistic", 1.0, 0.1)
+
+
+def test_nan_psi_alone_is_no_drift(spark):
+    report = drift.drift_report(samples(spark, range(50), [1000.0] * 5), ks_threshold=2.0)
+    assert one(report)["is_drifted"] is False
+
+
+def test_raise_on_drift_names_the_feature(spark, rng):
+    data = samples(spark, rng.normal(0, 1, 300), rng.normal(4, 1, 300), "flow_rate")
+    with pytest.raises(drift.DriftThresholdExceeded, match="flow_rate") as info:
+        drift.drift_report(data, raise_on_drift=True)
+    assert info.value.threshold == 0.2 and info.value.score > 0.2
+
+
+@pytest.mark.parametrize("ref,cur,status,word", [
+    ([], [1.0, 2.0], "empty_reference", "Reference"),
+    ([1.0, 2.0], [], "empty_current", "Current"),
+])
+def test_empty_side(spark, ref, cur, status, word):
+    got = one(drift.drift_report(samples(spark, ref, cur)))
+    assert got["status"] == status and got["psi"] is None and got["is_drifted"] is None
+    with pytest.raises(ValueError, match=word):
+        drift.drift_report(samples(spark, ref, cur), strict=True)
+
+
+def test_listed_feature_without_values_is_reported(spark):
+    report = drift.drift_report(samples(spark, [1.0, 2.0], [1.0]), features=["x", "gone"])
+    assert {r["feature"]: r["status"] for r in report.collect()} == {"x": "ok", "gone": "empty_reference"}
+
+
+def test_input_drops_null_and_nan_and_pools_types(spark):
+    df = spark.sql("""select * from values
+        (timestamp '2022-05-01 00:00:00', 'y', 1d, 9d), (timestamp '2022-06-01 00:00:00', 'g', double('NaN'), 8d),
+        (timestamp '2023-05-01 00:00:00', 'y', null, 7d), (timestamp '2021-05-01 00:00:00', 'y', 3d, 6d)
+        as t(ts, kind, a, b)""")
+    rows = {tuple(r) for r in drift.drift_input(df, ["a", "b"], "ts", 2022, 2023).collect()}
+    assert rows == {("ref", "a", 1.0), ("ref", "b", 9.0), ("ref", "b", 8.0), ("cur", "b", 7.0)}
+    same_year = drift.drift_input(df, ["b"], "ts", 2022, 2022)
+    assert sorted(r["side"] for r in same_year.collect()) == ["cur", "cur", "ref", "ref"]
+
+
+def test_grouped_report_keeps_a_null_group(spark, rng):
+    a = samples(spark, rng.normal(0, 1, 100), rng.normal(0, 1, 100)).withColumn("g", F.lit("a"))
+    b = samples(spark, rng.normal(0, 1, 100), rng.normal(9, 1, 100)).withColumn("g", F.lit(None).cast("string"))
+    report = drift.drift_report(a.unionByName(b), group_by=["g"], buckets=3)
+    assert {r["g"]: r["psi"] is not None for r in report.collect()} == {"a": True, None: True}
+
+
+def test_result_does_not_depend_on_partitions(spark, rng):
+    data = samples(spark, rng.normal(0, 1, 400), rng.normal(0.3, 1, 300))
+    results = []
+    for partitions in ("1", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        r = one(drift.drift_report(data, buckets=4))
+        results.append([round(r[c], 12) for c in ("psi", "ks_statistic", "wasserstein")])
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert results[0] == results[1]
+
+
+def test_symmetry_and_translation(spark, rng):
+    x, y = np.round(rng.normal(0, 1, 300), 3), np.round(rng.normal(0.5, 2, 200), 3)
+    forth, back = (one(drift.drift_report(samples(spark, *p))) for p in ((x, y), (y, x)))
+    assert forth["ks_statistic"] == pytest.approx(back["ks_statistic"], abs=1e-12)
+    moved = one(drift.drift_report(samples(spark, x, x + 2.0)))
+    assert moved["wasserstein"] == pytest.approx(2.0, rel=1e-9)
+
+
+def test_a_value_holding_most_rows(spark):
+    ref, cur = [5.0] * 900 + list(range(100)), [5.0] * 800 + list(range(50))
+    got = one(drift.drift_report(samples(spark, ref, cur), buckets=6))
+    psi, ks, w1 = expected(np.array(ref, float), np.array(cur, float))
+    assert (got["psi"], got["ks_statistic"], got["wasserstein"]) == pytest.approx((psi, ks, w1), abs=1e-9)
+
+
+def test_windows_never_span_a_feature(spark, rng):
+    cum = drift.cumulative(drift.frequency_table(samples(spark, rng.normal(0, 1, 50), [1.0])), buckets=4)
+    plan = cum._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "SinglePartition" not in plan
+
+
+def test_count_not_above(spark):
+    bounds = [1.0, 2.0, 2.0, 5.0, 9.0]
+    df = spark.createDataFrame([(float(v),) for v in (0, 1, 1.5, 2, 4, 9, 10)], "v double").withColumn(
+        "b", F.array(*(F.lit(b) for b in bounds)))
+    got = df.select("v", count_not_above(F.col("b"), F.col("v"), len(bounds)).alias("n")).collect()
+    assert all(r["n"] == sum(b <= r["v"] for b in bounds) for r in got)
+
+
+def test_ks_pvalue_matches_known_quantiles(spark):
+    """Asymptotic critical values: D = c / sqrt(n) with c = 1.358 at 5 %, 1.628 at 1 %."""
+    n = 2_000_000
+    effective = n / 2
+    df = spark.createDataFrame([(c / math.sqrt(effective), n, n) for c in (1.3581, 1.6276, 0.0)], "d double, n long, m long")
+    got = [r[0] for r in df.select(ks_pvalue(F.col("d"), F.col("n"), F.col("m"))).collect()]
+    assert got == pytest.approx([0.05, 0.01, 1.0], abs=2e-4)
+
+
+def test_profile(spark):
+    df = spark.createDataFrame([(float(i), None) for i in range(1, 10)] + [(None, None)], "a double, b double")
+    got = {r["feature"]: r for r in drift.profile(df, ["a", "b"]).collect()}
+    a = got["a"]
+    assert (a["non_null"], a["null_rate"], a["mean"], a["min"], a["max"]) == (9, pytest.approx(0.1), 5.0, 1.0, 9.0)
+    assert (a["p25"], a["p50"], a["p75"]) == (3.0, 5.0, 7.0)
+    assert got["b"]["null_rate"] == 1.0 and got["b"]["p50"] is None
