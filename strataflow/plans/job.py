@@ -58,11 +58,15 @@ class JobParams:
 
 
 def ingest(spark: SparkSession, p: JobParams, name: str) -> int:
-    """Slice, audit, check against the contract, append. Contract violations stop the run."""
+    """Slice, audit, check against the contract, append.
+
+    Rows that break the contract are kept in a quarantine table of their own.
+    """
     cfg = p.sources[name]
     rows = with_audit(slice_source(read_source(spark, cfg), cfg, p.year, p.month), cfg, p.run_ts)
     if cfg.contract is not None:
-        rows, _ = clean.enforce_schema(rows, cfg.contract)
+        rows, broken = clean.enforce_schema(rows, cfg.contract)
+        sinks.append_raw(broken, layer_path(p.root, "bronze", f"{name}_quarantine"), p.raw_run_id)
     return sinks.append_raw(rows, layer_path(p.root, "bronze", name), p.raw_run_id)
 
 
