@@ -12,6 +12,9 @@ BATCH_SIZE = 500
 
 _FILE_GROUPS = 256
 
+# The offset table holds one short row per file; up to this many files it is broadcast.
+MAX_BROADCAST_FILES = 200_000
+
 
 def gold_documents(gold: DataFrame, digits: int = 2) -> DataFrame:
     """One document per daily-summary row: ``id``, a sentence, and its metadata."""
@@ -52,7 +55,7 @@ def assign_batches(spark: SparkSession, path: str, id_col: str = "id", size: int
         F.col("_metadata.row_index").alias("_row"),
     )
     before = _rows_before(rows)
-    if len(spark.read.parquet(path).inputFiles()) <= 10_000:  # one short row per file
+    if len(spark.read.parquet(path).inputFiles()) <= MAX_BROADCAST_FILES:
         before = F.broadcast(before)
     number = F.col("_before") + F.col("_row")
     return rows.join(before, "_file").select(

@@ -109,16 +109,19 @@ def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         raise IngestionError(f"Cannot read table {path!r}: {error}") from error
 
 
-def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: str) -> int:
+def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: str,
+                 source_is_unique: bool = False) -> int:
     """Upsert into a table split by month of ``date_col``; only touched months are rewritten.
 
     ``date_col`` must be a function of the key (a trip key contains its pickup time), so a
     match can only lie in the same month. Source and merged rows are written to the shared
-    folder before the target changes. Returns the number of source rows.
+    folder before the target changes. ``source_is_unique`` skips the duplicate-key check for
+    a source just deduplicated on the keys. Returns the number of source rows.
     """
     spark = source.sparkSession
     staged = materialize(source, "upsert_source")
-    check_unique(staged, keys)
+    if not source_is_unique:
+        check_unique(staged, keys)
 
     target = _read_if_exists(spark, path, monthly(staged.schema))
     if target is None:

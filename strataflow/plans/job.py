@@ -76,7 +76,7 @@ def cleanse_trips(spark: SparkSession, p: JobParams, name: str) -> int:
     sliced = clean.slice_event_time(raw, binding.pickup, p.year, p.month)
     rows = clean.silver_trips(sliced, binding, p.run_ts)
     keys = ["trip_id"] if p.shared_trip_key else ["taxi_type", "trip_id"]
-    return sinks.write_upsert(layer_path(p.root, "silver", "nyctaxi"), rows, keys, "pickup_date")
+    return sinks.write_upsert(layer_path(p.root, "silver", "nyctaxi"), rows, keys, "pickup_date", True)
 
 
 def cleanse_weather(spark: SparkSession, p: JobParams) -> int:
@@ -84,7 +84,7 @@ def cleanse_weather(spark: SparkSession, p: JobParams) -> int:
     raw = read_layer(spark, p.root, "bronze", WEATHER_SOURCE, cfg.contract)
     rows = clean.silver_weather(slice_source(raw, cfg, p.year, p.month), WEATHER, p.run_ts)
     return sinks.write_upsert(
-        layer_path(p.root, "silver", "weather"), rows, ["station_name", "weather_ts"], "weather_date"
+        layer_path(p.root, "silver", "weather"), rows, ["station_name", "weather_ts"], "weather_date", True
     )
 
 

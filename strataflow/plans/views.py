@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.operators.sinks import MONTH
+
 # Dates are ISO strings, so the bound is compared as a string and stays a partition filter.
 _SINCE = "cast(date_sub(to_date(:as_of), {days}) as string)"
 
@@ -53,16 +55,26 @@ def _today(as_of: str | None) -> str:
     return as_of or date.today().isoformat()
 
 
+def _recent(gold: DataFrame, as_of: str, days: int) -> DataFrame:
+    """A table split by month also skips the months before the window."""
+    if MONTH not in gold.columns:
+        return gold
+    first = (date.fromisoformat(as_of) - timedelta(days=days)).isoformat()
+    return gold.where(F.col(MONTH) >= first[:7])
+
+
 def view_daily_trip_summary(gold: DataFrame, as_of: str | None = None, days: int = 90) -> DataFrame:
+    day = _today(as_of)
     return gold.sparkSession.sql(
-        DAILY_TRIP_SUMMARY, args={"as_of": _today(as_of), "days": days}, gold=gold
+        DAILY_TRIP_SUMMARY, args={"as_of": day, "days": days}, gold=_recent(gold, day, days)
     )
 
 
 def view_kpi(gold: DataFrame, as_of: str | None = None, days: int = 7) -> DataFrame:
     """Unweighted means of the daily means, per type and location."""
+    day = _today(as_of)
     return gold.sparkSession.sql(
-        KPI_LAST_DAYS, args={"as_of": _today(as_of), "days": days}, gold=gold
+        KPI_LAST_DAYS, args={"as_of": day, "days": days}, gold=_recent(gold, day, days)
     )
 
 
