@@ -94,7 +94,9 @@ def silver_trips(df: DataFrame, b: TripBinding, run_ts: str | None = None) -> Da
     keyed = filter_quality(df, b).select(
         "*", surrogate_key(b).alias("trip_id"), tag.alias("_tag")
     )
-    unique = dedup_latest(keyed, ["trip_id", "_tag"], b.tie_break, _ingested(df, b.ingested))
+    # The key determines the pickup time; naming it lets filters on dates pass the window.
+    keys = ["trip_id", "_tag", b.pickup]
+    unique = dedup_latest(keyed, keys, b.tie_break, _ingested(df, b.ingested))
     return unique.select(
         F.col("trip_id"),
         F.col(b.pickup).alias("pickup_ts"),
