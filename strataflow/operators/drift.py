@@ -30,6 +30,7 @@ REFERENCE_YEAR = 2022
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 1 << 14
 MAX_BOUNDS_BYTES = 64 << 20
+VALUES_PER_BOUND = 50
 
 
 class DriftThresholdExceeded(RuntimeError):
@@ -84,26 +85,30 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
 
 
 def _bucketed(freq: DataFrame, keys: Sequence[str], buckets: int | None) -> DataFrame:
-    """Add ``bucket``: equal-sized ranges of the distinct values of each feature.
+    """Add ``bucket``: about equal-sized ranges of the distinct values of each feature.
 
     The number of buckets grows with the table, up to what keeps the bounds of all
-    features together small enough to broadcast.
+    features together small enough to broadcast. Bounds only balance the work, so they
+    come from a bounded share of the distinct values, picked by hash; any bounds give the
+    same statistics.
     """
-    wanted = buckets or 1 + freq.count() // ROWS_PER_BUCKET
-    if wanted > 1:
-        groups = max(1, freq.select(*keys).distinct().count())
-        wanted = min(wanted, MAX_BUCKETS, MAX_BOUNDS_BYTES // (8 * groups))
+    rows = freq.count()
+    wanted = buckets or 1 + rows // ROWS_PER_BUCKET
+    groups = max(1, freq.select(*keys).distinct().count()) if wanted > 1 else 1
+    wanted = min(wanted, MAX_BUCKETS, MAX_BOUNDS_BYTES // (8 * groups))
     if wanted <= 1:
         return freq.withColumn("bucket", F.lit(0))
+    keep_one_in = max(1, rows // (groups * wanted * VALUES_PER_BOUND))
+    picked = freq if keep_one_in == 1 else freq.where(F.pmod(F.xxhash64("value"), F.lit(keep_one_in)) == 0)
     shares = [i / wanted for i in range(1, wanted)]
-    accuracy = max(10_000, 20 * wanted)
     # Written, because approximate quantiles may differ when a lost task is computed again.
     bounds = materialize(
-        freq.groupBy(*keys).agg(F.percentile_approx("value", shares, accuracy).alias("bounds")),
+        picked.groupBy(*keys).agg(F.percentile_approx("value", shares, 10 * wanted).alias("bounds")),
         "drift_bounds",
     )
+    # A feature without picked values has no bounds and stays in bucket 0.
     found = count_not_above(F.col("bounds"), F.col("value"), wanted - 1)
-    return _join(freq, F.broadcast(bounds), keys).withColumn("bucket", found).drop("bounds")
+    return _join(freq, F.broadcast(bounds), keys, "left").withColumn("bucket", found).drop("bounds")
 
 
 def cumulative(freq: DataFrame, group_by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:

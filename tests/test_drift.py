@@ -160,6 +160,19 @@ def test_a_value_holding_most_rows(spark):
     assert (got["psi"], got["ks_statistic"], got["wasserstein"]) == pytest.approx((psi, ks, w1), abs=1e-9)
 
 
+def test_sparse_bounds_give_the_same_statistics(spark, rng, monkeypatch):
+    """One picked value per bound; a feature too small to be picked has no bounds at all."""
+    monkeypatch.setattr(drift, "VALUES_PER_BOUND", 1)
+    ref, cur = rng.normal(0, 1, 900), rng.normal(0.2, 1, 800)
+    small = samples(spark, [1.0, 2.0], [2.0, 3.0], "small")
+    report = drift.drift_report(samples(spark, ref, cur).unionByName(small), buckets=8)
+    got = {r["feature"]: r for r in report.collect()}
+    for feature, pair in (("x", (ref, cur)), ("small", (np.array([1.0, 2.0]), np.array([2.0, 3.0])))):
+        psi, ks, w1 = expected(*pair)
+        row = got[feature]
+        assert (row["psi"], row["ks_statistic"], row["wasserstein"]) == pytest.approx((psi, ks, w1), abs=1e-9)
+
+
 def test_windows_never_span_a_feature(spark, rng):
     cum = drift.cumulative(drift.frequency_table(samples(spark, rng.normal(0, 1, 50), [1.0])), buckets=4)
     plan = cum._jdf.queryExecution().executedPlan().toString()
