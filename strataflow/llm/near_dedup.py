@@ -5,9 +5,9 @@ share a long prefix lie next to each other. Two passes over these orders find th
 
 1. Neighbours in each order (longest common prefix) are compared; their links form components.
 2. Regions that still hold several components are searched completely. The depth of a region
-   adapts to its size: a prefix is lengthened until at most ``REGION`` documents share it. A
-   region that stays larger at full depth is compared whole too, but a pair is left out when
-   the shingles that nobody else in such regions has prove that it cannot reach the threshold.
+   adapts to its size: a prefix is lengthened until at most ``REGION`` documents share it, and a
+   region that stays larger at full depth is searched whole too. A pair is left out when the
+   shingles that nobody else in such regions has prove that it cannot reach the threshold.
 
 A pair inside one component needs no comparison, so a group of thousands of copies costs a
 few comparisons per copy, not one per pair. Documents with equal sets are one class and
@@ -268,14 +268,8 @@ def _search(percent: int):
 
 
 def _unshared(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Per document of a crowded region, how many of its shingles no other such document has."""
-    crowded = (
-        rows.groupBy("tree", "hi", "lo")
-        .agg(F.count("*").alias("size"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-        .where((F.col("size") > REGION) & (F.col("c0") < F.col("c1")))
-        .select("tree", "hi", "lo")
-    )
-    ids = rows.join(crowded, ["tree", "hi", "lo"], "left_semi").select("doc_id").distinct()
+    """Per document of the regions to search, how many of its shingles no other such document has."""
+    ids = rows.select("doc_id").distinct()
     items = sets.join(ids, "doc_id", "left_semi").select("doc_id", F.explode("items").alias("item"))
     alone = items.groupBy("item").agg(F.count("*").alias("c"), F.min("doc_id").alias("doc_id")).where("c = 1")
     return alone.groupBy("doc_id").agg(F.count("*").alias("u"))
@@ -316,8 +310,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     links = materialize(_confirm(chained.where("near").select("a", "b"), sets, percent), "near_links")
     first = materialize(components(links), "near_components")
 
+    # Only documents with neighbours are planted again, each with its component.
     placed = (
-        forest.join(partners, "doc_id", "left_semi")
+        reps.select("doc_id", "n_shingles", "sig").join(partners, "doc_id", "left_semi").mapInArrow(_plant, FOREST)
         .join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
     )

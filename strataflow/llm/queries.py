@@ -2,22 +2,78 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.llm import near_dedup
+from strataflow.llm import (
+    decontaminate, near_dedup, packing, privacy, quality_model, quality_rules, secrets, substrings, warc,
+)
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op2_disclosure_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.digest(privacy.find_personal_data(_table(spark, sf_dir, "documents")))
+
+
+def op3_radix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
+def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048)
+
+
+def op5_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).drop("url")
 
 
 def op6_lsh_forest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(_documents(spark, sf_dir), width=3, percent=85)
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
-QUERIES = {
-    "op6_lsh_forest_dedup": op6_lsh_forest_dedup,
-}
+def op7_sketch_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
+
+
+def op8_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_containment_search, op2_disclosure_spans, op3_radix_repeats, op4_best_two_fit, op5_capture_index,
+    op6_lsh_forest_dedup, op7_sketch_thresholds, op8_attention_quality, op10_markov_secrets,
+)}
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+')"""
+_SHINGLES = """case when len(w) = 0 then [] when len(w) < 5 then [w]
+    else list_distinct(list_transform(range(1, len(w) - 3), i -> list_slice(w, i, i + 4))) end"""
 
 # The others are tested against brute-force versions or held-out rows in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_containment_search": f"""
+        with items as (
+            select item_id, {_SHINGLES} as s from (select item_id, {_WORDS} as w from benchmark)),
+        docs as (
+            select doc_id, unnest({_SHINGLES}) as g from (select doc_id, {_WORDS} as w from documents)),
+        shared as (
+            select doc_id, item_id, count(*) as n_shared
+            from docs join (select item_id, unnest(s) as g from items) using (g) group by all)
+        select doc_id, item_id, len(s) as n_item_shingles, n_shared, n_shared / len(s) as containment
+        from shared join items using (item_id) where 100 * n_shared >= 80 * len(s)""",
+}
