@@ -241,10 +241,10 @@ def digest(found: DataFrame) -> DataFrame:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")))
     terms = F.transform("terms", lambda s: F.concat_ws(
         ":", F.lit(KINDS[4]), s["start"].cast("string"), s["end"].cast("string")))
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return found.select(
         "doc_id",
-        *(F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-          for k, name in enumerate(KINDS[:4])),
+        *(of_kind(k).alias(f"n_{name}") for k, name in enumerate(KINDS[:4])),
         F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
         F.array_join(F.concat(base, terms), ",").alias("spans"),
         F.size("terms").cast("long").alias("n_term"),

@@ -62,7 +62,7 @@ QUERIES = {f.__name__: f for f in (
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+')"""
 _SHINGLES = """case when len(w) = 0 then [] when len(w) < 5 then [w]
-    else list_distinct(list_transform(range(1, len(w) - 3), i -> list_slice(w, i, i + 4))) end"""
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: list_slice(w, i, i + 4))) end"""
 
 # The others are tested against brute-force versions or held-out rows in tests/llm.
 ORACLE_SQL: dict[str, str] = {
