@@ -339,3 +339,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
                 .alias("component_id"))
         .withColumn("kept", F.col("doc_id") == F.col("component_id"))
     )
+
+
+def distinct_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``docs`` that represent their component; all columns unchanged.
+
+    Of rows that repeat a ``doc_id`` one stays. Rows without ``doc_id``, and texts without words, stay.
+    """
+    dropped = near_duplicates(docs, width, percent).where("not kept").select("doc_id").distinct()
+    numbered = docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return numbered.select(docs.columns).unionByName(docs.where("doc_id is null"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.llm import (
-    decontaminate, near_dedup, packing, privacy, quality_model, quality_rules, secrets, substrings, warc,
+    decontaminate, html_text, near_dedup, packing, privacy, quality_model, quality_rules, secrets, substrings, warc,
 )
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -50,13 +50,18 @@ def op8_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(docs, quality_model.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op9_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_containment_search, op2_disclosure_spans, op3_radix_repeats, op4_best_two_fit, op5_capture_index,
-    op6_lsh_forest_dedup, op7_sketch_thresholds, op8_attention_quality, op10_markov_secrets,
+    op6_lsh_forest_dedup, op7_sketch_thresholds, op8_attention_quality, op9_tree_extraction,
+    op10_markov_secrets,
 )}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
