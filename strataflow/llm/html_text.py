@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.labelled_pages import labelled_pages
 
-TRAIN_PAGES = 250
-EPOCHS, RATE, DECAY = 150, 0.08, 2e-3
+TRAIN_PAGES = 300
+EPOCHS, RATE, DECAY = 180, 0.08, 2e-3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"

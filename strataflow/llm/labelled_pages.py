@@ -42,6 +42,7 @@ class _Writer:
         return r.choice([
             *[lambda: f"<p>{self.inline()}</p>"] * 8,
             lambda: f"<p>{self.words(1, 3).capitalize()}.</p>",
+            lambda: f"<p>{r.choice(['Copyright', '©', 'All rights reserved.'])} {r.choice([self.words(1, 3), ''])}</p>",
             lambda: f"<p>{self.inline()}<br>{self.sentences()}",
             lambda: f"<p><b>{self.sentences(1, 1)}<br><p>{self.sentences()}</p>",
             lambda: f"<h{r.randint(2, 4)}>{self.words(1, 8)}</h2>",
