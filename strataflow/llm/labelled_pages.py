@@ -98,6 +98,8 @@ class _Writer:
         content = f'<{container} data-label="1">{inner}</{container.split()[0]}>'
         if container.startswith("td"):
             content = f"<table><tr>{content}<td class=\"sidebar\">{self.links()}</td></tr></table>"
+        if r.random() < 0.08:  # a page without any frame
+            return r.choice([head, "<html><body>", ""]) + content
         wrap = r.choice(["", "", "", "div class=\"wrapper\"", "main", "div id=\"page\""])
         before = [self.aside() for _ in range(r.choice([0, 0, 1, 1, 2]))]
         after = [self.aside() for _ in range(r.choice([0, 0, 1, 2]))]

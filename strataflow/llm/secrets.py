@@ -3,8 +3,8 @@
 Only DataFrame functions are used; a text is scanned where it lies and nothing is shuffled.
 
 Two first-order Markov chains over ``ALPHABET`` are trained from labelled samples: the values that
-the fixed patterns find are random strings, the other tokens of the same documents are ordinary
-identifiers. A token of ``MIN_TOKEN`` characters or more is a secret if the log-likelihood ratio
+the fixed patterns find are random strings, the other tokens of the same documents that are too short
+to be judged are ordinary identifiers. A token of ``MIN_TOKEN`` characters or more is a secret if the log-likelihood ratio
 of the two chains is high, in total and per character.
 """
 
@@ -27,7 +27,11 @@ _OF_ALPHABET = "[A-Za-z0-9+/_=-]"
 MIN_TOKEN = 20
 MIN_LOG_RATIO = 20.0
 MIN_LOG_RATIO_PER_CHAR = 0.5
-SMOOTHING = 0.5
+
+# A transition is estimated from its count, backed by BACKING pseudo-counts of the chain's own character
+# frequencies; these in turn hold a share of UNIFORM of every character.
+BACKING = 100.0
+UNIFORM = 0.01
 
 # The models are fitted on about so many documents at most, those with the smallest hashes of their id.
 TRAIN_DOCS = 8_000
@@ -97,7 +101,7 @@ def train(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> list[float]:
     values = F.transform(assign, lambda s: F.regexp_extract(s["match"], ASSIGN, 2))
     others = F.transform(F.concat(access, digits), lambda s: s["match"])
     rest = F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), f"{ACCESS}|[0-9a-f]{{{MIN_HEX},}}", " ")
-    plain = F.regexp_extract_all(rest, F.lit(f"{_OF_ALPHABET}{{6,}}+"), F.lit(0))
+    plain = F.regexp_extract_all(rest, F.lit(f"(?<!{_OF_ALPHABET}){_OF_ALPHABET}{{6,{MIN_TOKEN - 1}}}+(?!{_OF_ALPHABET})"), F.lit(0))
     labelled = sample.select(F.explode(F.array(
         F.struct(F.lit(True).alias("random"), F.concat(values, others).alias("tokens")),
         F.struct(F.lit(False).alias("random"), plain.alias("tokens")),
@@ -110,15 +114,15 @@ def train(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> list[float]:
 
 
 def log_ratios(counts: dict[tuple[bool, int], int]) -> list[float]:
-    """Smoothed transition probabilities of both chains, compared."""
+    """Smoothed transition probabilities of both chains, compared. A character that neither has seen is neutral."""
     size = len(ALPHABET)
 
     def chain(random: bool) -> list[float]:
-        out = []
-        for a in range(size):
-            row = [counts.get((random, a * size + b), 0) + SMOOTHING for b in range(size)]
-            out += [math.log(x / sum(row)) for x in row]
-        return out
+        table = [[counts.get((random, a * size + b), 0) for b in range(size)] for a in range(size)]
+        total = sum(map(sum, table))
+        ends = [sum(row[b] for row in table) for b in range(size)]
+        single = [(1 - UNIFORM) * (n / total if total else 1 / size) + UNIFORM / size for n in ends]
+        return [math.log((n + BACKING * p) / (sum(row) + BACKING)) for row in table for n, p in zip(row, single)]
 
     return [round(r - o, 6) for r, o in zip(chain(True), chain(False))]
 

@@ -82,29 +82,51 @@ def _hashes(data, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
                        np.uint64, len(starts))
 
 
-_RUNS = "key long, content long, id long, text_hash long, first int, last int, anchor int"
+_RUNS = "key long, content long, id long, text_hash long, first int, last int, anchor int, known boolean"
+
+# Working memory of the first pass is some 60 bytes per byte of a chunk.
+_RUN_CHUNK = 1 << 20
+_REMEMBERED = 500_000
 
 
 def _find_runs(length: int):
+    """Runs of all texts. A task sends one row of a content that it has seen twice; ``known`` marks such rows.
+
+    Further ones are repeated for certain: they leave with a key of their own, so that a passage
+    of many documents is no hot key.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
             ids, texts = batch["id"].to_numpy(), batch["text_hash"].to_numpy()
-            for row, data, offsets in chunks(batch["text"]):
+            for row, data, offsets in chunks(batch["text"], _RUN_CHUNK):
                 first, last, anchor, key = anchored_runs(data, offsets, length)
                 content = _hashes(data, first, last + length) + mix((anchor - first).astype(np.uint64))
                 text = np.searchsorted(offsets, first, "right") - 1
                 base = offsets[text]
+                both, at, which, copies = np.unique(
+                    mix(key) + content, return_index=True, return_inverse=True, return_counts=True)
+                before = np.fromiter((b in sent for b in both.tolist()), bool, len(both))
+                twice = (copies > 1) | before
+                if len(sent) > _REMEMBERED:
+                    sent.clear()
+                sent.update(both[twice].tolist())
+                known = twice[which]
+                own = known.copy()
+                own[at[twice & ~before]] = False
+                alone = mix(mix(ids[row + text].view(np.uint64)) + texts[row + text].view(np.uint64) + first.astype(np.uint64))
+                key, content = np.where(own, alone, key), np.where(own, alone, content)
                 yield pa.record_batch([
                     key.view(np.int64), content.view(np.int64), ids[row + text], texts[row + text],
-                    *((x - base).astype(np.int32) for x in (first, last, anchor)),
-                ], names=["key", "content", "id", "text_hash", "first", "last", "anchor"])
+                    *((x - base).astype(np.int32) for x in (first, last, anchor)), pa.array(known),
+                ], names=["key", "content", "id", "text_hash", "first", "last", "anchor", "known"])
 
     return run
 
 
 def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by ``key, content``: ``repeated`` if the content occurs twice; ``goes_on`` for one row of each
-    content of a key with several contents. Rows with neither are left out."""
+    """Rows sorted by ``key, content``: ``repeated`` if the content occurs twice or is known to; ``goes_on`` for one
+    row of each content of a key with several contents. Rows with neither are left out."""
     # Key and content of the row before, and whether its key had another content before.
     state = {"key": None, "content": None, "other": False}
 
@@ -123,7 +145,7 @@ def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other_at = key_before[starts]
         which = np.searchsorted(starts, np.arange(len(key)), "right") - 1
         other = np.where(which >= 0, other_at[np.maximum(which, 0)] if len(starts) else state["other"], state["other"])
-        repeated = same_before | same_after
+        repeated = same_before | same_after | rows["known"].to_numpy(zero_copy_only=False)
         goes_on = ~same_after & (other | key_after)
         state.update(key=key[-1], content=content[-1], other=bool(other[-1]))
         out = pa.record_batch([*rows.columns, pa.array(repeated), pa.array(goes_on)],
@@ -173,7 +195,7 @@ def _take_contexts(length: int):
     return run
 
 
-_DIGITS = "key long, content long, id long, text_hash long, anchor int, low int, high int, single boolean"
+_DIGITS = "key long, content long, id long, text_hash long, anchor int, low int, high int, single boolean, known boolean"
 
 
 def _refine(length: int, block: int):
@@ -202,8 +224,9 @@ def _refine(length: int, block: int):
                         column.append(value)
             yield pa.record_batch(
                 [pa.array(np.array(out[0], np.uint64).view(np.int64)), pa.array(np.array(out[1], np.uint64).view(np.int64)),
-                 *(pa.array(c, t) for c, t in zip(out[2:], (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())))],
-                names=["key", "content", "id", "text_hash", "anchor", "low", "high", "single"])
+                 *(pa.array(c, t) for c, t in zip(out[2:], (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()))),
+                 pa.array(np.zeros(len(out[0]), bool))],
+                names=["key", "content", "id", "text_hash", "anchor", "low", "high", "single", "known"])
 
     return run
 
