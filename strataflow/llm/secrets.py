@@ -33,8 +33,10 @@ MIN_LOG_RATIO_PER_CHAR = 0.5
 BACKING = 100.0
 UNIFORM = 0.01
 
-# The models are fitted on about so many documents at most, those with the smallest hashes of their id.
-TRAIN_DOCS = 8_000
+# The chains are fitted on about so many documents at most, those with the smallest hashes of their id:
+# random strings are rare and come from more documents than ordinary identifiers.
+RANDOM_DOCS = 20_000
+ORDINARY_DOCS = 1_000
 
 _SPANS = "array<struct<start:int,end:int,match:string>>"
 
@@ -86,28 +88,29 @@ def _of_kind(spans: Column, number: int) -> Column:
         s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"), s["match"].alias("match")))
 
 
-def train(docs: DataFrame, max_docs: int = TRAIN_DOCS) -> list[float]:
+def _sample(docs: DataFrame, share: float) -> DataFrame:
+    text = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return text if share >= 1 else text.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+
+
+def train(docs: DataFrame, random_docs: int = RANDOM_DOCS, ordinary_docs: int = ORDINARY_DOCS) -> list[float]:
     """Log-likelihood ratio (random against ordinary) of every character pair, row by row of the alphabet.
 
     Counts are made on the executors; the driver gets at most two rows per pair. Without any
     example of a kind its chain is uniform.
     """
-    share = max_docs / max(docs.count(), 1)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    sample = docs.select("doc_id", text.alias("text"))
-    if share < 1:
-        sample = sample.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    total = max(docs.count(), 1)
     assign, access, digits = _base_spans(F.col("text"))
     values = F.transform(assign, lambda s: F.regexp_extract(s["match"], ASSIGN, 2))
     others = F.transform(F.concat(access, digits), lambda s: s["match"])
+    random = _sample(docs, random_docs / total).select(F.lit(True).alias("random"), F.explode(F.concat(values, others)).alias("token"))
     rest = F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), f"{ACCESS}|[0-9a-f]{{{MIN_HEX},}}", " ")
-    plain = F.regexp_extract_all(rest, F.lit(f"(?<!{_OF_ALPHABET}){_OF_ALPHABET}{{6,{MIN_TOKEN - 1}}}+(?!{_OF_ALPHABET})"), F.lit(0))
-    labelled = sample.select(F.explode(F.array(
-        F.struct(F.lit(True).alias("random"), F.concat(values, others).alias("tokens")),
-        F.struct(F.lit(False).alias("random"), plain.alias("tokens")),
-    )).alias("x")).select("x.random", F.explode("x.tokens").alias("token"))
+    short = f"(?<!{_OF_ALPHABET}){_OF_ALPHABET}{{6,{MIN_TOKEN - 1}}}+(?!{_OF_ALPHABET})"
+    ordinary = _sample(docs, ordinary_docs / total).select(
+        F.lit(False).alias("random"), F.explode(F.regexp_extract_all(rest, F.lit(short), F.lit(0))).alias("token"))
     counts = (
-        labelled.select("random", F.explode(_pairs(F.regexp_replace("token", r"[^A-Za-z0-9+/_=-]", ""))).alias("pair"))
+        random.union(ordinary)
+        .select("random", F.explode(_pairs(F.regexp_replace("token", r"[^A-Za-z0-9+/_=-]", ""))).alias("pair"))
         .groupBy("random", "pair").count().collect()
     )
     return log_ratios({(r["random"], r["pair"]): r["count"] for r in counts})
