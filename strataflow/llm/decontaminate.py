@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.tokens import LOWER, Runs, chunks, shingles, words
+from strataflow.llm.tokens import LOWER, Runs, bound_batches, chunks, shingles, words
 
 WIDTH = 5
 PERCENT = 80
@@ -145,6 +145,7 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = WIDTH, perce
     shingles and neither contain nor are contained. Every row counts for itself, so repeated
     rows give repeated results; null ids are kept. Other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
     total = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()

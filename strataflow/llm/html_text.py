@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.labelled_pages import labelled_pages
+from strataflow.llm.tokens import bound_batches
 
 TRAIN_PAGES = 300
 EPOCHS, RATE, DECAY = 180, 0.08, 2e-3
@@ -325,6 +326,7 @@ def extract(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:
     A null or empty html gives an empty text. Rows are extracted one by one, so repeated rows give
     repeated results; other columns are ignored.
     """
+    bound_batches(pages.sparkSession)
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
     return plain.mapInArrow(_extract(model or train()), "page_id long, url string, text string, n_chars long")

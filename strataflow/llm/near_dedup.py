@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.components import components
-from strataflow.llm.tokens import chunks, mix, shingles, words
+from strataflow.llm.tokens import bound_batches, chunks, mix, shingles, words
 from strataflow.storage import materialize
 
 WIDTH = 5
@@ -284,6 +284,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     ``doc_id`` count as one document; rows without ``doc_id`` have neither component nor
     ``kept``. Other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialize(

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.tokens import chunks, mix
+from strataflow.llm.tokens import bound_batches, chunks, mix
 from strataflow.storage import materialize
 
 CAPACITY = 2048
@@ -199,6 +199,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep_
     A document is the ids of its text (null: empty) and the end id. Longer ones are cut into pieces of
     ``capacity``, where the first piece may be shorter. Every row counts for itself; null ids are kept.
     """
+    bound_batches(docs.sparkSession)
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return texts.mapInArrow(_cut(tokenizer_path, capacity, keep_ids), ddl)

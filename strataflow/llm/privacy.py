@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.tokens import chunks, words
+from strataflow.llm.tokens import bound_batches, chunks, words
 from strataflow.storage import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -45,7 +45,7 @@ WINDOW_CHARS = 400
 MIN_DOCS = 3
 GENERALISE, REMOVE = 0.8, 0.95
 
-_COUNT_CHUNK = 16 << 20
+_HELD_WORDS = 4 << 20
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -179,13 +179,23 @@ def _scan_text(text: str | None) -> tuple[list[dict], list[dict]]:
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents per term, summed over large chunks before anything is shuffled."""
+    """Documents per term, summed over many documents of a task before anything is shuffled."""
+    held, size = [], 0
+
+    def counted() -> pa.RecordBatch:
+        terms, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.record_batch([terms.view(np.int64), counts], names=["term", "n_t"])
+
     for batch in batches:
-        for _, data, offsets in chunks(batch["text"], _COUNT_CHUNK):
+        for _, data, offsets in chunks(batch["text"]):
             found = words(data, offsets, lower=True)
-            own = [np.unique(found.hash[a:b]) for a, b in zip(found.first[:-1], found.first[1:])]
-            terms, counts = np.unique(np.concatenate(own), return_counts=True)
-            yield pa.record_batch([terms.view(np.int64), counts], names=["term", "n_t"])
+            held += [np.unique(found.hash[a:b]) for a, b in zip(found.first[:-1], found.first[1:])]
+            size += len(found.hash)
+            if size > _HELD_WORDS:
+                yield counted()
+                held, size = [], 0
+    if held:
+        yield counted()
 
 
 def disclosures(contexts: DataFrame, texts: DataFrame, n_docs: int, min_docs: int = MIN_DOCS,
@@ -216,6 +226,7 @@ def find_personal_data(docs: DataFrame, keep_text: bool = False, min_docs: int =
     entity, ``start, end, remove``. Code points, ends exclusive. A null text is empty. Every row is a
     document of its own, also if rows repeat; other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kept = ", text string" * keep_text
     scanned = texts.mapInArrow(_scan(keep_text), f"doc_id long{kept}, base {_SPANS_DDL}, contexts {_CONTEXTS_DDL}")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.tokens import chunks, words
+from strataflow.llm.tokens import bound_batches, chunks, words
 
 PASSAGE = 48
 
@@ -184,6 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Att
     The sample is the labelled ids with the smallest hashes. Rows without id or label are left out; of
     contradicting labels of one document the larger one counts.
     """
+    bound_batches(docs.sparkSession)
     sample = (
         labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id")))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("label"))
@@ -219,6 +220,7 @@ def score(docs: DataFrame, model: AttentionModel, threshold: float = KEEP_SCORE)
     A null or empty text is one empty passage. Only the text enters the score. Repeated rows score
     alike, other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _score(model), "doc_id long, score double, n_passages long, top_attention double")
     return scored.select(
@@ -240,4 +242,5 @@ def _keep(model: AttentionModel, threshold: float):
 
 def good_documents(docs: DataFrame, model: AttentionModel, threshold: float = KEEP_SCORE) -> DataFrame:
     """Rows of ``docs`` whose score reaches the threshold, all columns unchanged."""
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(_keep(model, threshold), docs.schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.tokens import IS_SPACE, chunks, mix, shingles, split_runs, words
+from strataflow.llm.tokens import IS_SPACE, bound_batches, chunks, mix, shingles, split_runs, words
 from strataflow.storage import materialize
 
 # Fixed base rule.
@@ -113,6 +113,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measure(docs: DataFrame) -> DataFrame:
     """Counts of every text of ``docs (doc_id, text, lang, source)`` and the ratios made of them."""
+    bound_batches(docs.sparkSession)
     counted = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"),

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.tokens import chunks, mix
+from strataflow.llm.tokens import bound_batches, chunks, mix
 from strataflow.storage import materialize
 
 LENGTH = 400
@@ -277,6 +277,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shorter texts lose nothing. Rows count as they come: a repeated row repeats its text. Other columns are
     ignored.
     """
+    bound_batches(docs.sparkSession)
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63) + 1))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_.alias("id"),
                         F.xxhash64("text").alias("text_hash"), "text")

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 CHUNK_BYTES = 4 << 20
 
@@ -30,6 +31,15 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+# Texts vary from a few bytes to many megabytes, so Arrow batches are bounded by bytes, not by rows alone.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches; the memory of executors and their Python workers follows them."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread all bits of 64-bit numbers (the splitmix64 finalizer)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

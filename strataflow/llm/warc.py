@@ -28,6 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.llm.tokens import bound_batches
 from strataflow.storage import materialize, new_path
 
 BLOCK_LINES = 512
@@ -253,6 +254,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_R
     responses too, and so are rows without ``page_id`` if no equal payload has one. A null html is an
     empty payload, a null url an empty one. Other columns are ignored.
     """
+    bound_batches(pages.sparkSession)
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
     made = materialize(plain.mapInArrow(
