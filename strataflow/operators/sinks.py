@@ -23,8 +23,8 @@ from strataflow.storage import is_missing_path, materialize
 # days are found inside by the files' min/max statistics.
 MONTH = "_month"
 
-# An upsert that touches more months than this rewrites the table unpruned.
-MAX_PRUNED_MONTHS = 10_000
+# Month of rows without a date. A directory name of its own, because NULL ones match no join key.
+NO_MONTH = "none"
 
 
 class MergeConflict(RuntimeError):
@@ -43,15 +43,38 @@ def append_raw(df: DataFrame, path: str, run_id: str) -> int:
     """Add one ingestion run to an append-only table; the same run id replaces itself.
 
     The run is one partition directory, so a new run adds files and a repeated one
-    (even an empty one) overwrites its own. No shuffle.
+    (even an empty one) overwrites its own. No shuffle. A run whose columns or types differ
+    from the table's is refused: the table's schema does not evolve.
     """
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", run_id):
         raise ValueError(f"run id {run_id!r} is not a plain directory name")
+    _check_same_columns(df, path)
     run_path = f"{path}/_ingest_id={run_id}"
     df.write.mode("overwrite").parquet(run_path)
     return written_rows(df.sparkSession.read.schema(df.schema).parquet(run_path))
 
 
+def _check_same_columns(df: DataFrame, path: str) -> None:
+    """Compares with the footer of one file of the table; no job over rows runs."""
+    try:
+        known = df.sparkSession.read.parquet(path).schema
+    except AnalysisException as error:
+        if is_missing_path(error):
+            return
+        raise IngestionError(f"Cannot read table {path!r}: {error}") from error
+    types = lambda schema: {f.name: f.dataType.simpleString() for f in schema.fields}
+    want, got = types(known), types(df.schema)
+    want.pop("_ingest_id", None)
+    if want != got:
+        differ = sorted(set(want.items()) ^ set(got.items()))
+        raise IngestionError(f"Cannot append to {path!r}: columns or types differ in {differ}")
+
+
+def month_of(date_col: str) -> Column:
+    """Directory of a row: the month of its date."""
+    return F.coalesce(F.left(F.col(date_col), F.lit(7)), F.lit(NO_MONTH))
+
+
 def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than one source row: a merge could not decide between them."""
     return source.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
@@ -92,7 +115,7 @@ def _replace_months(df: DataFrame, path: str, date_col: str, cluster_by: Sequenc
     """Overwrite the months ``df`` has rows of; inside, rows are clustered by date and key."""
     (
         clustered(df, [date_col, *(c for c in cluster_by if c != date_col)])
-        .withColumn(MONTH, F.left(F.col(date_col), F.lit(7)))
+        .withColumn(MONTH, month_of(date_col))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)
@@ -110,14 +133,18 @@ def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: str,
-                 source_is_unique: bool = False) -> int:
+                 source_is_unique: bool = False, date_from: Sequence[str] = ()) -> int:
     """Upsert into a table split by month of ``date_col``; only touched months are rewritten.
 
-    ``date_col`` must be a function of the key (a trip key contains its pickup time), so a
-    match can only lie in the same month. Source and merged rows are written to the shared
-    folder before the target changes. ``source_is_unique`` skips the duplicate-key check for
-    a source just deduplicated on the keys. Returns the number of source rows.
+    A match can only lie in the same month, so ``date_col`` must be one of the keys, or be derived from
+    those that ``date_from`` names (a trip key contains its pickup time). The source is written to the
+    shared folder before the target changes; its months select the target's by a join that prunes
+    directories, so nothing depends on their number. The new months are built beside the old ones and
+    take their place when they are complete. ``source_is_unique`` skips the duplicate-key check for a
+    source just deduplicated on the keys. Returns the number of source rows.
     """
+    if date_col not in keys and not (date_from and set(date_from) <= set(keys)):
+        raise ValueError(f"{date_col!r} is neither a key nor derived from one: a key whose date changes would be kept twice")
     spark = source.sparkSession
     staged = materialize(source, "upsert_source")
     if not source_is_unique:
@@ -127,12 +154,19 @@ def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: st
     if target is None:
         _replace_months(staged, path, date_col, keys)
     else:
-        month = F.left(F.col(date_col), F.lit(7))
-        months = [row[0] for row in staged.select(month).distinct().limit(MAX_PRUNED_MONTHS + 1).collect()]
-        if len(months) <= MAX_PRUNED_MONTHS:
-            target = target.where(F.col(MONTH).isin(months))
-        merged = materialize(upsert(target.drop(MONTH), staged, keys), "upsert_merged")
-        _replace_months(merged, path, date_col, keys)
+        # The comparison leaves out nothing; it lets the planner prune directories by this side.
+        months = staged.select(month_of(date_col).alias(MONTH)).distinct().where(F.col(MONTH) >= "")
+        touched = target.join(months, MONTH, "left_semi").drop(MONTH)
+        _replace_months(upsert(touched.select(staged.columns), staged, keys), path, date_col, keys)
+    return written_rows(staged)
+
+
+def replace_table(path: str, df: DataFrame, column: str = "summary_date",
+                  cluster_by: Sequence[str] = ("taxi_type", "pu_location_id")) -> int:
+    """Make ``df`` the whole table, in the layout of :func:`replace_dates`."""
+    staged = materialize(df, "replaced_table")
+    ranged = clustered(staged, [column, *cluster_by]).withColumn(MONTH, month_of(column))
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(path)
     return written_rows(staged)
 
 
@@ -165,7 +199,7 @@ def replace_dates(
         present = _values(old, MONTH)
         kept = old.where(~F.col(column).isin(list(dates))).drop(MONTH)
         new = materialize(kept.unionByName(staged), "replaced_months")
-    filled = _values(new.select(F.left(F.col(column), F.lit(7)).alias(MONTH)), MONTH)
+    filled = _values(new.select(month_of(column).alias(MONTH)), MONTH)
     if filled:
         _replace_months(new, path, column, cluster_by)
     # Dynamic overwrite leaves a month without rows as it was: write zero rows over it.

@@ -10,9 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_scratch: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,8 +31,35 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables, or of the open :func:`scratch`."""
+    return _scratch[-1] if _scratch else f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are dropped at the end; results must be written elsewhere by then."""
+    path = f"{run_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    try:
+        yield
+    finally:
+        _scratch.remove(path)
+        drop_folder(spark, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Drop all intermediate tables of this application; frames that read them are void."""
+    drop_folder(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -39,5 +71,15 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ordered_parts(df: DataFrame, order: list[str], name: str, parts: int | None = None) -> DataFrame:
+    """``df`` written in ranges of ``order``; ``_part`` numbers the ranges in that order.
+
+    A running total is the sum inside a row's range plus the totals of the ranges below, so no
+    window spans a whole group, however large.
+    """
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    return materialize(ranged.withColumn("_part", F.spark_partition_id()), name)
+
+
 def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from strataflow.operators import sinks
-from strataflow.sources.reading import read_layer, read_optional
+from strataflow.sources.reading import IngestionError, read_layer, read_optional
 from strataflow.storage import new_path
 
 SCHEMA = "kind string, id string, day string, v int"
@@ -51,31 +51,54 @@ def test_null_keys_match_so_a_repeated_upsert_is_a_no_op(spark):
 def test_written_upsert_is_idempotent_and_touches_only_its_months(spark):
     path = new_path(spark, "upsert")
     first = frame(spark, ("a", "1", "2023-01-05", 1), ("a", "2", "2023-02-05", 1))
-    assert sinks.write_upsert(path, first, ["id"], "day") == 2
+    assert sinks.write_upsert(path, first, ["id"], "day", date_from=["id"]) == 2
     untouched = f"{path}/_month=2023-01".removeprefix("file:")
     before = sorted(os.listdir(untouched))
     source = frame(spark, ("a", "2", "2023-02-05", 2), ("a", "3", "2023-02-06", 2))
     for _ in range(2):
-        assert sinks.write_upsert(path, source, ["id"], "day") == 2
+        assert sinks.write_upsert(path, source, ["id"], "day", date_from=["id"]) == 2
         assert table(spark, path) == [
             ("a", "1", "2023-01-05", 1), ("a", "2", "2023-02-05", 2), ("a", "3", "2023-02-06", 2)]
     assert sorted(os.listdir(untouched)) == before
 
 
-def test_upsert_beyond_the_pruning_limit_rewrites_everything(spark, monkeypatch):
-    monkeypatch.setattr(sinks, "MAX_PRUNED_MONTHS", 1)
+def test_rows_without_a_date_survive_an_upsert(spark):
     path = new_path(spark, "upsert")
-    sinks.write_upsert(path, frame(spark, *(("a", str(i), f"2023-0{i}-01", 1) for i in range(1, 5))), ["id"], "day")
-    sinks.write_upsert(path, frame(spark, ("a", "1", "2023-01-01", 7), ("a", "2", "2023-02-01", 7)), ["id"], "day")
+    sinks.write_upsert(path, frame(spark, ("a", "1", None, 1), ("b", "1", "2024-01-01", 1)), ["kind", "id"], "day", date_from=["id"])
+    sinks.write_upsert(path, frame(spark, ("c", "1", None, 2)), ["kind", "id"], "day", date_from=["id"])
+    assert table(spark, path) == [("a", "1", None, 1), ("b", "1", "2024-01-01", 1), ("c", "1", None, 2)]
+
+
+def test_a_date_that_is_no_part_of_the_key_is_refused(spark):
+    path, rows = new_path(spark, "upsert"), frame(spark, ("a", "1", "2024-01-01", 1))
+    for given in ({}, {"date_from": ["v"]}):
+        with pytest.raises(ValueError, match="neither a key nor derived"):
+            sinks.write_upsert(path, rows, ["kind", "id"], "day", **given)
+    sinks.write_upsert(path, rows, ["id", "day"], "day")
+    assert len(table(spark, path)) == 1
+
+
+def test_raw_runs_with_other_columns_are_refused(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    sinks.append_raw(frame(spark, ("a", "1", "2023-01-01", 1)), path, "r1")
+    for changed in (frame(spark).drop("v"), frame(spark).withColumn("w", F.lit(1)), frame(spark).withColumn("v", F.lit("x"))):
+        with pytest.raises(IngestionError, match="columns or types differ"):
+            sinks.append_raw(changed, path, "r2")
+
+
+def test_upsert_over_several_months(spark):
+    path = new_path(spark, "upsert")
+    sinks.write_upsert(path, frame(spark, *(("a", str(i), f"2023-0{i}-01", 1) for i in range(1, 5))), ["id"], "day", date_from=["id"])
+    sinks.write_upsert(path, frame(spark, ("a", "1", "2023-01-01", 7), ("a", "2", "2023-02-01", 7)), ["id"], "day", date_from=["id"])
     assert [r[3] for r in table(spark, path)] == [7, 7, 1, 1]
 
 
 def test_duplicate_source_keys_stop_the_upsert(spark):
     path = new_path(spark, "upsert")
-    sinks.write_upsert(path, frame(spark, ("a", "1", "2023-01-01", 1)), ["id"], "day")
+    sinks.write_upsert(path, frame(spark, ("a", "1", "2023-01-01", 1)), ["id"], "day", date_from=["id"])
     twice = frame(spark, ("a", "1", "2023-01-01", 2), ("b", "1", "2023-01-01", 3))
     with pytest.raises(sinks.MergeConflict):
-        sinks.write_upsert(path, twice, ["id"], "day")
+        sinks.write_upsert(path, twice, ["id"], "day", date_from=["id"])
     assert table(spark, path) == [("a", "1", "2023-01-01", 1)]
 
 
@@ -114,7 +137,7 @@ def test_a_row_outside_the_dates_changes_nothing(spark):
 
 def test_month_directories_prune_and_dates_stay_text(spark):
     path = new_path(spark, "layer")
-    sinks.write_upsert(f"{path}/silver_t", frame(spark, ("a", "1", "2023-01-05", 1)), ["id"], "day")
+    sinks.write_upsert(f"{path}/silver_t", frame(spark, ("a", "1", "2023-01-05", 1)), ["id"], "day", date_from=["id"])
     schema = sinks.monthly(frame(spark).schema)
     df = read_layer(spark, path, "silver", "t", schema).where("_month = '2023-01'")
     assert df.first()["day"] == "2023-01-05"
