@@ -51,8 +51,9 @@ def test_contents_are_attached_without_shuffling_the_corpus(spark):
     corpus = materialize(spark.range(50).selectExpr("id", "repeat('x', 100) as content"), "corpus")
     hits = spark.createDataFrame([("a", 3, 1.0, 1)], "qid string, id bigint, score double, rank int")
     text = plan(retrieve.attach_content(hits, corpus))
-    semi = text[text.index("LeftSemi") - 40:]
-    assert "BroadcastHashJoin" in semi
+    start = text.rindex("\n", 0, text.index("LeftSemi"))
+    semi = text[start:]
+    assert "BroadcastHashJoin" in semi.split("LeftSemi")[0]
     scan_of_texts = semi.split("FileScan parquet [id")[1]
     assert "content" in scan_of_texts and "Exchange" not in semi[:semi.index("FileScan")].replace("BroadcastExchange", "")
 
@@ -62,7 +63,40 @@ def test_pair_scores_are_summed_where_the_document_is(spark):
     questions = spark.createDataFrame([("q", "b")], "qid string, question string")
     text = plan(retrieve.bm25_topk(questions, corpus))
     shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
-    assert shuffles == ["qid", "id"]  # winners per question; the index by document
+    assert shuffles == ["qid"]  # winners per question: neither documents nor pairs move
+
+
+def test_no_retrieval_shuffle_without_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_pair_scores_are_summed_where_the_document_is(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_touched_months_prune_the_target(spark):
+    path = new_path(spark, "upsert")
+    rows = spark.range(400).selectExpr(
+        "cast(id as string) as k", "cast(date_add(date'2023-01-01', cast(id as int)) as string) as day", "id as v")
+    sinks.write_upsert(path, rows, ["k"], "day", date_from=["k"])
+    few = materialize(rows.limit(3), "few")
+    months = few.select(sinks.month_of("day").alias(sinks.MONTH)).distinct().where(F.col(sinks.MONTH) >= "")
+    target = spark.read.schema(sinks.monthly(rows.schema)).parquet(path)
+    assert "dynamicpruning" in plan(target.join(months, sinks.MONTH, "left_semi"))
+
+
+def test_drift_reads_the_directories_of_two_years(spark, monkeypatch):
+    from strataflow.plans import job
+    from strataflow.sources import contracts
+    from strataflow.sources.reading import layer_path
+
+    seen = []
+    monkeypatch.setattr(job.drift, "drift_input", lambda trips, *a, **k: seen.append(plan(trips)) or 1 / 0)
+    root = new_path(spark, "lake")
+    spark.createDataFrame([], sinks.monthly(contracts.SILVER_TRIPS)).write.parquet(layer_path(root, "silver", "nyctaxi") + "/_month=2022-01")
+    job.check_drift(spark, job.JobParams(root=root, sources={}, year=2023, reference_year=2022))
+    assert "_month" in seen[0].split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_upsert_joins_on_all_keys_without_cross_products(spark):
