@@ -27,6 +27,8 @@ def ks_pvalue(statistic: Column, n: Column, m: Column, terms: int = 100) -> Colu
 
     Kolmogorov's series with Stephens' small-sample correction of the argument. This is an
     asymptotic approximation: an exact small-sample solver would differ for small n and m.
+    The series alternates, so its error is below the first term left out: 2 exp(-2 (terms + 1)² arg²), which is
+    under 1e-13 from 0.04 on with 100 terms; below that the true value exceeds 1 - 1e-300.
     """
     effective = n.cast("double") * m / (n + m)
     root = F.sqrt(effective)

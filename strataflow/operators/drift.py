@@ -2,8 +2,8 @@
 
 Everything is computed from one frequency table ``(feature, value, n_ref, n_cur)``. Equal
 values are combined before the shuffle, so a value that holds a large share of the rows
-costs one row per map task. Running counts are formed inside equal-sized value buckets and
-shifted by the totals of the buckets below, so no window ever spans a whole feature.
+costs one row per map task. Running counts are formed inside ranges of values and shifted by
+the totals of the ranges below, so no window ever spans a whole feature.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.numeric import count_not_above, ks_pvalue, lerp
 from strataflow.operators.clean import within
-from strataflow.storage import materialize
+from strataflow.storage import materialize, ordered_parts
 
 # Bins, smoothing, thresholds, checked features and baseline year.
 PSI_BINS = 10
@@ -27,11 +27,6 @@ KS_THRESHOLD = 0.1
 DRIFT_FEATURES = ("fare_amount", "trip_distance", "tip_amount")
 REFERENCE_YEAR = 2022
 
-ROWS_PER_BUCKET = 500_000
-MAX_BUCKETS = 1 << 14
-MAX_BOUNDS_BYTES = 64 << 20
-VALUES_PER_BOUND = 50
-
 
 class DriftThresholdExceeded(RuntimeError):
     """At least one feature exceeds a drift threshold."""
@@ -71,11 +66,11 @@ def frequency_table(samples: DataFrame, group_by: Sequence[str] = ()) -> DataFra
 
 
 def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join; grouping columns may be NULL, ``feature``, ``bucket`` and ``bin`` never are.
+    """Equi-join; grouping columns may be NULL, ``feature``, ``_part`` and ``bin`` never are.
 
     Plain equality on the latter keeps the join partitioned like the windows before it.
     """
-    never_null = ("feature", "bucket", "bin")
+    never_null = ("feature", "_part", "bin")
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     pairs = ((k, F.col(k), F.col(f"_r_{k}")) for k in keys)
     on = reduce(
@@ -84,68 +79,42 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
     return left.join(renamed, on, how).drop(*(f"_r_{k}" for k in keys))
 
 
-def _bucketed(freq: DataFrame, keys: Sequence[str], buckets: int | None) -> DataFrame:
-    """Add ``bucket``: about equal-sized ranges of the distinct values of each feature.
-
-    The number of buckets grows with the table, up to what keeps the bounds of all
-    features together small enough to broadcast. Bounds only balance the work, so they
-    come from a bounded share of the distinct values, picked by hash; any bounds give the
-    same statistics.
-    """
-    rows = freq.count()
-    wanted = buckets or 1 + rows // ROWS_PER_BUCKET
-    groups = max(1, freq.select(*keys).distinct().count()) if wanted > 1 else 1
-    wanted = min(wanted, MAX_BUCKETS, MAX_BOUNDS_BYTES // (8 * groups))
-    if wanted <= 1:
-        return freq.withColumn("bucket", F.lit(0))
-    keep_one_in = max(1, rows // (groups * wanted * VALUES_PER_BOUND))
-    picked = freq if keep_one_in == 1 else freq.where(F.pmod(F.xxhash64("value"), F.lit(keep_one_in)) == 0)
-    shares = [i / wanted for i in range(1, wanted)]
-    # Written, because approximate quantiles may differ when a lost task is computed again.
-    bounds = materialize(
-        picked.groupBy(*keys).agg(F.percentile_approx("value", shares, 10 * wanted).alias("bounds")),
-        "drift_bounds",
-    )
-    # A feature without picked values has no bounds and stays in bucket 0.
-    found = count_not_above(F.col("bounds"), F.col("value"), wanted - 1)
-    return _join(freq, F.broadcast(bounds), keys, "left").withColumn("bucket", found).drop("bounds")
-
-
-def cumulative(freq: DataFrame, group_by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+def cumulative(freq: DataFrame, group_by: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """Running counts up to and including each value, side totals, and the next value.
 
-    ``freq`` should be a written table (``frequency_table``): it is read for the bucket
-    bounds, the bucket totals and the windows.
+    The distinct values of all features lie in ranges of ``(group, feature, value)``, as many as the
+    shuffle has (or ``parts``), so work follows the rows, whether they belong to one group or to
+    many. ``freq`` should be a written table (``frequency_table``).
     """
     keys = [*group_by, "feature"]
-    ranged = _bucketed(freq, keys, buckets)
+    ranged = ordered_parts(freq, [*keys, "value"], "drift_ranges", parts)
 
-    # At most MAX_BUCKETS rows per feature.
-    by_bucket = Window.partitionBy(*keys).orderBy("bucket")
-    below = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    # One row per feature and range.
+    by_part = Window.partitionBy(*keys).orderBy("_part")
+    below = by_part.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     offsets = (
-        ranged.groupBy(*keys, "bucket")
+        ranged.groupBy(*keys, "_part")
         .agg(F.sum("n_ref").alias("_ref"), F.sum("n_cur").alias("_cur"), F.min("value").alias("_min"))
         .select(
             *keys,
-            "bucket",
+            "_part",
             F.coalesce(F.sum("_ref").over(below), F.lit(0)).alias("ref_below"),
             F.coalesce(F.sum("_cur").over(below), F.lit(0)).alias("cur_below"),
             F.sum("_ref").over(whole).alias("total_ref"),
             F.sum("_cur").over(whole).alias("total_cur"),
-            F.lead("_min").over(by_bucket).alias("next_bucket_min"),
+            F.lead("_min").over(by_part).alias("next_part_min"),
         )
     )
-    in_bucket = Window.partitionBy(*keys, "bucket").orderBy("value")
-    running = in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_part = Window.partitionBy(*keys, "_part").orderBy("value")
+    running = in_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(
         "*",
         F.sum("n_ref").over(running).alias("_ref_run"),
         F.sum("n_cur").over(running).alias("_cur_run"),
-        F.lead("value").over(in_bucket).alias("_next"),
+        F.lead("value").over(in_part).alias("_next"),
     )
-    return _join(local, offsets, [*keys, "bucket"]).select(
+    return _join(local, offsets, [*keys, "_part"]).select(
         *keys,
         "value",
         "n_ref",
@@ -154,7 +123,7 @@ def cumulative(freq: DataFrame, group_by: Sequence[str] = (), buckets: int | Non
         (F.col("_cur_run") + F.col("cur_below")).alias("cum_cur"),
         "total_ref",
         "total_cur",
-        F.coalesce("_next", "next_bucket_min").alias("next_value"),
+        F.coalesce("_next", "next_part_min").alias("next_value"),
     )
 
 
@@ -283,20 +252,20 @@ def drift_report(
     group_by: Sequence[str] = (),
     raise_on_drift: bool = False,
     strict: bool = False,
-    buckets: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per feature: PSI, KS with p-value, Wasserstein-1, flag and status.
 
     Two passes over the written frequency table: one for the distribution functions and
     reference quantiles, one for the histogram. Features listed in ``features`` but absent
-    from ``samples`` are reported as empty. ``strict`` raises for an empty side.
+    from ``samples``, or from one of its groups, are reported as empty. ``strict`` raises for an empty side.
     """
     spark = samples.sparkSession
     keys = [*group_by, "feature"]
     freq = frequency_table(samples, group_by)
     found, points = _quantiles(n_bins)
     stats = materialize(
-        cumulative(freq, group_by, buckets)
+        cumulative(freq, group_by, parts)
         .groupBy(*keys)
         .agg(
             F.max("total_ref").alias("n_ref"), F.max("total_cur").alias("n_cur"),
@@ -311,8 +280,10 @@ def drift_report(
     )
     index = psi(histogram(freq, stats.select(*keys, "breaks"), n_bins, group_by), group_by)
     report = _join(stats, index, keys, "left")
-    if features is not None and not group_by:
-        listed = spark.createDataFrame([(f,) for f in features], "feature string")
+    if features is not None:
+        names = F.explode(F.array(*map(F.lit, features))).alias("feature")
+        groups = stats.select(*group_by).distinct() if group_by else spark.range(1)
+        listed = groups.select(*group_by, names)
         report = _join(listed, report, keys, "left").na.fill(0, ["n_ref", "n_cur"])
 
     status = (
@@ -344,48 +315,64 @@ def _exceeds(column: str, threshold: float) -> Column:
 
 def violations(report: DataFrame, psi_threshold: float = PSI_THRESHOLD,
                ks_threshold: float = KS_THRESHOLD) -> DataFrame:
-    """Drifted features with the dominant score: PSI when it exceeds its threshold, else KS."""
+    """Drifted features with the dominant score: PSI when it exceeds its threshold, else KS.
+
+    The columns before ``feature`` are the report's groups; they are kept.
+    """
     by_psi = _exceeds("psi", psi_threshold)
+    keys = report.columns[:report.columns.index("feature") + 1]
     return report.where("is_drifted").select(
-        "feature",
+        *keys,
         F.when(by_psi, F.lit("psi")).otherwise(F.lit("ks_statistic")).alias("measure"),
         F.when(by_psi, F.col("psi")).otherwise(F.col("ks_statistic")).alias("score"),
         F.when(by_psi, F.lit(psi_threshold)).otherwise(F.lit(ks_threshold)).alias("threshold"),
     )
 
 
+def _named(row, keys: Sequence[str]) -> str:
+    """The feature, with its group if there is one."""
+    groups = ", ".join(f"{k}={row[k]}" for k in keys[:-1])
+    return f"{row['feature']} ({groups})" if groups else row["feature"]
+
+
 def _check(report: DataFrame, psi_threshold: float, ks_threshold: float, strict: bool, raise_on_drift: bool) -> None:
     """Raise for the first empty side or drifted feature; reads one row of the report."""
+    keys = report.columns[:report.columns.index("feature") + 1]
     if strict:
-        empty = report.where("status <> 'ok'").orderBy("feature").first()
+        empty = report.where("status <> 'ok'").orderBy(*keys).first()
         if empty is not None:
             side = "Reference" if empty["status"] == "empty_reference" else "Current"
-            raise ValueError(f"{side} values of feature {empty['feature']!r} are empty")
+            raise ValueError(f"{side} values of feature {_named(empty, keys)!r} are empty")
     if raise_on_drift:
-        worst = violations(report, psi_threshold, ks_threshold).orderBy("feature").first()
+        worst = violations(report, psi_threshold, ks_threshold).orderBy(*keys).first()
         if worst is not None:
-            raise DriftThresholdExceeded(worst["feature"], worst["score"], worst["threshold"])
+            raise DriftThresholdExceeded(_named(worst, keys), worst["score"], worst["threshold"])
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, null share, mean, stddev, min, quartiles and max per column, in long form.
 
-    Moments come from one aggregate row; quartiles are exact and come from the frequency
-    table, because an exact percentile aggregate would hold a column's values in one task.
+    One pass over ``df``: all measures come from the frequency table of every column, NULL
+    included. Quartiles are exact, without a column's values in one task.
     """
-    numbers = [F.col(c).cast("double").alias(c) for c in columns]
-    measures = {
-        "non_null": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max,
-    }
-    aggregates = [f(c).alias(f"{c}__{name}") for c in columns for name, f in measures.items()]
-    one_row = df.select(*numbers).agg(F.count("*").alias("_rows"), *aggregates)
-    long = one_row.select(F.col("_rows"), F.explode(F.array(*(
-        F.struct(F.lit(c).alias("feature"), *(F.col(f"{c}__{name}").alias(name) for name in measures))
-        for c in columns
-    ))).alias("m")).select("m.*", F.when(
-        F.col("_rows") > 0, 1 - F.col("m.non_null") / F.col("_rows")).alias("null_rate"))
-    counts = frequency_table(two_sample(df, columns, F.lit(True), F.lit(False)))
-    quartiles = discrete_quantiles(cumulative(counts), (0.25, 0.5, 0.75))
-    return long.join(quartiles, "feature", "left").select(
-        "feature", "non_null", "null_rate", "mean", "stddev", "min", "p25", "p50", "p75", "max"
+    wide = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
+    long = wide.unpivot([], list(columns), "feature", "value").withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
+    counts = materialize(long.groupBy("feature", "value").agg(F.count("*").alias("n_ref")), "profile_counts")
+    n, x = F.col("n_ref"), F.col("value")
+    known = F.when(x.isNotNull(), n)
+    non_null = F.coalesce(F.sum(known), F.lit(0))
+    listed = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, columns))).alias("feature"))
+    moments = counts.groupBy("feature").agg(
+        non_null.alias("non_null"), (1 - non_null / F.sum(n)).alias("null_rate"), (F.sum(n * x) / F.sum(known)).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+    # Squares of distances from the mean, so that large values lose no digits.
+    centred = counts.where("value is not null").join(moments.select("feature", "mean", "non_null"), "feature").groupBy("feature").agg(
+        F.sqrt(F.sum(n * (x - F.col("mean")) * (x - F.col("mean"))) / F.nullif(F.max("non_null") - 1, F.lit(0))).alias("stddev"))
+    values = counts.where("value is not null").withColumn("n_cur", F.lit(0).cast("bigint"))
+    quartiles = discrete_quantiles(cumulative(values), (0.25, 0.5, 0.75))
+    return (
+        listed.join(moments, "feature", "left").join(centred, "feature", "left").join(quartiles, "feature", "left")
+        .na.fill(0, ["non_null"])
+        .select("feature", "non_null", "null_rate", "mean", "stddev", "min", "p25", "p50", "p75", "max")
     )

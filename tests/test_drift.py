@@ -39,9 +39,9 @@ def one(report):
     return rows[0]
 
 
-@pytest.mark.parametrize("buckets", [None, 7])
+@pytest.mark.parametrize("parts", [None, 7])
 @pytest.mark.parametrize("case", ["same", "shifted", "scaled", "ties", "tiny"])
-def test_statistics_equal_numpy(spark, rng, case, buckets):
+def test_statistics_equal_numpy(spark, rng, case, parts):
     ref = rng.normal(0, 1, 700)
     cur = {"same": ref, "shifted": rng.normal(4, 1, 500), "scaled": ref * 1.35,
            "ties": np.round(rng.normal(0, 1, 600), 1), "tiny": np.array([0.5])}[case]
@@ -49,7 +49,7 @@ def test_statistics_equal_numpy(spark, rng, case, buckets):
         ref = np.round(ref, 1)
     if case == "tiny":
         ref = np.array([0.0, 1.0, 2.0])
-    got = one(drift.drift_report(samples(spark, ref, cur), buckets=buckets))
+    got = one(drift.drift_report(samples(spark, ref, cur), parts=parts))
     psi, ks, w1 = expected(ref, cur)
     assert got["psi"] == pytest.approx(psi, rel=1e-9, abs=1e-12)
     assert got["ks_statistic"] == pytest.approx(ks, abs=1e-12)
@@ -58,7 +58,7 @@ def test_statistics_equal_numpy(spark, rng, case, buckets):
 
 def test_quantiles_equal_numpy_exactly(spark, rng):
     ref = np.round(rng.gamma(2.0, 7.0, 997), 2)
-    cum = drift.cumulative(drift.frequency_table(samples(spark, ref, [1.0])), buckets=5)
+    cum = drift.cumulative(drift.frequency_table(samples(spark, ref, [1.0])), parts=5)
     got = drift.quantiles(cum).first()["quantiles"]
     assert got == list(np.percentile(ref, np.linspace(0, 100, 11)))
 
@@ -130,7 +130,7 @@ def test_input_drops_null_and_nan_and_pools_types(spark):
 def test_grouped_report_keeps_a_null_group(spark, rng):
     a = samples(spark, rng.normal(0, 1, 100), rng.normal(0, 1, 100)).withColumn("g", F.lit("a"))
     b = samples(spark, rng.normal(0, 1, 100), rng.normal(9, 1, 100)).withColumn("g", F.lit(None).cast("string"))
-    report = drift.drift_report(a.unionByName(b), group_by=["g"], buckets=3)
+    report = drift.drift_report(a.unionByName(b), group_by=["g"], parts=3)
     assert {r["g"]: r["psi"] is not None for r in report.collect()} == {"a": True, None: True}
 
 
@@ -139,7 +139,7 @@ def test_result_does_not_depend_on_partitions(spark, rng):
     results = []
     for partitions in ("1", "13"):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        r = one(drift.drift_report(data, buckets=4))
+        r = one(drift.drift_report(data, parts=4))
         results.append([round(r[c], 12) for c in ("psi", "ks_statistic", "wasserstein")])
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert results[0] == results[1]
@@ -155,17 +155,15 @@ def test_symmetry_and_translation(spark, rng):
 
 def test_a_value_holding_most_rows(spark):
     ref, cur = [5.0] * 900 + list(range(100)), [5.0] * 800 + list(range(50))
-    got = one(drift.drift_report(samples(spark, ref, cur), buckets=6))
+    got = one(drift.drift_report(samples(spark, ref, cur), parts=6))
     psi, ks, w1 = expected(np.array(ref, float), np.array(cur, float))
     assert (got["psi"], got["ks_statistic"], got["wasserstein"]) == pytest.approx((psi, ks, w1), abs=1e-9)
 
 
-def test_sparse_bounds_give_the_same_statistics(spark, rng, monkeypatch):
-    """One picked value per bound; a feature too small to be picked has no bounds at all."""
-    monkeypatch.setattr(drift, "VALUES_PER_BOUND", 1)
+def test_a_small_feature_beside_a_large_one(spark, rng):
     ref, cur = rng.normal(0, 1, 900), rng.normal(0.2, 1, 800)
     small = samples(spark, [1.0, 2.0], [2.0, 3.0], "small")
-    report = drift.drift_report(samples(spark, ref, cur).unionByName(small), buckets=8)
+    report = drift.drift_report(samples(spark, ref, cur).unionByName(small), parts=8)
     got = {r["feature"]: r for r in report.collect()}
     for feature, pair in (("x", (ref, cur)), ("small", (np.array([1.0, 2.0]), np.array([2.0, 3.0])))):
         psi, ks, w1 = expected(*pair)
@@ -174,7 +172,7 @@ def test_sparse_bounds_give_the_same_statistics(spark, rng, monkeypatch):
 
 
 def test_windows_never_span_a_feature(spark, rng):
-    cum = drift.cumulative(drift.frequency_table(samples(spark, rng.normal(0, 1, 50), [1.0])), buckets=4)
+    cum = drift.cumulative(drift.frequency_table(samples(spark, rng.normal(0, 1, 50), [1.0])), parts=4)
     plan = cum._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "SinglePartition" not in plan
 
@@ -203,3 +201,24 @@ def test_profile(spark):
     assert (a["non_null"], a["null_rate"], a["mean"], a["min"], a["max"]) == (9, pytest.approx(0.1), 5.0, 1.0, 9.0)
     assert (a["p25"], a["p50"], a["p75"]) == (3.0, 5.0, 7.0)
     assert got["b"]["null_rate"] == 1.0 and got["b"]["p50"] is None
+
+
+def test_grouped_report_lists_features_and_violations_name_groups(spark):
+    rows = [("a", "x", side, float(v)) for side, shift in (("ref", 0), ("cur", 500)) for v in range(shift, shift + 50)]
+    rows += [("b", "x", side, float(v)) for side in ("ref", "cur") for v in range(50)]
+    data = spark.createDataFrame(rows, "g string, feature string, side string, value double")
+    report = drift.drift_report(data, ["x", "y"], group_by=["g"])
+    got = {(r["g"], r["feature"]): r["status"] for r in report.collect()}
+    assert got == {("a", "x"): "ok", ("b", "x"): "ok", ("a", "y"): "empty_reference", ("b", "y"): "empty_reference"}
+    assert [(r["g"], r["feature"]) for r in drift.violations(report).collect()] == [("a", "x")]
+    with pytest.raises(drift.DriftThresholdExceeded, match="g=a"):
+        drift.drift_report(data, group_by=["g"], raise_on_drift=True)
+
+
+def test_many_groups_spread_over_the_ranges(spark):
+    data = spark.range(20000).selectExpr("id % 5000 as g", "'x' as feature", "case when id % 2 = 0 then 'ref' else 'cur' end as side",
+                                         "cast(id as double) as value")
+    freq = drift.frequency_table(data, ["g"])
+    cum = drift.cumulative(freq, ["g"], parts=8)
+    totals = cum.groupBy("g").agg(F.max("cum_ref").alias("r"), F.max("cum_cur").alias("c"), F.max("total_ref").alias("tr")).collect()
+    assert len(totals) == 5000 and all(r["r"] == r["tr"] for r in totals)
