@@ -5,17 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataflow.storage import materialize
+from strataflow.storage import materialize, ordered_parts
 
 # Fixed value: documents per upload batch.
 BATCH_SIZE = 500
 
-_FILE_GROUPS = 256
-
-# The offset table holds one short row per file; up to this many files it is broadcast.
-MAX_BROADCAST_FILES = 200_000
-
-
 def gold_documents(gold: DataFrame, digits: int = 2) -> DataFrame:
     """One document per daily-summary row: ``id``, a sentence, and its metadata."""
     def _number(column: str) -> Column:
@@ -43,22 +37,19 @@ def gold_documents(gold: DataFrame, digits: int = 2) -> DataFrame:
 
 
 def assign_batches(spark: SparkSession, path: str, id_col: str = "id", size: int = BATCH_SIZE) -> DataFrame:
-    """Written documents with a ``batch_id``: consecutive runs of ``size`` rows, in file order.
+    """Written documents with a ``batch_id``: consecutive runs of ``size`` rows, in order of the files' names.
 
     A row's number is the rows of the files before it plus its position in its own file, so
-    nothing is sorted or gathered, however often an id repeats. Reading the same files
-    again gives the same numbers.
+    no documents are sorted or gathered, however often an id repeats. Reading the same files
+    again, or a copy of them elsewhere, gives the same numbers.
     """
     rows = spark.read.parquet(path).select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    before = _rows_before(rows)
-    if len(spark.read.parquet(path).inputFiles()) <= MAX_BROADCAST_FILES:
-        before = F.broadcast(before)
     number = F.col("_before") + F.col("_row")
-    return rows.join(before, "_file").select(
+    return rows.join(_rows_before(rows), "_file").select(
         F.floor(number / F.lit(size)).cast("bigint").alias("batch_id"),
         F.col(id_col).isNull().alias("missing_id"),
         *(c for c in rows.columns if c not in ("_file", "_row")),
@@ -66,20 +57,15 @@ def assign_batches(spark: SparkSession, path: str, id_col: str = "id", size: int
 
 
 def _rows_before(rows: DataFrame) -> DataFrame:
-    """Per file, the rows of all files before it; running sums in two levels of bounded windows."""
-    files = rows.groupBy("_file").agg((F.max("_row") + 1).alias("_n")).withColumn(
-        "_group", F.pmod(F.xxhash64("_file"), F.lit(_FILE_GROUPS))
-    )
-    everything_before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)  # 256 rows
-    groups = files.groupBy("_group").agg(F.sum("_n").alias("_sum")).select(
-        F.col("_group").alias("_g"),
-        F.coalesce(F.sum("_sum").over(everything_before), F.lit(0)).alias("_start"),
-    )
-    in_group = Window.partitionBy("_group").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    return files.join(groups, F.col("_group") == F.col("_g")).select(
-        "_file",
-        (F.col("_start") + F.coalesce(F.sum("_n").over(in_group), F.lit(0))).alias("_before"),
-    )
+    """Per file, the rows of all files before it: a small written table, broadcast if its size allows."""
+    files = rows.groupBy("_file").agg((F.max("_row") + 1).alias("_n"))
+    parts = ordered_parts(files, ["_file"], "batch_files")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range of files
+    starts = parts.groupBy("_part").agg(F.sum("_n").alias("_sum")).select(
+        "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    return materialize(parts.join(starts, "_part").select(
+        "_file", (F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0))).alias("_before")), "batch_starts")
 
 
 def write_batches(batched: DataFrame, path: str) -> DataFrame:
