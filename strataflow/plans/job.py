@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.operators import clean, drift, evaluate, gold, sinks
@@ -16,6 +19,7 @@ from strataflow.sources.bindings import WEATHER, SourceConfig, trip_binding
 from strataflow.sources.reading import (
     layer_path, read_layer, read_optional, read_source, slice_source, with_audit,
 )
+from strataflow.storage import scratch
 
 log = logging.getLogger(__name__)
 
@@ -50,7 +54,8 @@ class JobParams:
 
     @property
     def raw_run_id(self) -> str:
-        return self.run_id or f"{self.year}-{self.month or 'all'}"
+        """Own id, or one made of slice and run time: a later run of the same slice adds to the raw history."""
+        return self.run_id or f"{self.year}-{self.month or 'all'}-{re.sub('[^0-9]', '', self.run_ts)}"
 
     @property
     def summary_dates(self) -> tuple[str, ...]:
@@ -76,7 +81,8 @@ def cleanse_trips(spark: SparkSession, p: JobParams, name: str) -> int:
     sliced = clean.slice_event_time(raw, binding.pickup, p.year, p.month)
     rows = clean.silver_trips(sliced, binding, p.run_ts)
     keys = ["trip_id"] if p.shared_trip_key else ["taxi_type", "trip_id"]
-    return sinks.write_upsert(layer_path(p.root, "silver", "nyctaxi"), rows, keys, "pickup_date", True)
+    # The trip id is a hash over the pickup time among others.
+    return sinks.write_upsert(layer_path(p.root, "silver", "nyctaxi"), rows, keys, "pickup_date", True, ["trip_id"])
 
 
 def cleanse_weather(spark: SparkSession, p: JobParams) -> int:
@@ -84,7 +90,7 @@ def cleanse_weather(spark: SparkSession, p: JobParams) -> int:
     raw = read_layer(spark, p.root, "bronze", WEATHER_SOURCE, cfg.contract)
     rows = clean.silver_weather(slice_source(raw, cfg, p.year, p.month), WEATHER, p.run_ts)
     return sinks.write_upsert(
-        layer_path(p.root, "silver", "weather"), rows, ["station_name", "weather_ts"], "weather_date", True
+        layer_path(p.root, "silver", "weather"), rows, ["station_name", "weather_ts"], "weather_date", True, ["weather_ts"]
     )
 
 
@@ -92,6 +98,9 @@ def check_drift(spark: SparkSession, p: JobParams) -> str:
     """Report and metric tables for the run; a failure is recorded and does not stop the job."""
     try:
         trips = read_layer(spark, p.root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS))
+        # Directories of the two years; the time itself is compared below.
+        trips = trips.where(reduce(lambda a, b: a | b, (
+            F.col(sinks.MONTH).between(f"{y:04d}-01", f"{y:04d}-12") for y in {p.reference_year, p.year})))
         samples = drift.drift_input(trips, drift.DRIFT_FEATURES, "pickup_ts", p.reference_year, p.year)
         report = drift.drift_report(samples, drift.DRIFT_FEATURES, p.psi_threshold, p.ks_threshold)
         path = layer_path(p.root, "gold", f"drift_report/run={p.raw_run_id}")
@@ -112,7 +121,15 @@ def summarize(spark: SparkSession, p: JobParams) -> int:
 
 
 def run(spark: SparkSession, p: JobParams) -> DataFrame:
-    """One row: rows per layer, rebuilt dates, drift status. ``silver_rows`` counts trips only."""
+    """One row: rows per layer, rebuilt dates, drift status. ``silver_rows`` counts trips only.
+
+    Intermediate tables are dropped when the job ends.
+    """
+    with scratch(spark):
+        return _run(spark, p)
+
+
+def _run(spark: SparkSession, p: JobParams) -> DataFrame:
     bronze = {name: ingest(spark, p, name) for name in (*TRIP_SOURCES, WEATHER_SOURCE)}
     silver = sum(cleanse_trips(spark, p, name) for name in TRIP_SOURCES)
     cleanse_weather(spark, p)

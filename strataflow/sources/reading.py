@@ -30,27 +30,22 @@ def _scan(spark: SparkSession, cfg: SourceConfig, path: str) -> DataFrame:
     return reader.load(path)
 
 
-def resolve_path(spark: SparkSession, cfg: SourceConfig) -> str:
-    """Primary path, or the fallback when the primary one does not exist.
+def read_source(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
+    """Scan of the primary path, or of the fallback when the primary one does not exist.
 
-    ``load`` already checks the path, so no job runs. Other errors are not hidden.
+    ``load`` already checks the path, so each path is listed (and inferred) once at most. Other
+    errors are not hidden.
     """
     try:
-        _scan(spark, cfg, cfg.path)
-        return cfg.path
+        return _scan(spark, cfg, cfg.path)
     except AnalysisException as error:
         if cfg.fallback_path is None or not is_missing_path(error):
             raise IngestionError(f"Cannot read source {cfg.path!r} as {cfg.format}: {error}") from error
-        log.warning("source %s: %s is missing, reading %s", cfg.name, cfg.path, cfg.fallback_path)
-        return cfg.fallback_path
-
-
-def read_source(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
-    path = resolve_path(spark, cfg)
+    log.warning("source %s: %s is missing, reading %s", cfg.name, cfg.path, cfg.fallback_path)
     try:
-        return _scan(spark, cfg, path)
+        return _scan(spark, cfg, cfg.fallback_path)
     except AnalysisException as error:
-        raise IngestionError(f"Cannot read source {path!r} as {cfg.format}: {error}") from error
+        raise IngestionError(f"Cannot read source {cfg.fallback_path!r} as {cfg.format}: {error}") from error
 
 
 def slice_source(df: DataFrame, cfg: SourceConfig, year: int, month: int | None = None) -> DataFrame:

@@ -50,17 +50,18 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished orders as station observations."""
+    """Orders as station observations; on every 13th of a month all measurements failed."""
     customer = F.col("o_custkey")
     observed = F.col("o_orderdate").cast("timestamp")
-    return table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(
+    measured = F.dayofmonth(observed) != 13
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("stationName"),
         observed.alias("datetime"),
         F.lit(40.7).alias("latitude"),
         F.lit(-74.0).alias("longitude"),
-        ((customer % 400) / F.lit(8.0)).alias("temperature"),
-        (customer % 30).cast("double").alias("windSpeed"),
-        F.when(customer % 7 != 0, (customer % 7).cast("double")).alias("precipDepth"),
+        F.when(measured, (customer % 400) / F.lit(8.0)).alias("temperature"),
+        F.when(measured, (customer % 30).cast("double")).alias("windSpeed"),
+        F.when(measured & (customer % 7 != 0), (customer % 7).cast("double")).alias("precipDepth"),
         F.year(observed).alias("year"),
         F.month(observed).alias("month"),
         "o_totalprice",
@@ -104,7 +105,7 @@ def landed_source(spark: SparkSession, sf_dir: str, name: str) -> SourceConfig:
     return SourceConfig(
         name, _land(spark, sf_dir, name),
         schema=landing_schema(SOURCES[name]), contract=SOURCES[name].contract,
-        year_col=SOURCES[name].year_col, ts_col=SOURCES[name].ts_col, features=SOURCES[name].features,
+        year_col=SOURCES[name].year_col, month_col=SOURCES[name].month_col, ts_col=SOURCES[name].ts_col, features=SOURCES[name].features,
     )
 
 
