@@ -45,9 +45,11 @@ CTES = {
             payment nulls last, fare nulls last, tip nulls last, total nulls last) = 1""",
     "observations": """
         select o_orderpriority as station, o_orderdate as ts, 40.7e0 as latitude, -74.0e0 as longitude,
-               (o_custkey % 400) / 8.0e0 as temperature, cast(o_custkey % 30 as double) as wind,
-               cast(nullif(o_custkey % 7, 0) as double) as precip, o_totalprice, o_custkey
-        from orders where o_orderstatus = 'F'""",
+               case when day(o_orderdate) <> 13 then (o_custkey % 400) / 8.0e0 end as temperature,
+               case when day(o_orderdate) <> 13 then cast(o_custkey % 30 as double) end as wind,
+               case when day(o_orderdate) <> 13 then cast(nullif(o_custkey % 7, 0) as double) end as precip,
+               o_totalprice, o_custkey
+        from orders""",
     "wsilver": """
         select *, strftime(ts, '%Y-%m-%d') as weather_date from observations where ts is not null
         qualify row_number() over (partition by station, ts
@@ -99,7 +101,7 @@ CTES = {
                    round(list_cosine_similarity(cast(q.embedding as double[]),
                                                 cast(v.embedding as double[])), 9) as score
             from benchmark join embeddings q on item_id = q.vec_id
-            join embeddings v on true join documents on doc_id = v.vec_id {where})
+            join embeddings v on true {where})
         qualify rank <= 5""",
     "fused": """
         select qid, id, score, row_number() over (partition by qid order by score desc, id) as rank from (
@@ -373,9 +375,9 @@ def oracle_sql() -> dict[str, str]:
         "silver_as_of": _with(f"select {_SILVER} from silver", keyed=_KEYED_HISTORY,
                               keyed_where="where ingested <= timestamp '2023-01-15'", **latest_silver),
         "silver_latest": _with(f"select {_SILVER} from silver", keyed=_KEYED_HISTORY, **latest_silver),
-        "bronze_append": _with("""select 'run-' || year(pickup) as _ingest_id, year(pickup) as "puYear",
-            count(*) as n_rows, round(sum(fare), 2) as sum_fare from trips
-            where taxi_type = 'yellow' and year(pickup) in (1995, 1996) group by year(pickup)"""),
+        "bronze_append": _with("""select 'nyctaxi_' || taxi_type as source,
+            case when year(pickup) < 1998 then 'run-early' else 'run-late' end as _ingest_id, year(pickup) as "puYear",
+            count(*) as n_rows, round(sum(fare), 2) as sum_fare from trips group by taxi_type, year(pickup)"""),
         "silver_upsert": _with(_UPSERTED),
         "silver_upsert_shared_key": _with(f"""select {_SILVER} from silver where taxi_type = 'green' or
             trip_id not in (select trip_id from silver where taxi_type = 'green')"""),
@@ -462,7 +464,7 @@ def oracle_sql() -> dict[str, str]:
         "vector_topk": _with(_RANKED.format(name="vhits")),
         "hybrid_topk": _with(_RANKED.format(name="fused")),
         "hybrid_filtered": _with(_RANKED.format(name="fused"), hits_where=en_fr,
-                                 vhits_where="where lang in ('en', 'fr')"),
+                                 vhits_where="join documents on doc_id = v.vec_id where lang in ('en', 'fr')"),
         "search_results": _with("""select qid, cast(rank as bigint) as rank, id, text as content,
             round(score, 6) as score, lang, source from hits join documents on doc_id = id"""),
         "rag_context": _with("select qid, question, source_ids, context from contexts"),
@@ -490,8 +492,7 @@ def oracle_sql() -> dict[str, str]:
             from alerts"""),
         "drift_alerts_stream": _with(f"""select strftime(start, {_TS}) as window_start,
             strftime(start + interval 5 minutes, {_TS}) as window_end, feature, round(max_psi, 6) as max_psi
-            from alerts where start + interval 5 minutes <=
-                (select max(ts) - interval 5 minutes from events)"""),
+            from alerts"""),
         "alert_parse": """select event_id, event_type as feature, round(value, 6) as score, 0.2e0 as threshold,
             'run-' || user_id as pipeline_run_id from events where event_id % 19 <> 0 and event_id % 17 <> 0""",
         "alert_rejects": _with("select event_id, raw from messages where event_id % 19 = 0 or event_id % 17 = 0"),

@@ -229,23 +229,26 @@ def silver_latest(spark, d):
 
 @query
 def bronze_append(spark, d):
-    """Two ingestion runs, the first one repeated."""
-    cfg = tt.landed_source(spark, d, "nyctaxi_yellow")
-    path = new_path(spark, "bronze_nyctaxi_yellow")
-    source = with_audit(read_source(spark, cfg), cfg, tt.RUN_TS)
-    for run_id, year in (("run-1995", 1995), ("run-1996", 1996), ("run-1995", 1995)):
-        sinks.append_raw(slice_source(source, cfg, year), path, run_id)
-    return spark.read.parquet(path).groupBy("_ingest_id", "puYear").agg(
-        F.count("*").alias("n_rows"), F.round(F.sum("fareAmount"), 2).alias("sum_fare")
-    ).withColumn("puYear", F.col("puYear").cast("bigint"))
-
-
-def _upserted(spark, target, source, keys, date_col, schema) -> DataFrame:
+    """All trips in two ingestion runs per source, the first one repeated."""
+    parts = []
+    for name in job.TRIP_SOURCES:
+        cfg = tt.landed_source(spark, d, name)
+        path = new_path(spark, f"bronze_{name}")
+        source = with_audit(read_source(spark, cfg), cfg, tt.RUN_TS)
+        early = F.col(cfg.year_col) < 1998
+        for run_id, rows in (("run-early", early), ("run-late", ~early), ("run-early", early)):
+            sinks.append_raw(source.where(rows), path, run_id)
+        parts.append(spark.read.parquet(path).groupBy("_ingest_id", "puYear").agg(
+            F.count("*").alias("n_rows"), F.round(F.sum("fareAmount"), 2).alias("sum_fare")
+        ).select(F.lit(name).alias("source"), "_ingest_id", F.col("puYear").cast("bigint").alias("puYear"), "n_rows", "sum_fare"))
+    return parts[0].unionByName(parts[1])
+
+
+def _upserted(spark, target, source, keys, date_col, schema, date_from) -> DataFrame:
     """Load the target, upsert the source twice, read the table back."""
     path = new_path(spark, "upserted")
-    sinks.write_upsert(path, target, keys, date_col)
-    sinks.write_upsert(path, source, keys, date_col)
-    sinks.write_upsert(path, source, keys, date_col)
+    for rows in (target, source, source):
+        sinks.write_upsert(path, rows, keys, date_col, date_from=date_from)
     return spark.read.schema(sinks.monthly(schema)).parquet(path).drop(sinks.MONTH)
 
 
@@ -255,7 +258,7 @@ def silver_upsert(spark, d):
     target = trips.where("pickup_date < '1999-01-01'")
     source = trips.where("pickup_date >= '1998-07-01'").withColumn("total_amount", F.col("total_amount") + 1)
     return _shown(_upserted(
-        spark, target, source, ["taxi_type", "trip_id"], "pickup_date", contracts.SILVER_TRIPS))
+        spark, target, source, ["taxi_type", "trip_id"], "pickup_date", contracts.SILVER_TRIPS, ["trip_id"]))
 
 
 @query
@@ -264,7 +267,7 @@ def silver_upsert_shared_key(spark, d):
     trips = materialize(trips_silver(spark, d), "silver_trips")
     return _shown(_upserted(
         spark, trips.where("taxi_type = 'yellow'"), trips.where("taxi_type = 'green'"),
-        ["trip_id"], "pickup_date", contracts.SILVER_TRIPS))
+        ["trip_id"], "pickup_date", contracts.SILVER_TRIPS, ["trip_id"]))
 
 
 @query
@@ -273,7 +276,7 @@ def weather_upsert(spark, d):
     target = weather.where("weather_date < '1999-01-01'")
     source = weather.where("weather_date >= '1998-07-01'").withColumn("temperature_c", F.col("temperature_c") + 1)
     return _shown(_upserted(
-        spark, target, source, ["station_name", "weather_ts"], "weather_date", contracts.SILVER_WEATHER))
+        spark, target, source, ["station_name", "weather_ts"], "weather_date", contracts.SILVER_WEATHER, ["weather_ts"]))
 
 
 @query
@@ -290,8 +293,7 @@ def gold_replace_partition(spark, d):
     """All dates written, then three rebuilt with higher fares, the last of them emptied."""
     path = new_path(spark, "gold_daily_trip_summary")
     summary = materialize(daily_gold(spark, d), "gold")
-    every_date = [r[0] for r in summary.select("summary_date").distinct().collect()]
-    sinks.replace_dates(path, summary, every_date)
+    sinks.replace_table(path, summary)
     rebuilt = summary.where(F.col("summary_date").isin(*REPLACED_DATES[:2])).withColumn(
         "avg_fare", F.col("avg_fare") + 1)
     sinks.replace_dates(path, rebuilt, REPLACED_DATES)
@@ -421,7 +423,7 @@ def drift_freq(spark, d):
 
 @query
 def drift_cumulative(spark, d):
-    return _shown(drift.cumulative(drift.frequency_table(_samples(spark, d)), buckets=32))
+    return _shown(drift.cumulative(drift.frequency_table(_samples(spark, d)), parts=32))
 
 
 @query
@@ -501,10 +503,8 @@ def _corpus(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, d: str) -> DataFrame:
-    """Document vectors with their metadata, without the texts."""
-    vectors = tt.table(spark, d, "embeddings").select(
+    return tt.table(spark, d, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("content_vector"))
-    return vectors.join(_corpus(spark, d).drop("content"), "id")
 
 
 def _questions(spark: SparkSession, d: str) -> DataFrame:
@@ -545,8 +545,10 @@ def hybrid_topk(spark, d):
 
 @query
 def hybrid_filtered(spark, d):
+    """Vectors get the metadata of their documents; one without a document matches no filter."""
+    vectors = _vectors(spark, d).join(_corpus(spark, d).drop("content"), "id")
     return _shown(retrieve.hybrid_topk(
-        _questions(spark, d), _corpus(spark, d), _vectors(spark, d), where=F.col("lang").isin("en", "fr")))
+        _questions(spark, d), _corpus(spark, d), vectors, where=F.col("lang").isin("en", "fr")))
 
 
 @query
@@ -685,7 +687,7 @@ def drift_alerts_stream(spark, d):
     path = new_path(spark, "alerts")
     stream = alerts.write_alerts(found, path, new_path(spark, "alerts_state"))
     stream.awaitTermination()
-    return _shown(spark.read.schema(found.schema).parquet(path))
+    return _shown(alerts.read_alerts(spark, path))
 
 
 def _messages(spark: SparkSession, d: str) -> DataFrame:

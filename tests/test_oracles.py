@@ -1,8 +1,4 @@
-"""Registered queries against their SQL oracles at the smallest scale factor.
-
-The queries that write whole layered tables are checked by ``tools/check_oracles.py`` at a
-larger one, and their operators in ``test_sinks.py`` and ``test_reading_and_job.py``.
-"""
+"""Registered queries against their SQL oracles at the smallest scale factor."""
 
 from __future__ import annotations
 
@@ -16,8 +12,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from check_oracles import compare, connect  # noqa: E402
 
+from strataflow.catalog.queries import QUERIES  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
-SLOW = {"silver_upsert", "silver_upsert_shared_key", "weather_upsert", "gold_replace_partition", "layer_counts"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
 
@@ -27,7 +24,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, con, name):
     outcome = compare(spark, con, name, SF_DIR, entry.oracle_sql().get(name))
     assert outcome.startswith("ok"), outcome
