@@ -5,13 +5,17 @@ share a long prefix lie next to each other. Two passes over these orders find th
 
 1. Neighbours in each order (longest common prefix) are compared; their links form components.
 2. Regions that still hold several components are searched completely. The depth of a region
-   adapts to its size: a prefix is lengthened until at most ``REGION`` documents share it, and a
-   region that stays larger at full depth is searched whole too. A pair is left out when the
-   shingles that nobody else in such regions has prove that it cannot reach the threshold.
+   adapts to its size: documents of one region share ``MIN_DEPTH`` hashes, or the whole label where
+   a region of that depth would be too large. Of a small region the pairs of different components
+   are confirmed one by one; a larger one is compared where it lies, as a product of its documents'
+   shingle sets, and yields links only. A region too large for one task is cut into blocks
+   that meet each other in pairs.
 
 A pair inside one component needs no comparison, so a group of thousands of copies costs a
 few comparisons per copy, not one per pair. Documents with equal sets are one class and
 enter once. Nothing is capped or sampled.
+
+Ids, pairs and sets grow with the corpus, so their joins are never broadcast.
 """
 
 from __future__ import annotations
@@ -34,7 +38,10 @@ PERCENT = 80
 TREES = 24
 MIN_DEPTH = 4  # hashes that documents of one region share at least
 MAX_DEPTH = 8
-REGION = 64
+
+SMALL_REGION = 16  # documents whose pairs are confirmed one by one
+REGION_ITEMS = 2_000_000  # shingles of a region that one task compares; beyond, deeper regions, then blocks
+_COLUMNS = 2048
 
 # Sketch of 128 one-bit hashes. Sets of similarity s agree in (1 + s) / 2 of the bits; pairs more than
 # SIGMAS standard deviations below the threshold's mean are not worth reading two whole sets
@@ -202,77 +209,131 @@ def _sets(width: int):
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose whole sets reach the threshold; integers only."""
     both = (
-        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
+        pairs.hint("merge").join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
+        .hint("merge").join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
     )
     shared = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - shared
     return both.where(100 * shared >= percent * union).select("a", "b")
 
 
-def _search(percent: int):
-    """Pairs of different components inside regions; rows sorted by tree and label."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Groups of sorted rows, also across batches."""
+    kept: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch[k].to_numpy(zero_copy_only=False) for k in keys]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        bounds = [0, *cuts.tolist(), batch.num_rows]
+        for start, stop in zip(bounds, bounds[1:]):
+            key = tuple(c[start] for c in columns)
+            if kept and key != last:
+                yield pa.Table.from_batches(kept)
+                kept = []
+            last = key
+            kept.append(batch.slice(start, stop - start))
+    if kept:
+        yield pa.Table.from_batches(kept)
+
+
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([np.minimum(a, b), np.maximum(a, b)], schema=_PAIR)
+
+
+def _small_regions(percent: int):
+    """Pairs of different components in small regions, if size and sketch allow a link."""
     least = _least_agreement(percent)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    mask = [np.int64(-1) << np.int64(16 * (MAX_DEPTH - d)) if d < MAX_DEPTH else np.int64(-1)
-            for d in range(MIN_DEPTH, MAX_DEPTH + 1)]
-
-    def compare(rows: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        order = np.argsort(rows["n"], kind="stable")
-        rows = {k: v[order] for k, v in rows.items()}
-        n, common = rows["n"], rows["n"] - rows["u"]
-        for i in range(len(n) - 1):
-            stop = int(np.searchsorted(n, 100 * n[i] // percent, "right"))
-            j = np.arange(i + 1, stop)
-            shared = np.minimum(common[i], common[j])
-            good = (rows["component"][j] != rows["component"][i]) & (
-                100 * shared >= percent * (n[i] + n[j] - shared)) & (_agree(rows, i, j) >= least)
-            j = j[good]
-            if len(j):
-                yield np.full(len(j), rows["doc_id"][i]), rows["doc_id"][j]
-
-    def regions(rows: dict, depth: int) -> Iterator[dict]:
-        if len(rows["n"]) < 2 or (rows["component"] == rows["component"][0]).all():
-            return
-        if len(rows["n"]) <= REGION or depth == MAX_DEPTH:
-            yield rows
-            return
-        prefix = rows["lo"] & mask[depth + 1 - MIN_DEPTH]
-        cuts = np.flatnonzero(prefix[1:] != prefix[:-1]) + 1
-        for start, stop in zip([0, *cuts], [*cuts, len(prefix)]):
-            yield from regions({k: v[start:stop] for k, v in rows.items()}, depth + 1)
-
-    def pairs(rows: dict) -> Iterator[pa.RecordBatch]:
-        for region in regions(rows, MIN_DEPTH):
-            for a, b in compare(region):
-                yield pa.record_batch([np.minimum(a, b), np.maximum(a, b)], schema=schema)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[dict] = []  # rows of the region that the last batch left open
-        for batch in batches:
-            if not batch.num_rows:
+        for group in _groups(batches, ("tree", "hi")):
+            rows = _columns(group.combine_chunks().to_batches()[0])
+            i, j = np.triu_indices(len(rows["n"]), 1)
+            good = rows["component"][i] != rows["component"][j]
+            i, j = i[good], j[good]
+            good = _sizes_fit(rows["n"][i], rows["n"][j], percent) & (_agree(rows, i, j) >= least)
+            if good.any():
+                yield _pair_batch(rows["doc_id"][i[good]], rows["doc_id"][j[good]])
+
+    return find
+
+
+def _shared_items(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections: a product of 0/1 rows, some columns at a time."""
+    count = len(sets)
+    out = np.zeros((count, count), np.float32)
+    owner = np.repeat(np.arange(count), [len(s) for s in sets])
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    often = np.flatnonzero(np.bincount(at) > 1)  # an item of one set is shared by nobody
+    place = np.full(len(values), -1)
+    place[often] = np.arange(len(often))
+    column = place[at]
+    for start in range(0, len(often), _COLUMNS):
+        inside = (column >= start) & (column < start + _COLUMNS)
+        block = np.zeros((count, min(_COLUMNS, len(often) - start)), np.float32)
+        block[owner[inside], column[inside] - start] = 1
+        out += block @ block.T
+    return out.astype(np.int64)
+
+
+def _large_regions(percent: int):
+    """Links between different components of a region, or between two of its blocks."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ("tree", "hi", "lo", "first", "second")):
+            ids, component = group["doc_id"].to_numpy(), group["component"].to_numpy()
+            if len(ids) < 2 or (component == component[0]).all():
                 continue
-            rows = _columns(batch)
-            cuts = np.flatnonzero((rows["tree"][1:] != rows["tree"][:-1]) | (rows["hi"][1:] != rows["hi"][:-1])) + 1
-            bounds = [0, *cuts, batch.num_rows]
-            for start, stop in zip(bounds, bounds[1:]):
-                part = {k: v[start:stop] for k, v in rows.items()}
-                if kept and (kept[-1]["tree"][0], kept[-1]["hi"][0]) != (part["tree"][0], part["hi"][0]):
-                    yield from pairs({k: np.concatenate([x[k] for x in kept]) for k in part})
-                    kept = []
-                kept.append(part)
-        if kept:
-            yield from pairs({k: np.concatenate([x[k] for x in kept]) for k in kept[0]})
+            items = group["items"].combine_chunks()
+            bounds, flat = items.offsets.to_numpy(), items.values.to_numpy()
+            sets = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
+            n = np.diff(bounds)
+            shared = _shared_items(sets)
+            linked = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
+            i, j = np.nonzero(np.triu(linked & (component[:, None] != component[None, :]), 1))
+            if len(i):
+                # One link joins two components as well as many.
+                _, one = np.unique(np.stack([np.minimum(component[i], component[j]), np.maximum(component[i], component[j])]),
+                                   axis=1, return_index=True)
+                yield _pair_batch(ids[i[one]], ids[j[one]])
 
     return find
 
 
-def _unshared(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Per document of the regions to search, how many of its shingles no other such document has."""
-    ids = rows.select("doc_id").distinct()
-    items = sets.join(ids, "doc_id", "left_semi").select("doc_id", F.explode("items").alias("item"))
-    alone = items.groupBy("item").agg(F.count("*").alias("c"), F.min("doc_id").alias("doc_id")).where("c = 1")
-    return alone.groupBy("doc_id").agg(F.count("*").alias("u"))
+def _searched_regions(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that the regions of ``placed`` show: ``a, b``."""
+    def mixed(members: DataFrame, *keys: str) -> DataFrame:
+        """Regions with several components: their number of documents and of shingles."""
+        return members.groupBy(*keys).agg(
+            F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("component").alias("c0"), F.max("component").alias("c1"),
+        ).where("c0 < c1").drop("c0", "c1")
+
+    rows = materialize(placed.join(mixed(placed, "tree", "hi"), ["tree", "hi"]), "near_regions")
+    small = (
+        rows.where(F.col("size") <= SMALL_REGION).repartition("tree", "hi").sortWithinPartitions("tree", "hi", "doc_id")
+        .mapInArrow(_small_regions(percent), "a long, b long").distinct()
+    )
+    large = rows.where(F.col("size") > SMALL_REGION)
+    whole = large.where(F.col("weight") <= REGION_ITEMS).withColumn("lo", F.lit(0).cast("long"))
+    heavy = large.where(F.col("weight") > REGION_ITEMS).drop("size", "weight")
+    deep = heavy.join(mixed(heavy, "tree", "hi", "lo"), ["tree", "hi", "lo"])
+    blocks = F.ceil(F.col("weight") / (REGION_ITEMS // 2)).cast("int")
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    met = (
+        whole.unionByName(deep).withColumn("blocks", F.when(F.col("weight") <= REGION_ITEMS, F.lit(1)).otherwise(blocks))
+        .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("tree", "hi", "lo", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
+                "doc_id", "component")
+    )
+    keys = ["tree", "hi", "lo", "first", "second"]
+    inside = (
+        met.hint("merge").join(sets, "doc_id").repartition(*keys).sortWithinPartitions(*keys, "doc_id")
+        .select(*keys, "doc_id", "component", "items").mapInArrow(_large_regions(percent), "a long, b long")
+    )
+    return materialize(_confirm(small, sets, percent).union(inside), "near_late_links")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -304,7 +365,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     )
     partners = chained.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = materialize(
-        texts.where("doc_id is not null").join(partners, "doc_id", "left_semi")
+        texts.where("doc_id is not null").join(partners.hint("merge"), "doc_id", "left_semi")
         .dropDuplicates(["doc_id"]).mapInArrow(_sets(width), "doc_id long, items array<bigint>"),
         "near_sets",
     )
@@ -313,21 +374,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
     # Only documents with neighbours are planted again, each with its component.
     placed = (
-        reps.select("doc_id", "n_shingles", "sig").join(partners, "doc_id", "left_semi").mapInArrow(_plant, FOREST)
+        reps.select("doc_id", "n_shingles", "sig").join(partners.hint("merge"), "doc_id", "left_semi").mapInArrow(_plant, FOREST)
         .join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
-    mixed = (
-        placed.groupBy("tree", "hi")
-        .agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("tree", "hi")
-    )
-    rows = materialize(placed.join(mixed, ["tree", "hi"], "left_semi"), "near_regions")
-    searched = (
-        rows.join(_unshared(rows, sets), "doc_id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
-        .repartition("tree", "hi").sortWithinPartitions("tree", "hi", "lo", "doc_id")
-        .mapInArrow(_search(percent), "a long, b long").distinct()
-    )
-    late = materialize(_confirm(searched, sets, percent), "near_late_links")
+    late = _searched_regions(placed, sets, percent)
     linked = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
 
     classes = (

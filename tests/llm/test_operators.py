@@ -223,9 +223,11 @@ def test_near_duplicates_equal_brute_force(docs, width, percent):
     assert rows_of(got.where("doc_id is null"), "component_id", "kept") == [(None, None)] * 2
 
 
-def test_family_of_copies_with_many_edits(spark, monkeypatch):
+@pytest.mark.parametrize("small, items", [(16, 2_000_000), (2, 2_000_000), (2, 5_000)])
+def test_family_of_copies_with_many_edits(spark, monkeypatch, small, items):
     """One base, edited here and there: some copies are linked, others only look alike."""
-    monkeypatch.setattr(near_dedup, "REGION", 8)
+    monkeypatch.setattr(near_dedup, "SMALL_REGION", small)
+    monkeypatch.setattr(near_dedup, "REGION_ITEMS", items)
     rng = random.Random(1)
     rows = [(i, changed(BASE, rng.sample(range(300), rng.choice([0, 1, 2, 3, 5, 8, 12, 20])))) for i in range(160)]
     want = brute.near_components(rows, 3, 85)
