@@ -36,7 +36,7 @@ BLOCK_LINES = 512
 MIN_REVISIT_BYTES = 0
 # An archive is closed when it has so many bytes; the task goes on with another.
 ARCHIVE_BYTES = 1 << 30
-GZIP_LEVEL = 4
+GZIP_LEVEL = 9
 
 WARC_DATE = "2025-01-01T00:00:00Z"
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -240,10 +240,10 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         urls, payloads = batch["url"].to_pylist(), [(h or "").encode("utf-8") for h in batch["html"].to_pylist()]
         yield pa.record_batch([
-            batch["page_id"], batch["url"], pa.array([host_key(u) for u in urls], pa.string()),
+            batch["page_id"], batch["url"], batch["sha1"], pa.array([host_key(u) for u in urls], pa.string()),
             pa.array([payload_digest(p) for p in payloads], pa.string()), pa.array([len(p) for p in payloads], pa.int64()),
             pa.array([response_record(i, u, p) for i, u, p in zip(batch["page_id"].to_pylist(), urls, payloads)], pa.binary()),
-        ], names=["page_id", "url", "key", "digest", "size", "member"])
+        ], names=["page_id", "url", "sha1", "key", "digest", "size", "member"])
 
 
 def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -257,15 +257,18 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_R
     bound_batches(pages.sparkSession)
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
-    made = materialize(plain.mapInArrow(
-        _records, "page_id long, url string, key string, digest string, size long, member binary"), "warc_records")
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    hashed = plain.withColumn("sha1", F.sha1(payload)).withColumn("size", F.octet_length(payload).cast("long"))
     first = (
-        made.where(F.col("size") >= min_revisit_bytes).groupBy("digest", "size")
+        hashed.where(F.col("size") >= min_revisit_bytes).groupBy("sha1", "size")
         .agg(F.min("page_id").alias("r"), F.count("*").alias("copies")).where("copies > 1 and r is not null")
-        .select("digest", "size", "r")
+        .select("sha1", "size", "r")
     )
+    # Compressed records move instead of pages: once to their copies, once into the order of the archives.
+    made = hashed.select("page_id", "url", "html", "sha1").mapInArrow(
+        _records, "page_id long, url string, sha1 string, key string, digest string, size long, member binary")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("r")), F.col("r"))
-    told = made.join(first, ["digest", "size"], "left").withColumn("refers_to", refers).select(
+    told = made.join(first, ["sha1", "size"], "left").withColumn("refers_to", refers).select(
         "key", "page_id", "url", "digest", "size", F.when(F.col("refers_to").isNull(), F.col("member")).alias("member"), "refers_to")
     ordered = told.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
     return materialize(ordered.mapInArrow(_write(folder), "name string, key string, order long"), "warc_captures")
