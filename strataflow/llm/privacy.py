@@ -4,12 +4,14 @@ The patterns find e-mail addresses, IP addresses, card and phone numbers. Each d
 protected entity. How much a term ``t`` near an entity ``e`` discloses it is estimated from the whole
 corpus as pointwise mutual information over the entity's information content,
 
-    PMI(e; t) / IC(e) = log(N n(e,t) / (n(e) n(t))) / log(N / n(e)),
+    PMI(e; t) / IC(e) = log(p(e|t) / p(e)) / log(1 / p(e)),  p(e) = n(e) / N,
+    p(e|t) = (n(e,t) + PRIOR p(e)) / (n(t) + PRIOR),
 
 where ``n`` counts documents and ``n(e,t)`` those in which ``t`` stands near ``e`` (after Sanchez and
 Batet 2016). 1 means that the term occurs with the entity only. Above ``GENERALISE`` a term is replaced by
-its kind, above ``REMOVE`` it is removed. Terms seen with an entity in fewer than ``MIN_DOCS`` documents
-are no evidence and stay.
+its kind, above ``REMOVE`` it is removed. Every pair is scored, also one seen in a single document: the
+``PRIOR``, more documents in which the term meets the entity as often as any text does, lowers what
+few documents say. A term of one document still discloses an entity that is rare in the corpus.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 WINDOW = 8  # words on each side of an entity, as far as they lie within WINDOW_CHARS
 WINDOW_CHARS = 400
-MIN_DOCS = 3
+PRIOR = 1.25  # documents: one co-occurrence discloses an entity of fewer than 1 in (1 + PRIOR)^5 = 58 documents
 GENERALISE, REMOVE = 0.8, 0.95
 
 _HELD_WORDS = 4 << 20
@@ -198,8 +200,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-def disclosures(contexts: DataFrame, texts: DataFrame, n_docs: int, min_docs: int = MIN_DOCS,
-                generalise: float = GENERALISE) -> DataFrame:
+def disclosures(contexts: DataFrame, texts: DataFrame, n_docs: int, generalise: float = GENERALISE) -> DataFrame:
     """``entity, term, disclosure`` of all pairs that reach ``generalise``.
 
     Document counts of terms cover every text; only those of terms that may disclose are joined.
@@ -207,19 +208,19 @@ def disclosures(contexts: DataFrame, texts: DataFrame, n_docs: int, min_docs: in
     fresh = contexts.where("fresh").groupBy("entity", "term").agg(F.count("*").alias("n_et"))
     counted = materialize(fresh, "privacy_pairs")
     entities = counted.where("term is null").select("entity", F.col("n_et").alias("n_e"))
-    pairs = counted.where((F.col("term").isNotNull()) & (F.col("n_et") >= min_docs))
+    pairs = counted.where("term is not null")
     frequency = texts.select("text").mapInArrow(_count_terms, "term long, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t"))
-    total = F.lit(float(n_docs))
-    score = F.when(F.col("n_e") < total, F.ln(total * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-                   / F.ln(total / F.col("n_e"))).otherwise(F.lit(0.0))
+    base = F.col("n_e") / F.lit(float(n_docs))
+    given = (F.col("n_et") + PRIOR * base) / (F.col("n_t") + PRIOR)
+    score = F.when(base < 1, F.ln(given / base) / -F.ln(base)).otherwise(F.lit(0.0))
     return (
         pairs.join(entities, "entity").join(frequency, "term")
         .select("entity", "term", score.alias("disclosure")).where(F.col("disclosure") >= generalise)
     )
 
 
-def find_personal_data(docs: DataFrame, keep_text: bool = False, min_docs: int = MIN_DOCS,
-                       generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def find_personal_data(docs: DataFrame, keep_text: bool = False, generalise: float = GENERALISE,
+                       remove: float = REMOVE) -> DataFrame:
     """``doc_id, base, terms`` (and ``text``) of every row of ``docs (doc_id, text)``.
 
     ``base`` are the patterns' spans ``kind, start, end``; ``terms`` those of disclosing terms near an
@@ -233,7 +234,7 @@ def find_personal_data(docs: DataFrame, keep_text: bool = False, min_docs: int =
     # The written table fixes the row numbers.
     found = materialize(scanned.withColumn("row", F.monotonically_increasing_id()), "privacy_scanned")
     contexts = found.where(F.size("contexts") > 0).select("row", F.inline("contexts"))
-    flagged = disclosures(contexts, texts, found.count(), min_docs, generalise)
+    flagged = disclosures(contexts, texts, found.count(), generalise)
     terms = (
         contexts.where("term is not null").join(flagged, ["entity", "term"])
         .groupBy("row", "start", "end").agg(F.max("disclosure").alias("d"))

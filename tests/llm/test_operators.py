@@ -88,6 +88,14 @@ def test_disclosing_terms_are_found_and_masked(spark):
     assert "Zorblat" not in cleaned[0] and "<EMAIL>" in cleaned[0] and cleaned[100] == texts[100]
 
 
+def test_a_term_beside_an_entity_of_one_document_discloses_it(spark):
+    rows = [(i, f"{prose(10, i)} the matter of Contact at about") for i in range(2000)]
+    rows.append((5000, "about Contact Zorblat at zed@example.org about the matter"))
+    found = {r["doc_id"]: r["terms"] for r in privacy.find_personal_data(frame(spark, rows)).collect()}
+    assert [dict(rows)[5000][t["start"]:t["end"]] for t in found.pop(5000)] == ["Zorblat"]
+    assert not any(found.values())
+
+
 def test_privacy_of_an_empty_table(none):
     assert privacy.digest(privacy.find_personal_data(none)).count() == 0
 
