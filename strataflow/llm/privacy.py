@@ -12,6 +12,7 @@ Batet 2016). 1 means that the term occurs with the entity only. Above ``GENERALI
 its kind, above ``REMOVE`` it is removed. Every pair is scored, also one seen in a single document: the
 ``PRIOR``, more documents in which the term meets the entity as often as any text does, lowers what
 few documents say. A term of one document still discloses an entity that is rare in the corpus.
+Co-occurrence is counted near the entities; what discloses one is marked wherever it stands in any text.
 """
 
 from __future__ import annotations
@@ -48,6 +49,7 @@ PRIOR = 1.25  # documents: one co-occurrence discloses an entity of fewer than 1
 GENERALISE, REMOVE = 0.8, 0.95
 
 _HELD_WORDS = 4 << 20
+SIEVE_BITS = 26  # 8 MB of bits, two per flagged term; whatever passes is joined exactly
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -121,10 +123,9 @@ def _near(text: str, start: int, end: int) -> list[tuple[int, int]]:
 
 
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
-_CONTEXT = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32()),
-                      ("fresh", pa.bool_())])
+_PLACE = pa.struct([("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 _SPANS_DDL = "array<struct<kind:int,start:int,end:int>>"
-_CONTEXTS_DDL = "array<struct<entity:long,term:long,start:int,end:int,fresh:boolean>>"
+_PLACES_DDL = "array<struct<term:long,start:int,end:int>>"
 
 
 def _term_hashes(terms: list[str]) -> list[int]:
@@ -132,19 +133,6 @@ def _term_hashes(terms: list[str]) -> list[int]:
     return words(data, np.array([0, len(data)]), lower=True).hash.view(np.int64).tolist()
 
 
-def _scan(keep_text: bool):
-    """Base spans of every text, the words near them, and which (entity, term) the text shows first there."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id"] + ["text"] * keep_text
-        for batch in batches:
-            found, contexts = zip(*map(_scan_text, batch["text"].to_pylist())) if batch.num_rows else ((), ())
-            yield pa.record_batch(
-                [*(batch[c] for c in names), pa.array(found, pa.list_(_SPAN)), pa.array(contexts, pa.list_(_CONTEXT))],
-                names=[*names, "base", "contexts"])
-
-    return run
-
-
 def _covered(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
     """Starts and ends of the union of spans."""
     starts, ends = [], []
@@ -157,27 +145,33 @@ def _covered(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def _scan_text(text: str | None) -> tuple[list[dict], list[dict]]:
+def _is_covered(starts: list[int], ends: list[int], start: int, end: int) -> bool:
+    before = bisect_left(starts, end) - 1  # the last covered stretch that starts before the word ends
+    return before >= 0 and ends[before] > start
+
+
+def _contexts(text: str | None) -> set[tuple[int, int | None]]:
+    """Entities of a text, each alone and with every term near it."""
     text = text or ""
     spans = base_spans(text)
     starts, ends = _covered(spans)
-    rows, terms = [], []
+    pairs, owners, terms = set(), [], []
     for kind, start, end in spans:
         entity = _entity(kind, text[start:end])
-        rows.append((entity, None, start, end))
+        pairs.add((entity, None))
         for s, e in _near(text, start, end):
-            before = bisect_left(starts, e) - 1  # the last covered stretch that starts before the word ends
-            if before < 0 or ends[before] <= s:
-                rows.append((entity, len(terms), s, e))
+            if not _is_covered(starts, ends, s, e):
+                owners.append(entity)
                 terms.append(text[s:e])
-    hashes = _term_hashes(terms)
-    seen, out = set(), []
-    for entity, term, start, end in rows:
-        term = None if term is None else hashes[term]
-        out.append({"entity": entity, "term": term, "start": start, "end": end,
-                    "fresh": (entity, term) not in seen})
-        seen.add((entity, term))
-    return [{"kind": k, "start": s, "end": e} for k, s, e in spans], out
+    return pairs | set(zip(owners, _term_hashes(terms)))
+
+
+def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entities and their terms, once per text; a row without entity has the number of texts."""
+    for batch in batches:
+        pairs = [(None, None, batch.num_rows)]
+        pairs += [(entity, term, 1) for text in batch["text"].to_pylist() for entity, term in _contexts(text)]
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["entity", "term", "n"])
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,15 +194,17 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-def disclosures(contexts: DataFrame, texts: DataFrame, n_docs: int, generalise: float = GENERALISE) -> DataFrame:
+def disclosures(texts: DataFrame, generalise: float = GENERALISE) -> DataFrame:
     """``entity, term, disclosure`` of all pairs that reach ``generalise``.
 
     Document counts of terms cover every text; only those of terms that may disclose are joined.
     """
-    fresh = contexts.where("fresh").groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    counted = materialize(fresh, "privacy_pairs")
-    entities = counted.where("term is null").select("entity", F.col("n_et").alias("n_e"))
-    pairs = counted.where("term is not null")
+    counted = materialize(
+        texts.select("text").mapInArrow(_pair_up, "entity long, term long, n long")
+        .groupBy("entity", "term").agg(F.sum("n").alias("n")), "privacy_pairs")
+    n_docs = counted.where("entity is null").agg(F.coalesce(F.sum("n"), F.lit(1))).first()[0]
+    entities = counted.where("entity is not null and term is null").select("entity", F.col("n").alias("n_e"))
+    pairs = counted.where("term is not null").withColumnRenamed("n", "n_et")
     frequency = texts.select("text").mapInArrow(_count_terms, "term long, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t"))
     base = F.col("n_e") / F.lit(float(n_docs))
     given = (F.col("n_et") + PRIOR * base) / (F.col("n_t") + PRIOR)
@@ -219,25 +215,79 @@ def disclosures(contexts: DataFrame, texts: DataFrame, n_docs: int, generalise:
     )
 
 
+def _slots(term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    term = term.view(np.uint64)
+    return term >> np.uint64(64 - SIEVE_BITS), term & np.uint64((1 << SIEVE_BITS) - 1)
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        slot = np.unique(np.concatenate(_slots(batch["term"].to_numpy())))
+        yield pa.record_batch([(slot >> np.uint64(6)).view(np.int64), np.left_shift(np.uint64(1), slot & np.uint64(63)).view(np.int64)],
+                              names=["at", "bit"])
+
+
+def _sieve(terms: DataFrame) -> np.ndarray:
+    """Bits that every one of ``terms`` has and few other words have; of one size for any corpus."""
+    marked = terms.select("term").mapInArrow(_mark, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    sieve = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
+    sieve[marked["at"].to_numpy()] = marked["bits"].to_numpy().view(np.uint64)
+    return sieve
+
+
+def _passes(sieve: np.ndarray, term: np.ndarray) -> np.ndarray:
+    first, second = (sieve[s >> np.uint64(6)] >> (s & np.uint64(63)) & np.uint64(1) for s in _slots(term))
+    return (first & second).astype(bool)
+
+
+def _locate(sent, keep_text: bool):
+    """Base spans of every text, and the places of all its words that the sieve lets through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve = sent.value
+        names = ["doc_id"] + ["text"] * keep_text
+        for batch in batches:
+            found, places = [base_spans(text or "") for text in batch["text"].to_pylist()], []
+            for row, data, offsets in chunks(batch["text"]):
+                at = words(data, offsets, lower=True)
+                passed = np.flatnonzero(_passes(sieve, at.hash))
+                bounds = np.searchsorted(passed, at.first)
+                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before a byte
+                for i, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
+                    starts, ends = _covered(found[row + i]) if high > low else ((), ())
+                    some = passed[low:high]
+                    begin, end = (points[x[some]] - points[offsets[i]] for x in (at.start, at.end))
+                    places.append([
+                        {"term": t, "start": s, "end": e}
+                        for t, s, e in zip(at.hash[some].view(np.int64).tolist(), begin.tolist(), end.tolist())
+                        if not _is_covered(starts, ends, s, e)])
+            spans = [[{"kind": k, "start": s, "end": e} for k, s, e in f] for f in found]
+            yield pa.record_batch(
+                [*(batch[c] for c in names), pa.array(spans, pa.list_(_SPAN)), pa.array(places, pa.list_(_PLACE))],
+                names=[*names, "base", "places"])
+
+    return run
+
+
 def find_personal_data(docs: DataFrame, keep_text: bool = False, generalise: float = GENERALISE,
                        remove: float = REMOVE) -> DataFrame:
     """``doc_id, base, terms`` (and ``text``) of every row of ``docs (doc_id, text)``.
 
-    ``base`` are the patterns' spans ``kind, start, end``; ``terms`` those of disclosing terms near an
-    entity, ``start, end, remove``. Code points, ends exclusive. A null text is empty. Every row is a
-    document of its own, also if rows repeat; other columns are ignored.
+    ``base`` are the patterns' spans ``kind, start, end``; ``terms`` those of all words of all texts that
+    disclose any entity, ``start, end, remove``. Code points, ends exclusive. A null text is empty. Every
+    row is a document of its own, also if rows repeat; other columns are ignored.
     """
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    flagged = materialize(
+        disclosures(texts, generalise).groupBy("term").agg(F.max("disclosure").alias("d")), "privacy_flagged")
     kept = ", text string" * keep_text
-    scanned = texts.mapInArrow(_scan(keep_text), f"doc_id long{kept}, base {_SPANS_DDL}, contexts {_CONTEXTS_DDL}")
+    located = texts.mapInArrow(_locate(spark.sparkContext.broadcast(_sieve(flagged)), keep_text),
+                               f"doc_id long{kept}, base {_SPANS_DDL}, places {_PLACES_DDL}")
     # The written table fixes the row numbers.
-    found = materialize(scanned.withColumn("row", F.monotonically_increasing_id()), "privacy_scanned")
-    contexts = found.where(F.size("contexts") > 0).select("row", F.inline("contexts"))
-    flagged = disclosures(contexts, texts, found.count(), generalise)
+    found = materialize(located.withColumn("row", F.monotonically_increasing_id()), "privacy_located")
     terms = (
-        contexts.where("term is not null").join(flagged, ["entity", "term"])
-        .groupBy("row", "start", "end").agg(F.max("disclosure").alias("d"))
+        found.where(F.size("places") > 0).select("row", F.inline("places")).join(flagged, "term")
         .groupBy("row").agg(F.array_sort(F.collect_list(
             F.struct("start", "end", (F.col("d") >= remove).alias("remove")))).alias("terms"))
     )

@@ -96,6 +96,20 @@ def test_a_term_beside_an_entity_of_one_document_discloses_it(spark):
     assert not any(found.values())
 
 
+def test_disclosing_terms_are_masked_wherever_they_stand(spark):
+    common = "the matter of Contact at about"
+    rows = [(i, f"é🙂 {prose(10, i)} {common}") for i in range(2000)]
+    far = f"é🙂 {common} Zorblat at zed@example.org {common} " + f"{common} " * 100
+    rows += [(5000, f"{far}ZORBLAT {common} zorblat"), (5001, f"日本 Zorblat {common}")]
+    texts = dict(rows)
+    found = {r["doc_id"]: r["terms"] for r in privacy.find_personal_data(frame(spark, rows)).collect()}
+    assert [texts[5000][t["start"]:t["end"]] for t in found.pop(5000)] == ["Zorblat", "ZORBLAT", "zorblat"]
+    assert [texts[5001][t["start"]:t["end"]] for t in found.pop(5001)] == ["Zorblat"]
+    assert not any(found.values())
+    clean = {r["doc_id"]: r["text"] for r in privacy.sanitise(frame(spark, rows)).where("doc_id >= 5000").collect()}
+    assert not any("zorblat" in t.lower() for t in clean.values()) and clean[5001].startswith("日本 <NAME> the")
+
+
 def test_privacy_of_an_empty_table(none):
     assert privacy.digest(privacy.find_personal_data(none)).count() == 0
 
