@@ -4,12 +4,11 @@ Every tree orders all documents by its own label, a sequence of min-hashes; docu
 share a long prefix lie next to each other. Two passes over these orders find the links:
 
 1. Neighbours in each order (longest common prefix) are compared; their links form components.
-2. Regions that still hold several components are searched completely. The depth of a region
-   adapts to its size: documents of one region share ``MIN_DEPTH`` hashes, or the whole label where
-   a region of that depth would be too large. Of a small region the pairs of different components
+2. Regions, all documents that share ``MIN_DEPTH`` hashes of a tree, are searched completely if they
+   still hold several components, whatever their size. Of a small region the pairs of different components
    are confirmed one by one; a larger one is compared where it lies, as a product of its documents'
    shingle sets, and yields links only. A region too large for one task is cut into blocks
-   that meet each other in pairs.
+   that meet each other in pairs; blocks of the region's largest component do not meet each other.
 
 A pair inside one component needs no comparison, so a group of thousands of copies costs a
 few comparisons per copy, not one per pair. Documents with equal sets are one class and
@@ -36,12 +35,13 @@ WIDTH = 5
 PERCENT = 80
 
 TREES = 24
-MIN_DEPTH = 4  # hashes that documents of one region share at least
+MIN_DEPTH = 4  # hashes that documents of one region share
 MAX_DEPTH = 8
 
 SMALL_REGION = 16  # documents whose pairs are confirmed one by one
-REGION_ITEMS = 2_000_000  # shingles of a region that one task compares; beyond, deeper regions, then blocks
+REGION_ITEMS = 2_000_000  # shingles of a region that one task compares; beyond, blocks of half as many
 _COLUMNS = 2048
+_ROWS = 256
 
 # Sketch of 128 one-bit hashes. Sets of similarity s agree in (1 + s) / 2 of the bits; pairs more than
 # SIGMAS standard deviations below the threshold's mean are not worth reading two whole sets
@@ -262,76 +262,111 @@ def _small_regions(percent: int):
     return find
 
 
-def _shared_items(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairwise intersections: a product of 0/1 rows, some columns at a time."""
-    count = len(sets)
-    out = np.zeros((count, count), np.float32)
-    owner = np.repeat(np.arange(count), [len(s) for s in sets])
+def _shared_items(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all ``left`` with all ``right`` sets: a product of 0/1 rows, some columns at a time."""
+    count, sets = len(left), [*left, *right]
+    out = np.zeros((count, len(right)), np.float32)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     values, at = np.unique(np.concatenate(sets), return_inverse=True)
-    often = np.flatnonzero(np.bincount(at) > 1)  # an item of one set is shared by nobody
+    # An item of one side only, or of one set that stands on both, is shared by nobody.
+    sides = [np.bincount(at[part], minlength=len(values)) for part in (owner < count, owner >= count)]
+    often = np.flatnonzero((sides[0] > 0) & (sides[1] > 0) & (sides[0] + sides[1] > (2 if left is right else 1)))
     place = np.full(len(values), -1)
     place[often] = np.arange(len(often))
     column = place[at]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
     for start in range(0, len(often), _COLUMNS):
-        inside = (column >= start) & (column < start + _COLUMNS)
-        block = np.zeros((count, min(_COLUMNS, len(often) - start)), np.float32)
+        inside = slice(*np.searchsorted(column, [start, start + _COLUMNS]))
+        block = np.zeros((len(sets), min(_COLUMNS, len(often) - start)), np.float32)
         block[owner[inside], column[inside] - start] = 1
-        out += block @ block.T
-    return out.astype(np.int64)
+        out += block[:count] @ block[count:].T
+    return out
+
+
+def _links(ids: np.ndarray, component: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int):
+    """One link for each two components of ``left`` and ``right`` rows that have any."""
+    n = np.array([len(s) for s in sets])
+    one_side = [sets[i] for i in left]
+    shared = _shared_items(one_side, one_side if left is right else [sets[i] for i in right])
+    for at in range(0, len(left), _ROWS):
+        some, common = left[at:at + _ROWS], shared[at:at + _ROWS].astype(np.int64)
+        linked = (100 + percent) * common >= percent * (n[some, None] + n[None, right])
+        i, j = np.nonzero(linked & (component[some, None] != component[None, right]))
+        i, j = some[i], right[j]
+        if len(i):
+            # One link joins two components as well as many.
+            _, one = np.unique(np.stack([np.minimum(component[i], component[j]), np.maximum(component[i], component[j])]),
+                               axis=1, return_index=True)
+            yield _pair_batch(ids[i[one]], ids[j[one]])
 
 
 def _large_regions(percent: int):
-    """Links between different components of a region, or between two of its blocks."""
+    """Links between different components of a region, or of a block, or between two blocks."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ("tree", "hi", "lo", "first", "second")):
+        for group in _groups(batches, ("tree", "hi", "first", "second")):
             ids, component = group["doc_id"].to_numpy(), group["component"].to_numpy()
             if len(ids) < 2 or (component == component[0]).all():
                 continue
+            own = group["own"].to_numpy()
+            first, second = group["first"][0].as_py(), group["second"][0].as_py()
+            left = np.flatnonzero(own == first)
+            right = left if first == second else np.flatnonzero(own == second)
+            if not len(left) or not len(right):
+                continue
             items = group["items"].combine_chunks()
             bounds, flat = items.offsets.to_numpy(), items.values.to_numpy()
             sets = [flat[a:b] for a, b in zip(bounds, bounds[1:])]
-            n = np.diff(bounds)
-            shared = _shared_items(sets)
-            linked = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
-            i, j = np.nonzero(np.triu(linked & (component[:, None] != component[None, :]), 1))
-            if len(i):
-                # One link joins two components as well as many.
-                _, one = np.unique(np.stack([np.minimum(component[i], component[j]), np.maximum(component[i], component[j])]),
-                                   axis=1, return_index=True)
-                yield _pair_batch(ids[i[one]], ids[j[one]])
+            yield from _links(ids, component, sets, left, right, percent)
 
     return find
 
 
+def _blocks(weight: F.Column, size: F.Column) -> F.Column:
+    return F.greatest(F.ceil(weight / (REGION_ITEMS // 2)), F.lit(1)).cast("int")
+
+
+def _in_blocks(large: DataFrame) -> DataFrame:
+    """Rows of large regions, once for every pair of blocks that they take part in."""
+    names = ["tree", "hi", "own", "first", "second", "doc_id", "component"]
+    fits = F.col("weight") <= REGION_ITEMS
+    zero = F.lit(0)
+    whole = large.where(fits).select("tree", "hi", zero.alias("own"), zero.alias("first"), zero.alias("second"), "doc_id", "component")
+    heavy = large.where(~fits)
+    main = (
+        heavy.groupBy("tree", "hi", "component").agg(F.sum("n").alias("w"), F.count("*").alias("s"))
+        .groupBy("tree", "hi").agg(F.max(F.struct("w", "s", "component")).alias("main"))
+    )
+    # Blocks of the largest component stand behind those of the rest and meet only these.
+    rest = _blocks(F.col("weight") - F.col("main.w"), F.col("size") - F.col("main.s"))
+    dealt = (
+        heavy.join(main, ["tree", "hi"])
+        .withColumn("rest", rest).withColumn("mains", _blocks(F.col("main.w"), F.col("main.s")))
+        .withColumn("in_main", F.col("component") == F.col("main.component"))
+        .withColumn("own", F.when(F.col("in_main"), F.col("rest") + F.pmod(F.xxhash64("doc_id"), F.col("mains")))
+                    .otherwise(F.pmod(F.xxhash64("doc_id"), F.col("rest"))).cast("int"))
+        .withColumn("other", F.explode(F.sequence(zero, F.when(F.col("in_main"), F.col("rest"))
+                                                  .otherwise(F.col("rest") + F.col("mains")) - 1)))
+        .withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other"))
+    )
+    return whole.unionByName(dealt.select(*names))
+
+
 def _searched_regions(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components that the regions of ``placed`` show: ``a, b``."""
-    def mixed(members: DataFrame, *keys: str) -> DataFrame:
-        """Regions with several components: their number of documents and of shingles."""
-        return members.groupBy(*keys).agg(
-            F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("component").alias("c0"), F.max("component").alias("c1"),
-        ).where("c0 < c1").drop("c0", "c1")
-
-    rows = materialize(placed.join(mixed(placed, "tree", "hi"), ["tree", "hi"]), "near_regions")
+    mixed = placed.groupBy("tree", "hi").agg(
+        F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("component").alias("c0"), F.max("component").alias("c1"),
+    ).where("c0 < c1").drop("c0", "c1")  # regions with several components
+    rows = materialize(placed.join(mixed, ["tree", "hi"]), "near_regions")
     small = (
         rows.where(F.col("size") <= SMALL_REGION).repartition("tree", "hi").sortWithinPartitions("tree", "hi", "doc_id")
         .mapInArrow(_small_regions(percent), "a long, b long").distinct()
     )
-    large = rows.where(F.col("size") > SMALL_REGION)
-    whole = large.where(F.col("weight") <= REGION_ITEMS).withColumn("lo", F.lit(0).cast("long"))
-    heavy = large.where(F.col("weight") > REGION_ITEMS).drop("size", "weight")
-    deep = heavy.join(mixed(heavy, "tree", "hi", "lo"), ["tree", "hi", "lo"])
-    blocks = F.ceil(F.col("weight") / (REGION_ITEMS // 2)).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    met = (
-        whole.unionByName(deep).withColumn("blocks", F.when(F.col("weight") <= REGION_ITEMS, F.lit(1)).otherwise(blocks))
-        .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("tree", "hi", "lo", F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
-                "doc_id", "component")
-    )
-    keys = ["tree", "hi", "lo", "first", "second"]
+    met = _in_blocks(rows.where(F.col("size") > SMALL_REGION))
+    keys = ["tree", "hi", "first", "second"]
     inside = (
         met.hint("merge").join(sets, "doc_id").repartition(*keys).sortWithinPartitions(*keys, "doc_id")
-        .select(*keys, "doc_id", "component", "items").mapInArrow(_large_regions(percent), "a long, b long")
+        .select(*keys, "own", "doc_id", "component", "items").mapInArrow(_large_regions(percent), "a long, b long")
     )
     return materialize(_confirm(small, sets, percent).union(inside), "near_late_links")
 

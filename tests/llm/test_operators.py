@@ -258,6 +258,27 @@ def test_family_of_copies_with_many_edits(spark, monkeypatch, small, items):
     assert len({c for _, c in want.values()}) > 3
 
 
+def _sets_of(spark, rows):
+    return spark.createDataFrame([(d, items) for d, _, items in rows], "doc_id long, items array<long>")
+
+
+def _placed(spark, rows, lo):
+    """All rows in one region of one tree."""
+    return spark.createDataFrame([(0, 0, lo(d), d, len(items), 0, 0, c) for d, c, items in rows],
+                                 "tree int, hi long, lo long, doc_id long, n long, s0 long, s1 long, component long")
+
+
+def test_heavy_regions_are_searched_at_the_same_depth(spark, monkeypatch):
+    """A family of copies makes the region heavy; links among and to the others do not share the whole label."""
+    monkeypatch.setattr(near_dedup, "REGION_ITEMS", 1000)
+    family = [(d, 1, list(range(100 * (d % 4), 100 * (d % 4) + 50))) for d in range(1, 61)]
+    others = [(100, 100, list(range(100, 145))), (101, 101, list(range(900, 950))), (102, 102, list(range(902, 950)))]
+    rows = family + others
+    got = near_dedup._searched_regions(_placed(spark, rows, lambda d: d), _sets_of(spark, rows), 85).collect()
+    component = {d: c for d, c, _ in rows}
+    assert {tuple(sorted((component[r["a"]], component[r["b"]]))) for r in got} == {(1, 100), (101, 102)}
+
+
 def test_distinct_documents_keep_columns(docs, none):
     kept = near_dedup.distinct_documents(docs)
     assert kept.columns == docs.columns
