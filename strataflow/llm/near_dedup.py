@@ -40,6 +40,7 @@ MAX_DEPTH = 8
 
 SMALL_REGION = 16  # documents whose pairs are confirmed one by one
 REGION_ITEMS = 2_000_000  # shingles of a region that one task compares; beyond, blocks of half as many
+REGION_DOCS = 4_000  # the same for documents
 _COLUMNS = 2048
 _ROWS = 256
 
@@ -323,13 +324,13 @@ def _large_regions(percent: int):
 
 
 def _blocks(weight: F.Column, size: F.Column) -> F.Column:
-    return F.greatest(F.ceil(weight / (REGION_ITEMS // 2)), F.lit(1)).cast("int")
+    return F.greatest(F.ceil(weight / (REGION_ITEMS // 2)), F.ceil(size / (REGION_DOCS // 2)), F.lit(1)).cast("int")
 
 
 def _in_blocks(large: DataFrame) -> DataFrame:
     """Rows of large regions, once for every pair of blocks that they take part in."""
     names = ["tree", "hi", "own", "first", "second", "doc_id", "component"]
-    fits = F.col("weight") <= REGION_ITEMS
+    fits = (F.col("weight") <= REGION_ITEMS) & (F.col("size") <= REGION_DOCS)
     zero = F.lit(0)
     whole = large.where(fits).select("tree", "hi", zero.alias("own"), zero.alias("first"), zero.alias("second"), "doc_id", "component")
     heavy = large.where(~fits)

@@ -279,6 +279,15 @@ def test_heavy_regions_are_searched_at_the_same_depth(spark, monkeypatch):
     assert {tuple(sorted((component[r["a"]], component[r["b"]]))) for r in got} == {(1, 100), (101, 102)}
 
 
+def test_a_region_of_many_short_documents_is_cut_by_documents(spark):
+    """20,000 texts of eight shingles, few of them linked; no task compares more than two blocks."""
+    rows = [(d, d, [*range(7), 1000 + d // 2 * 2 if d < 10 else 1000 + d]) for d in range(20_000)]
+    got = near_dedup._searched_regions(_placed(spark, rows, lambda d: 0), _sets_of(spark, rows), 85).collect()
+    assert {(r["a"], r["b"]) for r in got} == {(d, d + 1) for d in range(0, 10, 2)}
+    blocks = near_dedup._in_blocks(_placed(spark, rows, lambda d: 0).selectExpr("*", "20000L as size", "160000L as weight"))
+    assert blocks.groupBy("first", "second").count().agg(F.max("count")).first()[0] < 5000
+
+
 def test_distinct_documents_keep_columns(docs, none):
     kept = near_dedup.distinct_documents(docs)
     assert kept.columns == docs.columns
