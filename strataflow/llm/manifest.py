@@ -229,7 +229,7 @@ def prove(rows: DataFrame, key: Column, group: Column, leaf: Column, changed: Co
     """One row per row of ``rows``: ``key, leaf, subroot, root, siblings, path, version_root, verified``.
 
     ``leaf`` is a SHA-256 digest as hex text. Per group the leaves ascend by key (null first; equal keys by
-    digest); two consecutive nodes (the last alone if their number is odd) become the digest of their hex texts,
+    digest, then changed digest); two consecutive nodes (the last alone if their number is odd) become the digest of their hex texts,
     until one is left. These subroots, in bytewise order of the groups (null first), become the root likewise. ``siblings``
     are the 32-byte digests beside the way from the leaf to the root and ``path`` their sides (``l``, ``r``, ``-`` for
     none). Where ``changed`` is not null it is the leaf of a version of its own; ``version_root`` is that version's
@@ -243,7 +243,7 @@ def prove(rows: DataFrame, key: Column, group: Column, leaf: Column, changed: Co
     name = F.coalesce(F.concat(F.lit("="), group.cast("string")), F.lit(""))
     leaves = _numbered(rows.select(
         key.cast("long").alias("key"), name.alias("g"), F.unhex(leaf).alias("digest"), new.alias("changed")),
-        ["key", "digest"], "rows")
+        ["key", "digest", "changed"], "rows")
     lower = _climb(leaves, "rows")
     subroots = lower[-1].select(F.col("g").alias("name"), "digest")
     groups = _numbered(subroots.select(F.lit("").alias("g"), "name", "digest"), ["name"], "groups")

@@ -8,6 +8,7 @@ their place by their rank among pieces of the same length; ranks are counted in
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections import Counter
@@ -89,7 +90,8 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.separator = self._encode(["\n"])[0][0]
         self._forget()
 
@@ -156,6 +158,10 @@ class _Encoder:
         ids = self.ids[np.repeat(at - running[:-1], size) + np.arange(running[-1])]
         cuts = running[np.searchsorted(starts, bounds)]
         unsure = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(kinds == _UNSURE)])[bounds]))
+        if self.added is not None:
+            # Added tokens stand for themselves wherever a text holds them: no pre-token is one.
+            holds = [m.start() for m in self.added.finditer(text)]
+            unsure = np.union1d(unsure, np.searchsorted(bounds, holds, "right") - 1) if holds else unsure
         if len(unsure):
             parts = [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
             for i, own in zip(unsure, self._encode([text[bounds[i]:bounds[i + 1]] for i in unsure])):

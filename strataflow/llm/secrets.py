@@ -176,7 +176,7 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, ratios: list[float] | None = None, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``mark``; texts without one stay as they are."""
+    """``docs`` with every secret in ``text`` replaced by ``mark``; texts without one, and null ones, stay as they are."""
     ratios = train(docs) if ratios is None else ratios
     text = F.col("text")
 
@@ -188,7 +188,10 @@ def redact(docs: DataFrame, ratios: list[float] | None = None, mark: str = "[SEC
             F.when(fresh, F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-    cleaned = F.aggregate("_spans", start, step, lambda done: F.concat(
+    found = "_spans"
+    while found in docs.columns:
+        found += "_"
+    cleaned = F.aggregate(found, start, step, lambda done: F.concat(
         done["out"], F.substring(text, done["pos"] + 1, F.length(text))))
-    marked = docs.withColumn("_spans", spans_of(text, ratios))
-    return marked.withColumn("text", F.when(F.size("_spans") > 0, cleaned).otherwise(text)).drop("_spans")
+    marked = docs.withColumn(found, spans_of(text, ratios))
+    return marked.withColumn("text", F.when(F.size(found) > 0, cleaned).otherwise(text)).drop(found)

@@ -2,8 +2,8 @@
 
 A word is a run of bytes outside ``[\\x20\\x09-\\x0D]``. Hashes have 64 bits: byte values and
 positions are weighted by fixed random odd numbers, so the same word has the same hash in
-every task. Texts are handled in chunks of about ``CHUNK_BYTES``; a longer text is a chunk of
-its own.
+every task. Texts are handled in chunks of about ``CHUNK_BYTES``, which bounds the arrays made of them (up to
+some hundred bytes a byte of text); a longer text is a chunk of its own.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _random = np.random.Generator(np.random.PCG64(20250101))
 _BYTE_VALUE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -150,3 +150,88 @@ def captures(pages, least=0):
         out.append((p, len(x), base64.b32encode(hashlib.sha1(x).digest()).decode(), "revisit" if again else "response",
                     r if again else None))
     return sorted(out, key=str)
+
+
+def _sum(*parts: str) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def manifest(rows, changed):
+    """rows: (key, group, leaf); changed(i): the tampered leaf of row i or None. Per row as the manifest gives it."""
+    order = lambda name: (name is not None, (name or "").encode())
+    groups = defaultdict(list)
+    for i, (key, group, leaf) in enumerate(rows):
+        groups[group].append((key is not None, key or 0, leaf, changed(i) or "", i))
+
+    def climb(row):
+        """Levels of digests up to one, and the siblings of each place from the bottom up."""
+        levels = [row]
+        while len(levels[-1]) > 1:
+            below = levels[-1]
+            levels.append([_sum(*below[i:i + 2]) for i in range(0, len(below), 2)])
+        return levels
+
+    def beside(levels, place):
+        out = []
+        for row in levels[:-1]:
+            out.append((place % 2, row[place ^ 1]) if place ^ 1 < len(row) else (0, ""))
+            place //= 2
+        return out
+
+    names = sorted(groups, key=order)
+    trees = {g: climb([leaf for _, _, leaf, *_ in sorted(groups[g])]) for g in names}
+    top = climb([trees[g][-1][0] for g in names])
+    root, out = top[-1][0], {}
+    for at, g in enumerate(names):
+        for place, (_, _, leaf, _, i) in enumerate(sorted(groups[g])):
+            way = beside(trees[g], place) + beside(top, at)
+            end = changed(i) or leaf
+            for left, other in way:
+                end = _sum(other, end) if left else _sum(end, other)
+            out[i] = (rows[i][0], leaf, trees[g][-1][0], root, _sum(*(o for _, o in way)), end, end == root)
+    return [out[i] for i in range(len(rows))]
+
+
+def leaf(*values) -> str:
+    return _sum(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def planted(doc_id, text):
+    w = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and w:
+        g, n = h // 10, len(w)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    return w
+
+
+def runs(w) -> list[tuple[int, int, int]]:
+    n, out = len(w), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            s = i
+            while i + q < n and w[i] == w[i + q]:
+                i += 1
+            size = i + q - s
+            smaller = (d for d in range(1, q) if all(w[x] == w[x + d] for x in range(s, s + size - d)))
+            if size >= max(6, 4 * q) and next(smaller, None) is None:
+                out.append((s, size, q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w, found) -> str:
+    gone = {i for s, size, q in found for i in range(s + q, s + size)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def run_digest(w) -> tuple:
+    found = runs(w)
+    best = min(((-size, s, q) for s, size, q in found), default=None)
+    longest = (best[1], -best[0], best[2], -best[0] * 1000 // best[2]) if best else (None,) * 4
+    return (len(found), *longest, _sum(*(f"{s},{size},{q}\n" for s, size, q in found)), _sum(collapsed(w, found)))

@@ -54,7 +54,8 @@ def frame(spark, rows=DOCS):
         "doc_id", "text", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"), F.lit(1).cast("long").alias("n_chars"),
         *(F.lit("x").alias(c) for c in (
             "id", "key", "row", "rank", "length", "fp", "sig", "n", "a", "b", "component_id", "kept", "label", "spans", "base",
-            "terms", "content", "text_hash", "packed", "bucket", "size", "order")),
+            "terms", "content", "text_hash", "packed", "bucket", "size", "order", "_spans", "g", "pos", "part", "at", "digest",
+            "runs", "collapsed", "code", "ids")),
     )
 
 

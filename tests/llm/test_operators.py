@@ -141,7 +141,6 @@ def test_pieces_equal_the_tokenizer(docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     want = sorted(((d, *p) for d, t in DOCS for p in brute.token_pieces(t, tokenizer, 256)), key=str)
     got = packing.pack(docs, TOKENIZER, capacity=256)
     assert rows_of(got, "doc_id", "piece", "start", "length", "ids_crc32") == want

@@ -54,7 +54,6 @@ def test_op4(spark, docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rows = _rows(spark, "op4_best_two_fit")
     want = sorted((d, *p) for d, t in docs for p in brute.token_pieces(t, tokenizer, 2048))
     assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
