@@ -244,12 +244,12 @@ def bronze_append(spark, d):
     return parts[0].unionByName(parts[1])
 
 
-def _upserted(spark, target, source, keys, date_col, schema, date_from) -> DataFrame:
+def _upserted(spark, target, source, keys, date_col, schema, date_from, split_by=()) -> DataFrame:
     """Load the target, upsert the source twice, read the table back."""
     path = new_path(spark, "upserted")
     for rows in (target, source, source):
-        sinks.write_upsert(path, rows, keys, date_col, date_from=date_from)
-    return spark.read.schema(sinks.monthly(schema)).parquet(path).drop(sinks.MONTH)
+        sinks.write_upsert(path, rows, keys, date_col, date_from=date_from, split_by=split_by)
+    return spark.read.schema(sinks.monthly(schema)).parquet(path).select(schema.names)
 
 
 @query
@@ -258,7 +258,7 @@ def silver_upsert(spark, d):
     target = trips.where("pickup_date < '1999-01-01'")
     source = trips.where("pickup_date >= '1998-07-01'").withColumn("total_amount", F.col("total_amount") + 1)
     return _shown(_upserted(
-        spark, target, source, ["taxi_type", "trip_id"], "pickup_date", contracts.SILVER_TRIPS, ["trip_id"]))
+        spark, target, source, ["taxi_type", "trip_id"], "pickup_date", contracts.SILVER_TRIPS, ["trip_id"], ["taxi_type"]))
 
 
 @query

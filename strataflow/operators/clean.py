@@ -144,8 +144,8 @@ def as_of(df: DataFrame, ts: str, ingested: str = "_ingested_ts") -> DataFrame:
     return df.where(F.col(ingested) <= F.lit(ts).cast("timestamp"))
 
 
-def enforce_schema(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (valid in contract types, quarantine with the violations).
+def _contract_columns(df: DataFrame, schema: T.StructType) -> tuple[list[Column], list[Column]]:
+    """The contract's columns in its types, and a reason (or null) for each way to break it.
 
     Absent nullable columns become NULL; unknown columns and absent required ones are errors.
     """
@@ -167,10 +167,29 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
             checks.append(F.when(raw.isNotNull() & value.isNull(), F.lit(f"bad_type:{field.name}")))
         if not field.nullable:
             checks.append(F.when(raw.isNull(), F.lit(f"null:{field.name}")))
+    return casts, checks
+
+
+def _violations(checks: list[Column]) -> Column:
+    return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
 
-    if not checks:
-        return df.select(*casts), df.withColumn("violations", F.array().cast("array<string>")).where("false")
-    violations = F.array_compact(F.array(*checks))
+
+def enforce_schema(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Split rows into (valid in contract types, quarantine with the violations)."""
+    casts, checks = _contract_columns(df, schema)
+    violations = _violations(checks)
     valid = df.where(F.size(violations) == 0).select(*casts)
     quarantine = df.withColumn("violations", violations).where(F.size("violations") > 0)
     return valid, quarantine
+
+
+def checked(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """All rows in contract types, for one pass over the source.
+
+    A row that breaks the contract has its ``violations`` and, as JSON in ``_raw``, its values as they were
+    read; both are null in a valid row.
+    """
+    casts, checks = _contract_columns(df, schema)
+    found = F.when(F.size(_violations(checks)) > 0, _violations(checks))
+    raw = F.when(F.size(_violations(checks)) > 0, F.to_json(F.struct(*(F.col(c) for c in df.columns))))
+    return df.select(*casts, found.alias("violations"), raw.alias("_raw"))

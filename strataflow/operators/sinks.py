@@ -16,16 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.sources.reading import IngestionError
+from strataflow.sources.reading import EVENT_MONTH, NO_MONTH, VALID, IngestionError
 from strataflow.storage import is_missing_path, materialize
 
 # Directory column of upserted tables. Months match the slices a run ingests and stay few;
 # days are found inside by the files' min/max statistics.
 MONTH = "_month"
 
-# Month of rows without a date. A directory name of its own, because NULL ones match no join key.
-NO_MONTH = "none"
-
 
 class MergeConflict(RuntimeError):
     """Several source rows share one merge key."""
@@ -46,25 +43,42 @@ def append_raw(df: DataFrame, path: str, run_id: str) -> int:
     (even an empty one) overwrites its own. No shuffle. A run whose columns or types differ
     from the table's is refused: the table's schema does not evolve.
     """
+    return written_rows(_write_run(df, path, run_id))
+
+
+def append_checked(checked: DataFrame, path: str, run_id: str, month: Column) -> int:
+    """:func:`append_raw` of rows that carry their ``violations``: the number of those without.
+
+    One write for rows that keep the contract and rows that break it, in directories of their own, and below
+    these one directory for every ``month``, so a slice by time opens its months alone, whichever ingest they
+    came with. A file's rows are counted from its footer.
+    """
+    rows = checked.select("*", F.col("violations").isNull().alias(VALID), month.alias(EVENT_MONTH))
+    return written_rows(_write_run(rows, path, run_id, (VALID, EVENT_MONTH)).where(VALID))
+
+
+def _write_run(df: DataFrame, path: str, run_id: str, split_by: Sequence[str] = ()) -> DataFrame:
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", run_id):
         raise ValueError(f"run id {run_id!r} is not a plain directory name")
-    _check_same_columns(df, path)
+    _check_same_columns(df.drop(*split_by), path, ("_ingest_id", *split_by))
     run_path = f"{path}/_ingest_id={run_id}"
-    df.write.mode("overwrite").parquet(run_path)
-    return written_rows(df.sparkSession.read.schema(df.schema).parquet(run_path))
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*split_by).parquet(run_path)
+    return df.sparkSession.read.schema(df.schema).parquet(run_path)
 
 
-def _check_same_columns(df: DataFrame, path: str) -> None:
+def _check_same_columns(df: DataFrame, path: str, directories: Sequence[str]) -> None:
     """Compares with the footer of one file of the table; no job over rows runs."""
     try:
         known = df.sparkSession.read.parquet(path).schema
     except AnalysisException as error:
-        if is_missing_path(error):
+        # A table of empty runs alone has directories without a file.
+        if is_missing_path(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return
         raise IngestionError(f"Cannot read table {path!r}: {error}") from error
     types = lambda schema: {f.name: f.dataType.simpleString() for f in schema.fields}
     want, got = types(known), types(df.schema)
-    want.pop("_ingest_id", None)
+    for name in directories:
+        want.pop(name, None)
     if want != got:
         differ = sorted(set(want.items()) ^ set(got.items()))
         raise IngestionError(f"Cannot append to {path!r}: columns or types differ in {differ}")
@@ -111,21 +125,23 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -
     return ranged.sortWithinPartitions(*by)
 
 
-def _replace_months(df: DataFrame, path: str, date_col: str, cluster_by: Sequence[str]) -> None:
+def _replace_months(df: DataFrame, path: str, date_col: str, cluster_by: Sequence[str], split_by: Sequence[str] = ()) -> None:
     """Overwrite the months ``df`` has rows of; inside, rows are clustered by date and key."""
+    message = F.lit(f"row without a value in {', '.join(split_by)}")
+    told = {c: F.coalesce(F.col(c), F.raise_error(message).cast(df.schema[c].dataType)) for c in split_by}
     (
-        clustered(df, [date_col, *(c for c in cluster_by if c != date_col)])
-        .withColumn(MONTH, month_of(date_col))
+        clustered(df, [*split_by, date_col, *(c for c in cluster_by if c != date_col and c not in split_by)])
+        .withColumns({**told, MONTH: month_of(date_col)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
+        .partitionBy(*split_by, MONTH)
         .parquet(path)
     )
 
 
 def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(schema.names)
     except AnalysisException as error:
         if is_missing_path(error):
             return None
@@ -133,18 +149,21 @@ def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: str,
-                 source_is_unique: bool = False, date_from: Sequence[str] = ()) -> int:
+                 source_is_unique: bool = False, date_from: Sequence[str] = (), split_by: Sequence[str] = ()) -> int:
     """Upsert into a table split by month of ``date_col``; only touched months are rewritten.
 
     A match can only lie in the same month, so ``date_col`` must be one of the keys, or be derived from
-    those that ``date_from`` names (a trip key contains its pickup time). The source is written to the
-    shared folder before the target changes; its months select the target's by a join that prunes
-    directories, so nothing depends on their number. The new months are built beside the old ones and
+    those that ``date_from`` names (a trip key contains its pickup time). ``split_by`` names keys that are
+    directories above the months: other values' files stay as they are, and rows without a value are refused.
+    The source is written to the shared folder before the target changes; its directories select the target's
+    by a join that prunes, so nothing depends on their number. The new ones are built beside the old ones and
     take their place when they are complete. ``source_is_unique`` skips the duplicate-key check for a
     source just deduplicated on the keys. Returns the number of source rows.
     """
     if date_col not in keys and not (date_from and set(date_from) <= set(keys)):
         raise ValueError(f"{date_col!r} is neither a key nor derived from one: a key whose date changes would be kept twice")
+    if not set(split_by) <= set(keys):
+        raise ValueError(f"{list(split_by)} must be keys: a match may lie under another value otherwise")
     spark = source.sparkSession
     staged = materialize(source, "upsert_source")
     if not source_is_unique:
@@ -152,15 +171,20 @@ def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: st
 
     target = _read_if_exists(spark, path, monthly(staged.schema))
     if target is None:
-        _replace_months(staged, path, date_col, keys)
+        _replace_months(staged, path, date_col, keys, split_by)
     else:
-        # The comparison leaves out nothing; it lets the planner prune directories by this side.
-        months = staged.select(month_of(date_col).alias(MONTH)).distinct().where(F.col(MONTH) >= "")
-        touched = target.join(months, MONTH, "left_semi").drop(MONTH)
-        _replace_months(upsert(touched.select(staged.columns), staged, keys), path, date_col, keys)
+        touched = touched_rows(target, staged, date_col, split_by)
+        _replace_months(upsert(touched.select(staged.columns), staged, keys), path, date_col, keys, split_by)
     return written_rows(staged)
 
 
+def touched_rows(target: DataFrame, source: DataFrame, date_col: str, split_by: Sequence[str] = ()) -> DataFrame:
+    """Rows of the directories of ``target`` that ``source`` has rows for."""
+    # The comparison leaves out nothing; it lets the planner prune directories by this side.
+    wanted = source.select(*split_by, month_of(date_col).alias(MONTH)).distinct().where(F.col(MONTH) >= "")
+    return target.join(wanted, [*split_by, MONTH], "left_semi").drop(MONTH)
+
+
 def replace_table(path: str, df: DataFrame, column: str = "summary_date",
                   cluster_by: Sequence[str] = ("taxi_type", "pu_location_id")) -> int:
     """Make ``df`` the whole table, in the layout of :func:`replace_dates`."""

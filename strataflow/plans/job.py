@@ -7,17 +7,15 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.operators import clean, drift, evaluate, gold, sinks
 from strataflow.sources import contracts
 from strataflow.sources.bindings import WEATHER, SourceConfig, trip_binding
 from strataflow.sources.reading import (
-    layer_path, read_layer, read_optional, read_source, slice_source, with_audit,
+    event_month, in_months, layer_path, read_layer, read_optional, read_raw, read_source, slice_source, with_audit,
 )
 from strataflow.storage import scratch
 
@@ -63,32 +61,39 @@ class JobParams:
 
 
 def ingest(spark: SparkSession, p: JobParams, name: str) -> int:
-    """Slice, audit, check against the contract, append.
+    """Slice, audit, check against the contract, append: one pass over the source.
 
-    Rows that break the contract are kept in a quarantine table of their own.
+    Rows that break the contract lie in directories of their own (:func:`read_quarantine`) and are not counted.
+    Trips are laid out by the month of their pickup, whatever slice they came with; weather by its slice columns.
     """
     cfg = p.sources[name]
     rows = with_audit(slice_source(read_source(spark, cfg), cfg, p.year, p.month), cfg, p.run_ts)
-    if cfg.contract is not None:
-        rows, broken = clean.enforce_schema(rows, cfg.contract)
-        sinks.append_raw(broken, layer_path(p.root, "bronze", f"{name}_quarantine"), p.raw_run_id)
-    return sinks.append_raw(rows, layer_path(p.root, "bronze", name), p.raw_run_id)
+    checked = clean.checked(rows, cfg.contract or rows.schema)
+    month = event_month(cfg, by_columns=name == WEATHER_SOURCE)
+    return sinks.append_checked(checked, layer_path(p.root, "bronze", name), p.raw_run_id, month)
+
+
+def raw_trips(spark: SparkSession, p: JobParams, name: str) -> DataFrame:
+    """All ingested trips with a pickup in the run's slice; other months are not opened."""
+    raw = read_raw(spark, p.root, name, p.sources[name].contract, p.year, p.month)
+    return clean.slice_event_time(raw, trip_binding(TRIP_SOURCES[name]).pickup, p.year, p.month)
+
+
+def raw_weather(spark: SparkSession, p: JobParams) -> DataFrame:
+    cfg = p.sources[WEATHER_SOURCE]
+    return slice_source(read_raw(spark, p.root, WEATHER_SOURCE, cfg.contract, p.year, p.month), cfg, p.year, p.month)
 
 
 def cleanse_trips(spark: SparkSession, p: JobParams, name: str) -> int:
-    binding = trip_binding(TRIP_SOURCES[name])
-    raw = read_layer(spark, p.root, "bronze", name, p.sources[name].contract)
-    sliced = clean.slice_event_time(raw, binding.pickup, p.year, p.month)
-    rows = clean.silver_trips(sliced, binding, p.run_ts)
-    keys = ["trip_id"] if p.shared_trip_key else ["taxi_type", "trip_id"]
+    rows = clean.silver_trips(raw_trips(spark, p, name), trip_binding(TRIP_SOURCES[name]), p.run_ts)
+    # A key shared by the types may match a row of the other one, so these lie in one directory then.
+    keys, split_by = (["trip_id"], []) if p.shared_trip_key else (["taxi_type", "trip_id"], ["taxi_type"])
     # The trip id is a hash over the pickup time among others.
-    return sinks.write_upsert(layer_path(p.root, "silver", "nyctaxi"), rows, keys, "pickup_date", True, ["trip_id"])
+    return sinks.write_upsert(layer_path(p.root, "silver", "nyctaxi"), rows, keys, "pickup_date", True, ["trip_id"], split_by)
 
 
 def cleanse_weather(spark: SparkSession, p: JobParams) -> int:
-    cfg = p.sources[WEATHER_SOURCE]
-    raw = read_layer(spark, p.root, "bronze", WEATHER_SOURCE, cfg.contract)
-    rows = clean.silver_weather(slice_source(raw, cfg, p.year, p.month), WEATHER, p.run_ts)
+    rows = clean.silver_weather(raw_weather(spark, p), WEATHER, p.run_ts)
     return sinks.write_upsert(
         layer_path(p.root, "silver", "weather"), rows, ["station_name", "weather_ts"], "weather_date", True, ["weather_ts"]
     )
@@ -99,8 +104,7 @@ def check_drift(spark: SparkSession, p: JobParams) -> str:
     try:
         trips = read_layer(spark, p.root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS))
         # Directories of the two years; the time itself is compared below.
-        trips = trips.where(reduce(lambda a, b: a | b, (
-            F.col(sinks.MONTH).between(f"{y:04d}-01", f"{y:04d}-12") for y in {p.reference_year, p.year})))
+        trips = trips.where(in_months(p.reference_year, column=sinks.MONTH) | in_months(p.year, column=sinks.MONTH))
         samples = drift.drift_input(trips, drift.DRIFT_FEATURES, "pickup_ts", p.reference_year, p.year)
         report = drift.drift_report(samples, drift.DRIFT_FEATURES, p.psi_threshold, p.ks_threshold)
         path = layer_path(p.root, "gold", f"drift_report/run={p.raw_run_id}")

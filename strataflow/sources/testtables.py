@@ -5,6 +5,7 @@ The tables hold no NULLs and no negative prices, so some are derived by fixed ru
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,11 +103,8 @@ def _land(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 def landed_source(spark: SparkSession, sf_dir: str, name: str) -> SourceConfig:
     """A registered source whose files were derived from the tables, split by year and month."""
-    return SourceConfig(
-        name, _land(spark, sf_dir, name),
-        schema=landing_schema(SOURCES[name]), contract=SOURCES[name].contract,
-        year_col=SOURCES[name].year_col, month_col=SOURCES[name].month_col, ts_col=SOURCES[name].ts_col, features=SOURCES[name].features,
-    )
+    cfg = SOURCES[name]
+    return replace(cfg, path=_land(spark, sf_dir, name), schema=landing_schema(cfg))
 
 
 # Column list of the orders table, given to readers of formats that carry no types.

@@ -126,7 +126,7 @@ def test_enforce_schema_rejects_unknown_and_missing_columns(spark):
 
 def test_bindings():
     assert SourceConfig("x", "p").month_col == "puMonth"
-    assert SourceConfig("x", "p", year_col="year").month_col == "month"
+    assert SourceConfig("x", "p", year_col="year", month_col="month").month_col == "month"
     assert len(BRONZE_YELLOW.fields) == 22
     with pytest.raises(ValueError):
         SourceConfig("x", "p", format="avro")

@@ -75,15 +75,23 @@ def test_no_retrieval_shuffle_without_broadcasts(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_touched_months_prune_the_target(spark):
+@pytest.mark.parametrize("split_by", [[], ["kind"]])
+def test_touched_directories_prune_the_target(spark, split_by):
     path = new_path(spark, "upsert")
     rows = spark.range(400).selectExpr(
-        "cast(id as string) as k", "cast(date_add(date'2023-01-01', cast(id as int)) as string) as day", "id as v")
-    sinks.write_upsert(path, rows, ["k"], "day", date_from=["k"])
-    few = materialize(rows.limit(3), "few")
-    months = few.select(sinks.month_of("day").alias(sinks.MONTH)).distinct().where(F.col(sinks.MONTH) >= "")
+        "cast(id % 2 as string) as kind", "cast(id as string) as k",
+        "cast(date_add(date'2023-01-01', cast(id as int)) as string) as day", "id as v")
+    sinks.write_upsert(path, rows, ["kind", "k"], "day", date_from=["k"], split_by=split_by)
+    few = materialize(rows.where("id in (0, 2, 4)"), "few")
     target = spark.read.schema(sinks.monthly(rows.schema)).parquet(path)
-    assert "dynamicpruning" in plan(target.join(months, sinks.MONTH, "left_semi"))
+    touched = sinks.touched_rows(target, few, "day", split_by)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        filters = plan(touched).split("PartitionFilters: [")[1].split("\n")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert filters.count("dynamicpruningexpression(") == 1 + len(split_by)
+    assert touched.count() == (31 if not split_by else 16)
 
 
 def test_drift_reads_the_directories_of_two_years(spark, monkeypatch):

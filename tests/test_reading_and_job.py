@@ -8,7 +8,7 @@ from strataflow.plans import job
 from strataflow.sources import contracts
 from strataflow.sources.bindings import SOURCES, SourceConfig
 from strataflow.sources.reading import (
-    IngestionError, read_layer, read_source, slice_source, with_audit,
+    IngestionError, event_month, layer_path, read_layer, read_quarantine, read_raw, read_source, slice_source, with_audit,
 )
 from strataflow.storage import new_path
 
@@ -131,7 +131,7 @@ def test_ingest_history_is_kept_and_can_be_rebuilt(spark):
     corrected.write.parquet(f"{root}/landing/corrected")
     second = sources | {"nyctaxi_yellow": yellow.at(f"{root}/landing/corrected")}
     job.run(spark, job.JobParams(sources=second, run_ts="2024-02-01 00:00:00", **common))
-    raw = read_layer(spark, root, "bronze", "nyctaxi_yellow", yellow.contract)
+    raw = read_raw(spark, root, "nyctaxi_yellow", yellow.contract)
     binding = job.trip_binding("yellow")
     state = lambda ts: clean.silver_trips(clean.as_of(raw, ts), binding).agg(F.min("fare_amount"), F.count("*")).first()
     assert state("2023-12-31 00:00:00")[1] == 0
@@ -159,3 +159,92 @@ def test_shared_trip_key_lets_green_overwrite_yellow(spark):
     silver = read_layer(spark, root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS))
     counts = {r["taxi_type"]: r["count"] for r in silver.groupBy("taxi_type").count().collect()}
     assert counts == {"green": 15, "yellow": 5}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_rows_lie_by_event_month_and_late_ones_are_found(spark):
+    """A slice of March that holds a pickup of the December before; the year before finds it in its own directory."""
+    root = new_path(spark, "job")
+    sources = land(spark, root + "/landing")
+    yellow = sources["nyctaxi_yellow"]
+    rows = spark.read.parquet(yellow.path).where("puYear = 2023")
+    late = rows.limit(1).withColumn("tpepPickupDatetime", F.lit("2022-12-31 23:59:00").cast("timestamp"))
+    nowhen = rows.limit(1).withColumn("tpepPickupDatetime", F.lit(None).cast("timestamp"))
+    rows.unionByName(late).unionByName(nowhen).write.parquet(f"{root}/landing/late")
+    sources["nyctaxi_yellow"] = yellow.at(f"{root}/landing/late")
+    p = job.JobParams(root=root, sources=sources, year=2023, month=3, run_ts="2024-01-01 00:00:00")
+    assert job.ingest(spark, p, "nyctaxi_yellow") == 23  # the row without a time breaks the contract
+    raw = job.raw_trips(spark, p, "nyctaxi_yellow")
+    filters = _plan(raw).split("PartitionFilters: [")[1].split("]")[0]
+    assert "_event_month" in filters and "_valid" in filters
+    opened = [r[0] for r in raw.select(F.input_file_name()).distinct().collect()]
+    assert raw.count() == 22 and opened and all("_valid=true/_event_month=2023-03" in f for f in opened)
+    before = job.JobParams(root=root, sources=sources, year=2022)
+    assert job.raw_trips(spark, before, "nyctaxi_yellow").count() == 1
+    held = read_quarantine(spark, root, "nyctaxi_yellow", yellow.contract).collect()
+    assert [r["violations"] for r in held] == [["null:tpepPickupDatetime"]] and '"fareAmount"' in held[0]["_raw"]
+
+
+def test_ingest_reads_its_source_once(spark):
+    """Valid and broken rows come from one job: the source's files are opened by one scan."""
+    root = new_path(spark, "job")
+    sources = land(spark, root + "/landing")
+    p = job.JobParams(root=root, sources=sources, year=2023)
+    calls = []
+    scan = job.read_source
+
+    def counted(*args):
+        calls.append(args)
+        return scan(*args)
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ingest-once", "one ingest")
+    try:
+        job.read_source = counted
+        assert job.ingest(spark, p, "nyctaxi_green") == 17
+    finally:
+        job.read_source = scan
+        jobs = tracker.getJobIdsForGroup("ingest-once")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(calls) == 1
+    # One job reads and writes the rows, one counts the footers of what was written; schemas are read before.
+    tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    assert len(jobs) <= 5 and tasks
+
+
+def test_an_ingest_may_be_empty_before_and_after_others(spark):
+    root = new_path(spark, "job")
+    sources = land(spark, root + "/landing")
+    for year, want in ((1999, 0), (2023, 3), (1998, 0)):
+        assert job.ingest(spark, job.JobParams(root=root, sources=sources, year=year), "noaa_weather") == want
+    weather = job.raw_weather(spark, job.JobParams(root=root, sources=sources, year=2023, month=3))
+    assert weather.count() == 3 and "_event_month" in _plan(weather).split("PartitionFilters: [")[1].split("]")[0]
+    assert read_quarantine(spark, root, "noaa_weather", sources["noaa_weather"].contract).count() == 0
+    assert layer_path(root, "bronze", "noaa_weather").endswith("bronze_noaa_weather")
+
+
+def test_weather_months_follow_the_slice_columns(spark):
+    df = spark.createDataFrame([(2023, 3), (2023, None), (None, 3)], "year int, month int")
+    months = [r[0] for r in df.select(event_month(SOURCES["noaa_weather"], by_columns=True)).collect()]
+    assert months == ["2023-03", "none", "none"]
+
+
+def test_green_run_leaves_the_files_of_yellow(spark):
+    root = new_path(spark, "job")
+    sources = land(spark, root + "/landing")
+    p = job.JobParams(root=root, sources=sources, year=2023, month=3)
+    files = lambda kind: sorted(read_layer(
+        spark, root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS)).where(F.col("taxi_type") == kind).inputFiles())
+    for name in job.TRIP_SOURCES:
+        job.ingest(spark, p, name)
+    job.cleanse_trips(spark, p, "nyctaxi_yellow")
+    yellow = [f for f in files("yellow") if "taxi_type=yellow" in f]
+    job.cleanse_trips(spark, p, "nyctaxi_green")
+    job.cleanse_trips(spark, p, "nyctaxi_green")
+    assert yellow and [f for f in files("yellow") if "taxi_type=yellow" in f] == yellow
+    silver = read_layer(spark, root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS))
+    assert {r[0]: r[1] for r in silver.groupBy("taxi_type").count().collect()} == {"yellow": 20, "green": 15}
+    assert silver.columns == sinks.monthly(contracts.SILVER_TRIPS).names

@@ -153,3 +153,16 @@ def test_clustered_files_hold_disjoint_ranges(spark):
     ranges = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("k"), F.max("k")).collect()
     spans = sorted((r[1], r[2]) for r in ranges)
     assert len(spans) > 1 and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_split_columns_are_keys_and_never_null(spark):
+    path, rows = new_path(spark, "upsert"), frame(spark, ("a", "1", "2024-01-01", 1))
+    with pytest.raises(ValueError, match="must be keys"):
+        sinks.write_upsert(path, rows, ["id"], "day", date_from=["id"], split_by=["kind"])
+    with pytest.raises(PySparkException, match="row without a value in kind"):
+        sinks.write_upsert(path, frame(spark, (None, "1", "2024-01-01", 1)), ["kind", "id"], "day", date_from=["id"], split_by=["kind"])
+    for source in (rows, frame(spark, ("a", "1", "2024-01-01", 2), ("b", "1", "2024-01-01", 3)), frame(spark, ("b", "2", None, 4))):
+        sinks.write_upsert(path, source, ["kind", "id"], "day", date_from=["id"], split_by=["kind"])
+    got = spark.read.schema(sinks.monthly(frame(spark).schema)).parquet(path).select("kind", "id", "day", "v")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == [
+        ("a", "1", "2024-01-01", 2), ("b", "1", "2024-01-01", 3), ("b", "2", None, 4)]
