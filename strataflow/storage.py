@@ -13,6 +13,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,5 +84,18 @@ def ordered_parts(df: DataFrame, order: list[str], name: str, parts: int | None
     return materialize(ranged.withColumn("_part", F.spark_partition_id()), name)
 
 
+def open_table(path: str) -> pa.Table | None:
+    """A small written table of the shared folder, opened inside a task; None where nothing was written."""
+    scheme, _, rest = path.partition(":")
+    if path.startswith("/") or scheme == "file":
+        files, inner = pafs.LocalFileSystem(), path if path.startswith("/") else "/" + rest.lstrip("/")
+    else:
+        files, inner = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    try:
+        return pq.read_table(inner, filesystem=files, partitioning=None)
+    except FileNotFoundError:
+        return None
+
+
 def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
