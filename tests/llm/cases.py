@@ -33,7 +33,7 @@ DOCS = [
     (20, LONG), (21, LONG.replace("the", "THE")), (22, prose(60, 8) + "\n" + SHARED), (23, SHARED + " " + prose(30, 9)),
     (30, "Wher " * 200), (31, "same line here\n" * 30 + prose(40, 3)), (32, "A#*$%&|<>" * 40),
     (40, prose(20, 5)), (40, prose(20, 5)), (41, "x" * 5000), (42, "日本語 テキスト 🙂 𝔘 'tis don't we'll  \n\n  it's x 'S 're\n'd"),
-    (None, BASE), (None, None),
+    (43, "a b <|endoftext|> c <|endoftext|>"), (None, BASE), (None, None),
 ]
 SECRET = "7f3c9a1e5b8d2f604c7e9a1b3d5f7089"
 DOCS += [(50 + i, prose(30, 60 + i) + s) for i, s in enumerate([
