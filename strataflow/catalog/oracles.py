@@ -375,6 +375,11 @@ def oracle_sql() -> dict[str, str]:
         "silver_as_of": _with(f"select {_SILVER} from silver", keyed=_KEYED_HISTORY,
                               keyed_where="where ingested <= timestamp '2023-01-15'", **latest_silver),
         "silver_latest": _with(f"select {_SILVER} from silver", keyed=_KEYED_HISTORY, **latest_silver),
+        "job_as_of": " union all ".join(
+            "select * from (" + _with(
+                f"select {_SILVER}, '{ts}' as as_of from silver where taxi_type = 'yellow' and year(pickup) = 1998 and month(pickup) = 3",
+                keyed=CTES["keyed"].replace("select *,", f"select * replace (fare + {more} as fare),"),
+            ) + ")" for ts, more in (("2023-01-15 00:00:00", 0), ("2023-02-15 00:00:00", 1))),
         "bronze_append": _with("""select 'nyctaxi_' || taxi_type as source,
             case when year(pickup) < 1998 then 'run-early' else 'run-late' end as _ingest_id, year(pickup) as "puYear",
             count(*) as n_rows, round(sum(fare), 2) as sum_fare from trips group by taxi_type, year(pickup)"""),
@@ -460,6 +465,17 @@ def oracle_sql() -> dict[str, str]:
         "doc_batches": """select (n - 1) // 500 as batch_id, count(*) as n_docs,
             count(*) filter (doc_id is null) as n_missing_id, 'ok' as status
             from (select doc_id, row_number() over (order by doc_id) as n from documents) group by 1""",
+        "doc_batches_by_bytes": """with recursive d as (
+                select doc_id, octet_length(encode(text)) as b, row_number() over (order by doc_id) as n from documents),
+            chain as (
+                select n, doc_id, b, b as filled, 1 as docs, cast(0 as bigint) as batch_id from d where n = 1
+                union all
+                select d.n, d.doc_id, d.b, case when fits then filled + d.b else d.b end, case when fits then docs + 1 else 1 end,
+                    case when fits then batch_id else batch_id + 1 end
+                from (select n, doc_id, b, filled, docs, batch_id from chain) c join d on d.n = c.n + 1,
+                    lateral (select c.docs < 40 and c.filled + d.b <= 100000 as fits))
+            select batch_id, count(*) as n_docs, cast(sum(b) as bigint) as n_bytes, min(doc_id) as first_id, max(doc_id) as last_id
+            from chain group by 1""",
         "bm25_topk": _with(_RANKED.format(name="hits")),
         "vector_topk": _with(_RANKED.format(name="vhits")),
         "hybrid_topk": _with(_RANKED.format(name="fused")),
@@ -493,6 +509,11 @@ def oracle_sql() -> dict[str, str]:
         "drift_alerts_stream": _with(f"""select strftime(start, {_TS}) as window_start,
             strftime(start + interval 5 minutes, {_TS}) as window_end, feature, round(max_psi, 6) as max_psi
             from alerts"""),
+        "metric_alerts": _drift(f"""select strftime(start, {_TS}) as window_start,
+            strftime(start + interval 5 minutes, {_TS}) as window_end, feature, round(psi, 6) as max_psi, way
+            from report, (values (timestamp '2024-01-01 00:00:00'), (timestamp '2024-01-01 00:05:00')) w(start),
+                (values ('batch'), ('stream')) v(way)
+            where psi > 0.2 and status = 'ok'""", source="shifted", shifted=CTES["shifted"].replace("1.35e0", "0.3e0")),
         "alert_parse": """select event_id, event_type as feature, round(value, 6) as score, 0.2e0 as threshold,
             'run-' || user_id as pipeline_run_id from events where event_id % 19 <> 0 and event_id % 17 <> 0""",
         "alert_rejects": _with("select event_id, raw from messages where event_id % 19 = 0 or event_id % 17 = 0"),

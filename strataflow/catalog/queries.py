@@ -12,12 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.operators import clean, documents, drift, evaluate, gold, prompts, retrieve, sinks
+from strataflow.operators import bounded_batches, clean, documents, drift, evaluate, gold, prompts, retrieve, sinks
 from strataflow.plans import job, views
 from strataflow.session import configure
 from strataflow.sources import contracts, testtables as tt
 from strataflow.sources.bindings import SourceConfig, TripBinding, WeatherBinding
-from strataflow.sources.reading import read_source, slice_source, with_audit
+from strataflow.sources.reading import read_raw, read_source, slice_source, with_audit
 from strataflow.storage import materialize, new_path
 from strataflow.streaming import alerts
 
@@ -224,6 +224,26 @@ def silver_latest(spark, d):
     return _shown(clean.silver_trips(_raw_history(spark, d), _HISTORY, tt.RUN_TS))
 
 
+@query
+def job_as_of(spark, d):
+    """A month of trips ingested by the job, then again with corrected fares; both states rebuilt from the raw table."""
+    root, year, month = new_path(spark, "job_as_of"), 1998, 3
+    sources = {n: tt.landed_source(spark, d, n) for n in (*job.TRIP_SOURCES, job.WEATHER_SOURCE)}
+    yellow = sources["nyctaxi_yellow"]
+    corrected = new_path(spark, "landing_corrected")
+    rows = slice_source(read_source(spark, yellow), yellow, year, month)
+    rows.withColumn("fareAmount", F.col("fareAmount") + 1).write.partitionBy(yellow.year_col, yellow.month_col).parquet(corrected)
+    common = dict(root=root, year=year, month=month, dates=(f"{year}-03-01",), run_drift=False)
+    job.run(spark, job.JobParams(sources=sources, run_ts="2023-01-01 00:00:00", **common))
+    job.run(spark, job.JobParams(
+        sources=sources | {yellow.name: yellow.at(corrected)}, run_ts="2023-02-01 00:00:00", **common))
+    raw = read_raw(spark, root, yellow.name, yellow.contract, year, month)
+    states = [
+        clean.silver_trips(clean.as_of(raw, ts), job.trip_binding("yellow"), tt.RUN_TS).withColumn("as_of", F.lit(ts))
+        for ts in ("2023-01-15 00:00:00", "2023-02-15 00:00:00")]
+    return _shown(states[0].unionByName(states[1]))
+
+
 # --- sinks ---------------------------------------------------------------------------
 
 
@@ -401,12 +421,12 @@ def _samples(spark: SparkSession, d: str) -> DataFrame:
     return drift.drift_input(_two_years(spark, d), FEATURES, "pickup_ts", REF_YEAR, CUR_YEAR)
 
 
-def _shifted(spark: SparkSession, d: str) -> DataFrame:
-    """Ship years 1995 and 1999 of the order lines, with later prices 35 % higher."""
+def _shifted(spark: SparkSession, d: str, factor: float = 1.35) -> DataFrame:
+    """Ship years 1995 and 1999 of the order lines, with later prices 35 % higher, or times another ``factor``."""
     lines = tt.table(spark, d, "lineitem").withColumn("ts", F.col("l_shipdate").cast("timestamp"))
     late = clean.within("ts", CUR_YEAR)
     raised = lines.withColumn(
-        "l_extendedprice", F.col("l_extendedprice") * F.when(late, F.lit(1.35)).otherwise(F.lit(1.0))
+        "l_extendedprice", F.col("l_extendedprice") * F.when(late, F.lit(factor)).otherwise(F.lit(1.0))
     )
     return drift.drift_input(raised, ["l_extendedprice", "l_quantity"], "ts", REF_YEAR, CUR_YEAR)
 
@@ -528,6 +548,16 @@ def doc_batches(spark, d):
     return documents.write_batches(batched, new_path(spark, "doc_batches"))
 
 
+@query
+def doc_batches_by_bytes(spark, d):
+    """Batches of at most 40 documents and 100,000 bytes: both bounds are met, and some documents are larger."""
+    batched = bounded_batches.assign_bounded_batches(
+        spark, f"{d}/documents.parquet", F.octet_length("text"), count=40, limit=100_000, id_col="doc_id")
+    return batched.groupBy("batch_id").agg(
+        F.count("*").alias("n_docs"), F.sum("n_bytes").alias("n_bytes"),
+        F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+
+
 @query
 def bm25_topk(spark, d):
     return _shown(retrieve.bm25_topk(_questions(spark, d), _corpus(spark, d)))
@@ -690,6 +720,23 @@ def drift_alerts_stream(spark, d):
     return _shown(alerts.read_alerts(spark, path))
 
 
+@query
+def metric_alerts(spark, d):
+    """Drift report to metric rows of two runs to alerts, from the metric table at rest and as a stream."""
+    path = new_path(spark, "metrics")
+    report = materialize(drift.drift_report(_shifted(spark, d, 0.3)), "report")
+    for run, ts in (("a", "2024-01-01 00:01:00"), ("b", "2024-01-01 00:07:30")):
+        evaluate.drift_metrics(report, ts).write.parquet(f"{path}/run={run}")
+    at_rest = alerts.drift_alerts(alerts.psi_rows(alerts.read_metrics(spark, path)))
+    rows = alerts.psi_rows(alerts.read_metrics(spark, path, stream=True))
+    sink = new_path(spark, "metric_alerts")
+    stream = alerts.write_alerts(
+        alerts.drift_alerts(rows, watermark=alerts.ALERT_WINDOW), sink, new_path(spark, "metric_alerts_state"))
+    stream.awaitTermination()
+    streamed = alerts.read_alerts(spark, sink)
+    return _shown(at_rest.withColumn("way", F.lit("batch")).unionByName(streamed.withColumn("way", F.lit("stream"))))
+
+
 def _messages(spark: SparkSession, d: str) -> DataFrame:
     """Alert messages derived from the events; some are cut off, some lack the feature."""
     i = F.col("event_id")

@@ -43,17 +43,23 @@ def assign_batches(spark: SparkSession, path: str, id_col: str = "id", size: int
     no documents are sorted or gathered, however often an id repeats. Reading the same files
     again, or a copy of them elsewhere, gives the same numbers.
     """
+    rows = numbered(spark, path)
+    return rows.select(
+        F.floor(F.col("_number") / F.lit(size)).cast("bigint").alias("batch_id"),
+        F.col(id_col).isNull().alias("missing_id"),
+        *(c for c in rows.columns if c != "_number"),
+    )
+
+
+def numbered(spark: SparkSession, path: str) -> DataFrame:
+    """Written documents with their ``_number``, from 0 on, in order of the files' names."""
     rows = spark.read.parquet(path).select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    number = F.col("_before") + F.col("_row")
-    return rows.join(_rows_before(rows), "_file").select(
-        F.floor(number / F.lit(size)).cast("bigint").alias("batch_id"),
-        F.col(id_col).isNull().alias("missing_id"),
-        *(c for c in rows.columns if c not in ("_file", "_row")),
-    )
+    return rows.join(_rows_before(rows), "_file").withColumn("_number", F.col("_before") + F.col("_row")).drop(
+        "_file", "_row", "_before")
 
 
 def _rows_before(rows: DataFrame) -> DataFrame:

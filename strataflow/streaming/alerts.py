@@ -17,9 +17,15 @@ ALERT_THRESHOLD = 0.2
 ALERT_WINDOW = "5 minutes"
 PSI_METRIC = "drift.psi"
 
+METRICS = "metric string, attr_key string, attr_value string, value double, ts timestamp, run string"
 ALERTS = "window_start timestamp, window_end timestamp, feature string, max_psi double"
 
 
+def read_metrics(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """The metric table of the job, one directory per run, as it is or as a stream of the runs to come."""
+    return (spark.readStream if stream else spark.read).schema(METRICS).parquet(path)
+
+
 def psi_rows(metrics: DataFrame) -> DataFrame:
     """Metric rows ``(metric, attr_key, attr_value, value, ts)`` of the drift score, as the rule reads them."""
     chosen = metrics.where((F.col("metric") == PSI_METRIC) & (F.col("attr_key") == "feature"))
