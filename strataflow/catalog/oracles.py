@@ -444,6 +444,7 @@ def oracle_sql() -> dict[str, str]:
         "drift_ks": _drift("select feature, round(ks, 9) as ks_statistic from stats"),
         "drift_wasserstein": _drift("select feature, round(w1, 6) as wasserstein from stats"),
         "drift_report": _drift(_REPORT.format(keys="feature")),
+        "drift_report_partials": _drift(_REPORT.format(keys="feature")),
         "drift_report_shifted": shifted_report,
         "drift_by_type": _drift(_REPORT.format(keys="taxi_type, feature"), keys="taxi_type, feature", samples=by_type),
         "drift_violations": _drift("""select feature, case when psi > 0.2 then 'psi' else 'ks_statistic' end as measure,

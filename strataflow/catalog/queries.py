@@ -17,7 +17,7 @@ from strataflow.plans import job, views
 from strataflow.session import configure
 from strataflow.sources import contracts, testtables as tt
 from strataflow.sources.bindings import SourceConfig, TripBinding, WeatherBinding
-from strataflow.sources.reading import read_raw, read_source, slice_source, with_audit
+from strataflow.sources.reading import in_months, read_raw, read_source, slice_source, with_audit
 from strataflow.storage import materialize, new_path
 from strataflow.streaming import alerts
 
@@ -484,6 +484,18 @@ def drift_report(spark, d):
     return _shown(drift.drift_report(_samples(spark, d), FEATURES))
 
 
+@query
+def drift_report_partials(spark, d):
+    """The same report from counts that are stored per month and trip type and merged for the two years."""
+    month = sinks.month_of("pickup_date").alias(sinks.MONTH)
+    trips = _two_years(spark, d).withColumn(sinks.MONTH, month)
+    path = new_path(spark, "value_counts")
+    sinks.replace_months(drift.value_counts(trips, FEATURES, ["taxi_type", sinks.MONTH]), path)
+    counts = spark.read.schema(job.COUNTS).parquet(path)
+    sides = (in_months(year, column=sinks.MONTH) for year in (REF_YEAR, CUR_YEAR))
+    return _shown(drift.report_of(drift.merged_frequency(counts, *sides), FEATURES))
+
+
 @query
 def drift_report_shifted(spark, d):
     return _shown(drift.drift_report(_shifted(spark, d)))

@@ -65,6 +65,25 @@ def frequency_table(samples: DataFrame, group_by: Sequence[str] = ()) -> DataFra
     return materialize(frequency(samples, group_by), "drift_freq")
 
 
+def value_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(by…, feature, value, n)`` without NULL and NaN: what :func:`merged_frequency` needs of the rows.
+
+    Tables of different months, kept apart by one of the columns ``by``, add up: no month is counted twice.
+    """
+    wide = df.select(*by, *(F.col(f).cast("double").alias(f) for f in features))
+    long = wide.unpivot(list(by), list(features), "feature", "value")
+    return long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*by, "feature", "value").agg(
+        F.count("*").alias("n"))
+
+
+def merged_frequency(counts: DataFrame, is_ref: Column, is_cur: Column, group_by: Sequence[str] = ()) -> DataFrame:
+    """:func:`frequency_table` of two samples from stored counts; a count may be on both sides."""
+    merged = counts.where(is_ref | is_cur).groupBy(*group_by, "feature", "value").agg(
+        F.coalesce(F.sum(F.when(is_ref, F.col("n"))), F.lit(0)).alias("n_ref"),
+        F.coalesce(F.sum(F.when(is_cur, F.col("n"))), F.lit(0)).alias("n_cur"))
+    return materialize(merged, "drift_freq")
+
+
 def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join; grouping columns may be NULL, ``feature``, ``_part`` and ``bin`` never are.
 
@@ -253,16 +272,31 @@ def drift_report(
     raise_on_drift: bool = False,
     strict: bool = False,
     parts: int | None = None,
+) -> DataFrame:
+    """:func:`report_of` the values of two samples."""
+    return report_of(frequency_table(samples, group_by), features, psi_threshold, ks_threshold, n_bins, group_by,
+                     raise_on_drift, strict, parts)
+
+
+def report_of(
+    freq: DataFrame,
+    features: Sequence[str] | None = None,
+    psi_threshold: float = PSI_THRESHOLD,
+    ks_threshold: float = KS_THRESHOLD,
+    n_bins: int = PSI_BINS,
+    group_by: Sequence[str] = (),
+    raise_on_drift: bool = False,
+    strict: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per feature: PSI, KS with p-value, Wasserstein-1, flag and status.
 
     Two passes over the written frequency table: one for the distribution functions and
     reference quantiles, one for the histogram. Features listed in ``features`` but absent
-    from ``samples``, or from one of its groups, are reported as empty. ``strict`` raises for an empty side.
+    from ``freq``, or from one of its groups, are reported as empty. ``strict`` raises for an empty side.
     """
-    spark = samples.sparkSession
+    spark = freq.sparkSession
     keys = [*group_by, "feature"]
-    freq = frequency_table(samples, group_by)
     found, points = _quantiles(n_bins)
     stats = materialize(
         cumulative(freq, group_by, parts)

@@ -139,6 +139,11 @@ def _replace_months(df: DataFrame, path: str, date_col: str, cluster_by: Sequenc
     )
 
 
+def replace_months(df: DataFrame, path: str) -> None:
+    """Overwrite the months (a column of ``df``) that ``df`` has rows of; other months stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+
+
 def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path).select(schema.names)

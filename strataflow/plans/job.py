@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.operators import clean, drift, evaluate, gold, sinks
@@ -99,14 +100,38 @@ def cleanse_weather(spark: SparkSession, p: JobParams) -> int:
     )
 
 
+COUNTS = T.StructType([
+    T.StructField("taxi_type", T.StringType()), T.StructField("feature", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField(sinks.MONTH, T.StringType()),
+])
+
+
+def update_counts(spark: SparkSession, p: JobParams) -> DataFrame:
+    """The stored counts of values per month, after counting the months of this run and those never counted.
+
+    A month outside the run's slice has not changed since it was counted: the baseline year is counted once.
+    """
+    path = layer_path(p.root, "gold", "value_counts")
+    both = in_months(p.reference_year, column=sinks.MONTH) | in_months(p.year, column=sinks.MONTH)
+    trips = read_layer(spark, p.root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS)).where(both)
+    counted = read_optional(spark, p.root, "gold", "value_counts", COUNTS)
+    # At most the 24 months of two years; no column of the trips is read.
+    months = {r[0] for r in trips.select(sinks.MONTH).distinct().collect()}
+    known = set() if counted is None else {r[0] for r in counted.where(both).select(sinks.MONTH).distinct().collect()}
+    changed = {m for m in months if m.startswith(f"{p.year:04d}-{'' if p.month is None else f'{p.month:02d}'}")}
+    if due := sorted((months - known) | changed):
+        rows = trips.where(F.col(sinks.MONTH).isin(due))
+        sinks.replace_months(drift.value_counts(rows, drift.DRIFT_FEATURES, ["taxi_type", sinks.MONTH]), path)
+    stored = read_optional(spark, p.root, "gold", "value_counts", COUNTS)
+    return spark.createDataFrame([], COUNTS) if stored is None else stored
+
+
 def check_drift(spark: SparkSession, p: JobParams) -> str:
     """Report and metric tables for the run; a failure is recorded and does not stop the job."""
     try:
-        trips = read_layer(spark, p.root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS))
-        # Directories of the two years; the time itself is compared below.
-        trips = trips.where(in_months(p.reference_year, column=sinks.MONTH) | in_months(p.year, column=sinks.MONTH))
-        samples = drift.drift_input(trips, drift.DRIFT_FEATURES, "pickup_ts", p.reference_year, p.year)
-        report = drift.drift_report(samples, drift.DRIFT_FEATURES, p.psi_threshold, p.ks_threshold)
+        freq = drift.merged_frequency(
+            update_counts(spark, p), in_months(p.reference_year, column=sinks.MONTH), in_months(p.year, column=sinks.MONTH))
+        report = drift.report_of(freq, drift.DRIFT_FEATURES, p.psi_threshold, p.ks_threshold)
         path = layer_path(p.root, "gold", f"drift_report/run={p.raw_run_id}")
         report.write.mode("overwrite").parquet(path)
         metrics = evaluate.drift_metrics(spark.read.schema(report.schema).parquet(path), p.run_ts)

@@ -145,7 +145,7 @@ def test_ingest_history_is_kept_and_can_be_rebuilt(spark):
 def test_drift_failure_does_not_stop_the_job(spark, monkeypatch):
     root = new_path(spark, "job")
     sources = land(spark, root + "/landing")
-    monkeypatch.setattr(job.drift, "drift_input", lambda *a, **k: 1 / 0)
+    monkeypatch.setattr(job.drift, "merged_frequency", lambda *a, **k: 1 / 0)
     params = job.JobParams(root=root, sources=sources, year=2023, dates=("2023-03-01",), reference_year=2022)
     got = job.run(spark, params).first()
     assert got["drift_status"] == "failed: ZeroDivisionError" and got["gold_rows"] == 6
@@ -248,3 +248,26 @@ def test_green_run_leaves_the_files_of_yellow(spark):
     silver = read_layer(spark, root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS))
     assert {r[0]: r[1] for r in silver.groupBy("taxi_type").count().collect()} == {"yellow": 20, "green": 15}
     assert silver.columns == sinks.monthly(contracts.SILVER_TRIPS).names
+
+
+def test_the_baseline_year_is_counted_once(spark, monkeypatch):
+    """Counts per month add up to the report of the rows, and a second run reads the months of its slice alone."""
+    root = new_path(spark, "job")
+    sources = land(spark, root + "/landing")
+    common = dict(root=root, sources=sources, run_ts="2024-01-01 00:00:00", reference_year=2022)
+    counted, value_counts = [], job.drift.value_counts
+    monkeypatch.setattr(job.drift, "value_counts", lambda rows, *a: counted.append(
+        sorted(r[0] for r in rows.select(sinks.MONTH).distinct().collect())) or value_counts(rows, *a))
+    job.run(spark, job.JobParams(year=2022, dates=("2022-03-01",), run_drift=False, **common))
+    params = job.JobParams(year=2023, month=3, dates=("2023-03-01",), **common)
+    for _ in range(2):
+        assert job.run(spark, params).first()["drift_status"] == "ok"
+    assert counted == [["2022-03", "2023-03"], ["2023-03"]]
+    trips = read_layer(spark, root, "silver", "nyctaxi", sinks.monthly(contracts.SILVER_TRIPS))
+    samples = job.drift.drift_input(trips, job.drift.DRIFT_FEATURES, "pickup_ts", 2022, 2023)
+    want = sorted(map(tuple, job.drift.drift_report(samples, job.drift.DRIFT_FEATURES).collect()))
+    got = spark.read.parquet(layer_path(root, "gold", "drift_report/run=" + params.raw_run_id))
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 3
+    by_type = job.drift.merged_frequency(
+        spark.read.schema(job.COUNTS).parquet(layer_path(root, "gold", "value_counts")), F.lit(True), F.lit(False), ["taxi_type"])
+    assert by_type.where("taxi_type = 'green' and feature = 'fare_amount'").agg(F.sum("n_ref")).first()[0] == 30
