@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.operators import bounded_batches, clean, documents, drift, evaluate, gold, prompts, retrieve, sinks
+from strataflow.operators import (
+    bounded_batches, clean, documents, drift, evaluate, gold, prompts, retrieve, sinks, vector_index,
+)
 from strataflow.plans import job, views
 from strataflow.session import configure
 from strataflow.sources import contracts, testtables as tt
@@ -580,6 +582,22 @@ def vector_topk(spark, d):
     return _shown(retrieve.vector_topk(_questions(spark, d), _vectors(spark, d)))
 
 
+@query
+def vector_index_topk(spark, d):
+    """Questions against the cell index of all vectors; every cell is probed, so the answer is exact."""
+    vectors = _vectors(spark, d)
+    index = vector_index.build(vectors)
+    return _shown(vector_index.search(_questions(spark, d), index, probes=len(index.centres)))
+
+
+@query
+def vector_index_recall(spark, d):
+    """Answers of the cell index with its usual probes, held against the exact search."""
+    vectors, questions = _vectors(spark, d), _questions(spark, d)
+    found = vector_index.search(questions, vector_index.build(vectors))
+    return _shown(vector_index.recall(found, retrieve.vector_topk(questions, vectors)))
+
+
 @query
 def hybrid_topk(spark, d):
     return _shown(retrieve.hybrid_topk(_questions(spark, d), _corpus(spark, d), _vectors(spark, d)))
