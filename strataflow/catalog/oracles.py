@@ -479,6 +479,7 @@ def oracle_sql() -> dict[str, str]:
             from chain group by 1""",
         "bm25_topk": _with(_RANKED.format(name="hits")),
         "vector_topk": _with(_RANKED.format(name="vhits")),
+        "vector_index_recall": _with("select count(*) as n_exact, true as enough from vhits"),
         "vector_index_topk": _with(_RANKED.format(name="vhits")),
         "hybrid_topk": _with(_RANKED.format(name="fused")),
         "hybrid_filtered": _with(_RANKED.format(name="fused"), hits_where=en_fr,

@@ -2,8 +2,9 @@
 
 Centres are fitted by spherical k-means on a bounded sample; every vector is then assigned and written. A question
 probes the cells whose centres are nearest to it, so an answer may miss a near vector of another cell: recall
-rises with ``probes`` and is 1 when all cells are probed. :func:`retrieve.vector_topk` scans everything and stays
-the exact way.
+rises with ``probes`` and is 1 when all cells are probed. How many are needed depends on the data, so the index
+measures it: the fewest that hold ``RECALL`` of the neighbours of some of the sample. :func:`retrieve.vector_topk`
+scans everything and stays the exact way.
 """
 
 from __future__ import annotations
@@ -27,17 +28,19 @@ from strataflow.storage import new_path
 SAMPLE_ROWS = 20_000
 MAX_CELLS = 1024
 ROUNDS = 10
-PROBES = 16
+RECALL = 0.95
+MEASURED = 400  # vectors of the sample whose neighbours are looked up
 
 CELL = "cell"
 
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """Folder of the cells, their centres (unit rows) and the columns of the vectors."""
+    """Folder of the cells, their centres (unit rows), the probes a question needs, and the columns of the vectors."""
 
     path: str
     centres: np.ndarray
+    probes: int
     schema: T.StructType
 
     def table(self, spark: SparkSession) -> DataFrame:
@@ -58,6 +61,19 @@ def fit_centres(vectors: np.ndarray, cells: int, rounds: int = ROUNDS, seed: int
     return centres
 
 
+def needed_probes(vectors: np.ndarray, centres: np.ndarray, k: int = TOP_K, recall: float = RECALL) -> int:
+    """Fewest cells that hold a share of ``recall`` of the ``k`` nearest other rows of some of the unit rows.
+
+    Neighbours in a sample are further away than those among all rows, so rather too many come out than too few.
+    """
+    asked = vectors[np.linspace(0, len(vectors) - 1, min(MEASURED, len(vectors))).astype(int)]
+    cell = (vectors @ centres.T).argmax(axis=1)
+    rank = np.argsort(np.argsort(-(asked @ centres.T), axis=1, kind="stable"), axis=1)
+    near = np.argsort(-(asked @ vectors.T), axis=1, kind="stable")[:, 1:k + 1]  # the first is the row itself
+    ranks = np.sort(rank[np.arange(len(asked))[:, None], cell[near]].ravel())
+    return 1 + int(ranks[min(int(math.ceil(recall * len(ranks))), len(ranks)) - 1]) if len(ranks) else 1
+
+
 def _nearest(centres: np.ndarray, column: str, count: int, name: str):
     """Adds to each row the ``count`` cells nearest to its vector, as one number or a list."""
 
@@ -86,10 +102,11 @@ def build(vectors: DataFrame, cells: int | None = None, sample_rows: int = SAMPL
     units = units[~np.isnan(units).any(axis=1)]
     wanted = cells or min(MAX_CELLS, max(1, math.isqrt(rows.count())))
     centres = fit_centres(units, wanted) if len(units) else np.zeros((1, 1))
+    probes = needed_probes(units, centres) if len(units) else 1
     schema = T.StructType([*rows.schema.fields, T.StructField(CELL, T.IntegerType())])
     assigned = rows.mapInArrow(_nearest(centres, "content_vector", 1, CELL), schema) if len(units) else rows.withColumn(CELL, F.lit(0))
     assigned.write.partitionBy(CELL).parquet(path)
-    return VectorIndex(path, centres, rows.schema)
+    return VectorIndex(path, centres, probes, rows.schema)
 
 
 class _CellBlock(VectorBlock):
@@ -111,9 +128,12 @@ class _CellBlock(VectorBlock):
                 self.score_some(rows.take(pa.array(np.flatnonzero(cells == cell))), asked, best)
 
 
-def search(queries: DataFrame, index: VectorIndex, k: int = TOP_K, probes: int = PROBES) -> DataFrame:
-    """Best ``k`` vectors by cosine among the ``probes`` nearest cells of each question: ``qid, id, score, rank``."""
-    probes = min(probes, len(index.centres))
+def search(queries: DataFrame, index: VectorIndex, k: int = TOP_K, probes: int | None = None) -> DataFrame:
+    """Best ``k`` vectors by cosine among the nearest cells of each question: ``qid, id, score, rank``.
+
+    As many cells are opened as the index has found to be needed, or ``probes``.
+    """
+    probes = min(probes or index.probes, len(index.centres))
     asked = queries.where(F.col("question_vector").isNotNull()).select("qid", "question_vector")
     if index.centres.shape[1] == 1:  # nothing is indexed
         asked = asked.where("false")
