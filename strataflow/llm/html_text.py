@@ -25,13 +25,13 @@ from strataflow.llm.tokens import bound_batches
 TRAIN_PAGES = 300
 EPOCHS, RATE, DECAY = 180, 0.08, 2e-3
 
+# One scan over a tag: a quote counts only after "=", and only if it closes; a tag without end reaches to the end.
+_ATTRS = r"""(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+(?:>|\Z)"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|select|button)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    r".*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*(?:>|\Z)"
-    r"|<[a-zA-Z][^<>]*\Z",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    rf"|<(?P<raw>script|style|textarea|title|noscript|iframe)(?=[\s/>]){_ATTRS}.*?(?:</(?P=raw)(?=[\s/>])[^>]*+(?:>|\Z)|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>{_ATTRS})"
+    r"|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -46,6 +46,8 @@ _BLOCK_SET = frozenset(_BLOCKS)
 _CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 _VOID = {"hr"}
+# Elements without text of the page; the second ones can hold their own kind.
+_CONTROLS, _NESTED = ("button", "select"), ("svg", "template")
 
 # Stems of class, id and role names; each has a weight of its own. Short ones must be the whole part of a name.
 _STEMS = (
@@ -91,8 +93,30 @@ def _name_features(tag: str, attrs: str) -> tuple[int, ...]:
     return tuple(found)
 
 
+def _ends_of_controls(tokens: list[re.Match]) -> dict[int, int]:
+    """Token numbers of start tags of controls, each with that of its end tag; unclosed ones are left out."""
+    ends, opened = {}, {tag: [] for tag in (*_CONTROLS, *_NESTED)}
+    for number, m in enumerate(tokens):
+        tag = (m["tag"] or "").lower()
+        if tag not in opened:
+            continue
+        if m["close"]:
+            if opened[tag]:
+                ends[opened[tag].pop()] = number
+        elif not m["attrs"].endswith("/>"):
+            if tag in _CONTROLS:
+                opened[tag].clear()
+            opened[tag].append(number)
+    return ends
+
+
 def parse(page: str) -> Tree:
-    """Lenient parse: implied ends, unclosed and stray tags, and truncated pages are accepted."""
+    """Lenient parse: implied ends, unclosed and stray tags, and truncated pages are accepted.
+
+    A button, selection, drawing or template is left out up to its end tag; without one, or closed in itself, it only
+    parts the texts before and after. A raw element (script, style and the like) without an end tag takes the
+    rest of the page, as in browsers.
+    """
     tree = Tree()
     root = tree.add(-1, (), None, 0, False)
     stack: list[tuple[str, int, bool]] = [("", root, False)]
@@ -120,8 +144,13 @@ def parse(page: str) -> Tree:
             if in_link:
                 linked += len(text.strip())
 
-    at = 0
-    for m in _TOKEN.finditer(page):
+    tokens = list(_TOKEN.finditer(page))
+    ends = _ends_of_controls(tokens)
+    at, skipped = 0, -1
+    for number, m in enumerate(tokens):
+        if number <= skipped:
+            at = m.end()
+            continue
         write(page[at:m.start()])
         at = m.end()
         tag = m["tag"]
@@ -136,6 +165,13 @@ def parse(page: str) -> Tree:
                 in_link = not m["close"]
             elif tag in ("br", "img", "input", "wbr"):
                 words.append(" ")
+            elif number in ends:
+                skipped = ends[number]
+                words.append(" ")
+            elif tag in _CONTROLS and not m["close"]:
+                flush()
+            elif tag in _NESTED:
+                words.append(" ")
             continue
         if m["close"]:
             depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0)
@@ -323,8 +359,9 @@ def _extract(model: TreeModel):
 def extract(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages (page_id, url, html)``.
 
-    A null or empty html gives an empty text. Rows are extracted one by one, so repeated rows give
-    repeated results; other columns are ignored.
+    A null or empty html gives an empty text, an empty table an empty result. Rows are extracted one by one, so
+    repeated rows give repeated results; other columns are ignored. A page is parsed in one scan, so time and memory
+    grow in proportion to its length.
     """
     bound_batches(pages.sparkSession)
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
