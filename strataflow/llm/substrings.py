@@ -9,9 +9,11 @@ with suffixes that still have company. Most significant digit first:
 2. The digit is the part that all of ``BLOCK`` neighbouring suffixes at the same distance from the anchor share.
 3. The digit is the whole window of a single suffix. Equal groups are exactly the repeated windows.
 
-In every pass rows are dealt by their digits and sorted; a task reads its rows once, one row ahead, so
-the size of a group takes no memory. Rows whose bytes are equal throughout leave as repeated, rows alone leave
-as single, and one row of each distinct content goes on if the group has several.
+In every pass the digits are counted first, combined before they are shuffled; suffixes whose digit is alone leave there.
+The others are dealt by digit and content together, so that a digit which a third of all texts share is spread by what
+surrounds it, and a task reads its sorted rows once, one row ahead. Rows whose bytes are equal throughout leave
+as repeated, and one row of each distinct content goes on if its digit has several. A content that a task has seen
+twice is sent once: further rows are repeated for certain and are not dealt at all.
 """
 
 from __future__ import annotations
@@ -82,21 +84,36 @@ def _hashes(data, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
                        np.uint64, len(starts))
 
 
-_RUNS = "key long, content long, id long, text_hash long, first int, last int, anchor int, known boolean"
+_RUNS = "key long, content long, id long, text_hash long, first int, last int, anchor int, known boolean, sure boolean"
 
 # Working memory of the first pass is some 60 bytes per byte of a chunk.
 _RUN_CHUNK = 1 << 20
 _REMEMBERED = 500_000
 
 
-def _find_runs(length: int):
-    """Runs of all texts. A task sends one row of a content that it has seen twice; ``known`` marks such rows.
+class _Sent:
+    """Contents that a task has seen twice. A forgotten one is sent again, which changes no result."""
 
-    Further ones are repeated for certain: they leave with a key of their own, so that a passage
-    of many documents is no hot key.
-    """
+    def __init__(self) -> None:
+        self.contents: set[int] = set()
+
+    def mark(self, key: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows ``known`` to be repeated, and those of them that are ``sure``: another row stands for their content."""
+        both, at, which, copies = np.unique(mix(key) + content, return_index=True, return_inverse=True, return_counts=True)
+        before = np.fromiter((b in self.contents for b in both.tolist()), bool, len(both))
+        twice = (copies > 1) | before
+        if len(self.contents) > _REMEMBERED:
+            self.contents.clear()
+        self.contents.update(both[twice].tolist())
+        known = twice[which]
+        sure = known.copy()
+        sure[at[twice & ~before]] = False
+        return known, sure
+
+
+def _find_runs(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+        sent = _Sent()
         for batch in batches:
             ids, texts = batch["id"].to_numpy(), batch["text_hash"].to_numpy()
             for row, data, offsets in chunks(batch["text"], _RUN_CHUNK):
@@ -104,53 +121,33 @@ def _find_runs(length: int):
                 content = _hashes(data, first, last + length) + mix((anchor - first).astype(np.uint64))
                 text = np.searchsorted(offsets, first, "right") - 1
                 base = offsets[text]
-                both, at, which, copies = np.unique(
-                    mix(key) + content, return_index=True, return_inverse=True, return_counts=True)
-                before = np.fromiter((b in sent for b in both.tolist()), bool, len(both))
-                twice = (copies > 1) | before
-                if len(sent) > _REMEMBERED:
-                    sent.clear()
-                sent.update(both[twice].tolist())
-                known = twice[which]
-                own = known.copy()
-                own[at[twice & ~before]] = False
-                alone = mix(mix(ids[row + text].view(np.uint64)) + texts[row + text].view(np.uint64) + first.astype(np.uint64))
-                key, content = np.where(own, alone, key), np.where(own, alone, content)
+                known, sure = sent.mark(key, content)
                 yield pa.record_batch([
                     key.view(np.int64), content.view(np.int64), ids[row + text], texts[row + text],
-                    *((x - base).astype(np.int32) for x in (first, last, anchor)), pa.array(known),
-                ], names=["key", "content", "id", "text_hash", "first", "last", "anchor", "known"])
+                    *((x - base).astype(np.int32) for x in (first, last, anchor)), pa.array(known), pa.array(sure),
+                ], names=["key", "content", "id", "text_hash", "first", "last", "anchor", "known", "sure"])
 
     return run
 
 
 def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by ``key, content``: ``repeated`` if the content occurs twice or is known to; ``goes_on`` for one
-    row of each content of a key with several contents. Rows with neither are left out."""
-    # Key and content of the row before, and whether its key had another content before.
-    state = {"key": None, "content": None, "other": False}
+    row of each content of a key with ``several`` contents. Rows with neither are left out."""
+    before = None  # key and content of the row before
 
     def emit(rows: pa.RecordBatch, after) -> pa.RecordBatch:
+        nonlocal before
         key, content = rows["key"].to_numpy(), rows["content"].to_numpy()
-        if not len(key):
-            return None
-        key_before = np.append(state["key"] is not None and key[0] == state["key"], key[1:] == key[:-1])
-        same_before = key_before & np.append(state["content"] is not None and content[0] == state["content"],
-                                             content[1:] == content[:-1])
-        key_after, same_after = np.append(key_before[1:], False), np.append(same_before[1:], False)
-        if after is not None:
-            key_after[-1] = after[0] == key[-1]
-            same_after[-1] = key_after[-1] and after[1] == content[-1]
-        starts = np.flatnonzero(~same_before)
-        other_at = key_before[starts]
-        which = np.searchsorted(starts, np.arange(len(key)), "right") - 1
-        other = np.where(which >= 0, other_at[np.maximum(which, 0)] if len(starts) else state["other"], state["other"])
+        same = (key[1:] == key[:-1]) & (content[1:] == content[:-1])
+        ends = int(key[-1]), int(content[-1])
+        same_before = np.append(before == (int(key[0]), int(content[0])), same)
+        same_after = np.append(same, after == ends)
+        before = ends
         repeated = same_before | same_after | rows["known"].to_numpy(zero_copy_only=False)
-        goes_on = ~same_after & (other | key_after)
-        state.update(key=key[-1], content=content[-1], other=bool(other[-1]))
+        goes_on = ~same_after & rows["several"].to_numpy(zero_copy_only=False)
         out = pa.record_batch([*rows.columns, pa.array(repeated), pa.array(goes_on)],
                               names=[*rows.schema.names, "repeated", "goes_on"])
-        return out.filter(pa.array(repeated | goes_on))
+        return out.filter(pa.array(repeated | goes_on)).drop_columns(["several"])
 
     waiting = None
     for batch in batches:
@@ -165,10 +162,21 @@ def _company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _radix_pass(rows: DataFrame, name: str) -> DataFrame:
-    """One pass: deal by digit, sort, mark; only rows with company are written."""
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    sorted_rows = rows.repartition("key").sortWithinPartitions("key", "content")
-    return materialize(sorted_rows.mapInArrow(_company, f"{ddl}, repeated boolean, goes_on boolean"), name)
+    """One pass: count the digits, deal what has company, sort, mark; only repeated rows and those that go on are written."""
+    rows = materialize(rows, f"{name}_rows")
+    dealt = rows.where("not sure").drop("sure")
+    shared = (
+        dealt.groupBy("key").agg(F.min("content").alias("least"), F.max("content").alias("most"), F.count("*").alias("size"),
+                                 F.max("known").alias("sent_twice"))
+        .where("size > 1 or sent_twice").select("key", (F.col("least") != F.col("most")).alias("several"))
+    )
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema)
+    marked = (
+        dealt.join(shared, "key").repartition("key", "content").sortWithinPartitions("key", "content")
+        .mapInArrow(_company, f"{ddl}, repeated boolean, goes_on boolean")
+    )
+    sure = rows.where("sure").drop("sure").withColumn("repeated", F.lit(True)).withColumn("goes_on", F.lit(False))
+    return materialize(marked.union(sure), name)
 
 
 _CONTEXT = "id long, text_hash long, anchor int, first int, last int, key long, single boolean, bytes binary"
@@ -195,7 +203,7 @@ def _take_contexts(length: int):
     return run
 
 
-_DIGITS = "key long, content long, id long, text_hash long, anchor int, low int, high int, single boolean, known boolean"
+_DIGITS = "key long, content long, id long, text_hash long, anchor int, low int, high int, single boolean, known boolean, sure boolean"
 
 
 def _refine(length: int, block: int):
@@ -205,6 +213,7 @@ def _refine(length: int, block: int):
     all such windows lies in each of them, so it is there also if a run ends inside the block.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = _Sent()
         for batch in batches:
             out: list[list] = [[] for _ in range(8)]
             columns = zip(*(batch[c].to_pylist() for c in batch.schema.names))
@@ -222,11 +231,13 @@ def _refine(length: int, block: int):
                     for column, value in zip(out, (digit, content, row["id"], row["text_hash"], anchor,
                                                    anchor - far, anchor - near, row["single"])):
                         column.append(value)
+            digits, contents = np.array(out[0], np.uint64), np.array(out[1], np.uint64)
+            known, sure = sent.mark(digits, contents)
             yield pa.record_batch(
-                [pa.array(np.array(out[0], np.uint64).view(np.int64)), pa.array(np.array(out[1], np.uint64).view(np.int64)),
+                [pa.array(digits.view(np.int64)), pa.array(contents.view(np.int64)),
                  *(pa.array(c, t) for c, t in zip(out[2:], (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()))),
-                 pa.array(np.zeros(len(out[0]), bool))],
-                names=["key", "content", "id", "text_hash", "anchor", "low", "high", "single", "known"])
+                 pa.array(known), pa.array(sure)],
+                names=["key", "content", "id", "text_hash", "anchor", "low", "high", "single", "known", "sure"])
 
     return run
 
@@ -275,7 +286,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Removed is every byte covered by a string of ``length`` bytes (UTF-8) that starts at another place too, in
     the same or another row; strings never cross rows. ``kept`` are the other bytes. A null text is empty;
     shorter texts lose nothing. Rows count as they come: a repeated row repeats its text. Other columns are
-    ignored.
+    ignored. An empty table gives an empty result; one text takes some 60 bytes of memory per byte.
     """
     bound_batches(docs.sparkSession)
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63) + 1))
@@ -307,7 +318,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = (
         removed(live, "first", "last")
         .union(removed(blocks.where("single"), "low", "high")).union(removed(windows.where("single"), "low", "high"))
-        .groupBy("id", "text_hash").agg(F.collect_list("span").alias("spans"))
+        .groupBy("id", "text_hash").agg(F.collect_set("span").alias("spans"))  # a repeated row repeats its spans
     )
     return packed.join(spans, ["id", "text_hash"], "left").select("doc_id", "packed", "spans").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
