@@ -136,26 +136,32 @@ class _Archive:
             out.write(json.dumps(self.directory).encode())
 
 
-_CAPTURES = pa.schema([("name", pa.string()), ("key", pa.string()), ("order", pa.int64())])
+_CAPTURES = pa.schema([("name", pa.string()), ("key", pa.string()), ("order", pa.int64()), ("bytes", pa.int64())])
+
+# Compressed records that one task reads back; captures themselves are too small to tell a task's work.
+READ_BYTES = 8 << 20
 
 
 def _write(folder: str):
     """Rows sorted by key into archives; reports every capture when its archive is complete."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        archive, keys = None, []
+        archive, keys, sizes = None, [], []
 
         def closed() -> pa.RecordBatch:
             archive.close()
             return pa.record_batch(
-                [pa.array([archive.name] * len(keys)), pa.array(keys), pa.array(range(len(keys)), pa.int64())], schema=_CAPTURES)
+                [pa.array([archive.name] * len(keys)), pa.array(keys), pa.array(range(len(keys)), pa.int64()),
+                 pa.array(sizes, pa.int64())], schema=_CAPTURES)
 
         for batch in batches:
             rows = zip(*(batch[c].to_pylist() for c in ("key", "page_id", "url", "digest", "size", "member", "refers_to")))
             for key, page_id, url, digest, size, member, refers_to in rows:
                 if archive is None:
-                    archive, keys = _Archive(folder, uuid.uuid4().hex), []
-                archive.add(key, len(keys), member if refers_to is None else revisit_record(page_id, url, size, digest, refers_to))
+                    archive, keys, sizes = _Archive(folder, uuid.uuid4().hex), [], []
+                record = member if refers_to is None else revisit_record(page_id, url, size, digest, refers_to)
+                archive.add(key, len(keys), record)
                 keys.append(key)
+                sizes.append(len(record))
                 if archive.size >= ARCHIVE_BYTES:
                     yield closed()
                     archive = None
@@ -247,12 +253,13 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """Write every row of ``pages (page_id, url, html)``; returns the written captures ``name, key, order``.
+    """Write every row of ``pages (page_id, url, html)``; returns the written captures ``name, key, order, bytes``.
 
     Equal payloads have one length and SHA-1. Of payloads of ``min_revisit_bytes`` or more, the one with the
     smallest ``page_id`` is a response and others revisit it; rows that repeat that ``page_id`` are
     responses too, and so are rows without ``page_id`` if no equal payload has one. A null html is an
-    empty payload, a null url an empty one. Other columns are ignored.
+    empty payload, a null url an empty one; an empty table gives no archive. A record is held whole in
+    memory, one at a time. Other columns are ignored.
     """
     bound_batches(pages.sparkSession)
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -271,17 +278,19 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_R
     told = made.join(first, ["sha1", "size"], "left").withColumn("refers_to", refers).select(
         "key", "page_id", "url", "digest", "size", F.when(F.col("refers_to").isNull(), F.col("member")).alias("member"), "refers_to")
     ordered = told.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
-    return materialize(ordered.mapInArrow(_write(folder), "name string, key string, order long"), "warc_captures")
+    return materialize(ordered.mapInArrow(_write(folder), "name string, key string, order long, bytes long"), "warc_captures")
 
 
 def read_archives(captures: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
-    """Records of ``captures (name, key, order)``, found through the index and read back from the archives.
+    """Records of ``captures (name, key, order, bytes)``, found through the index and read back from the archives.
 
     ``page_id, url, payload_bytes, payload_digest, record_type, refers_to`` (and ``payload`` of responses).
     Length and digest of a response are checked against its payload; a revisit tells those of the payload
     that it refers to.
     """
-    sorted_ = captures.repartitionByRange("name", "key", "order").sortWithinPartitions("name", "key", "order")
+    total = captures.agg(F.sum("bytes").alias("bytes")).first()["bytes"] or 0
+    # A number given here is not merged again by the rows' own size.
+    sorted_ = captures.repartitionByRange(-(-total // READ_BYTES) or 1, "name", "key", "order").sortWithinPartitions("name", "key", "order")
     return sorted_.mapInArrow(_read(folder, payloads), _READ + ", payload binary" * payloads)
 
 

@@ -132,6 +132,27 @@ def test_repeats_of_random_passages(spark, seed):
     assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats(rows, 80)
 
 
+@pytest.mark.parametrize("size, removed", [(399, 0), (400, 400)])
+def test_a_passage_of_many_words_goes_from_400_bytes_on(spark, size, removed):
+    passage = (prose(90, 77).replace(".", "") * 2).encode()[:size].decode(errors="ignore").ljust(size, "x")
+    while len(passage.encode()) > size:
+        passage = passage[:-1]
+    assert len(passage.split()) > 50 and len(passage.encode()) == size
+    rows = [(i, f"{i} {prose(30, 300 + i)}{a}{passage}{b}{prose(30, 400 + i)}") for i, a, b in ((1, "#", "!"), (2, "+", "?"))]
+    got = substrings.remove_repeats(frame(spark, rows), 400)
+    assert {r["n_removed"] for r in got.collect()} == {removed}
+
+
+def test_repeats_around_one_common_line(spark):
+    rng = random.Random(6)
+    line = "This line stands in every document of the table, word for word. "
+    parts = [prose(12, 900 + i) for i in range(6)]
+    rows = [(i % 280 if i % 7 else None, rng.choice(parts) + line + rng.choice(parts) + str(i % 40)) for i in range(300)]
+    got = substrings.remove_repeats(frame(spark, rows).repartition(5), 100)
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert rows_of(got, *columns) == sorted(brute.repeats(rows, 100), key=str)
+
+
 def test_repeats_of_an_empty_table(none):
     assert substrings.remove_repeats(none).count() == 0
 
