@@ -7,15 +7,16 @@ that agree in any of ``HASHES`` min-hashes are a candidate; it counts if the sha
 item's distinct shingles that the *whole* document has reaches the threshold. That is decided on
 the words themselves, not on hashes.
 
-The items are the stated query set: they are sent to the tasks in blocks of bounded size,
-and the documents stream past a block without any shuffle.
+The items are the stated query set: they are written to the shared folder in blocks of bounded size, which
+the tasks open. The documents are read once and stream past the blocks without any shuffle; no item
+passes the driver.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.tokens import LOWER, Runs, bound_batches, chunks, shingles, words
+from strataflow.storage import new_path, open_table
 
 WIDTH = 5
 PERCENT = 80
@@ -34,6 +36,8 @@ HASHES = 48
 # One block of items is at most so many rows and characters (on average over the blocks).
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 16 << 20
+# While there are several blocks, so many bytes of the documents are held and meet all of them.
+HELD_BYTES = 32 << 20
 
 _random = np.random.Generator(np.random.PCG64(5))
 _MULTIPLY = _random.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -47,29 +51,34 @@ def _size_class(windows: int) -> int:
 class ItemBlock:
     """Signatures and shingles of some items, by size class."""
 
-    def __init__(self, texts: pa.Array, width: int):
+    def __init__(self, items: pa.Table, width: int):
         self.width = width
-        self.words: list[list[bytes]] = []
+        self.ids = items["item_id"]
+        self.copies = items["copies"].to_numpy()
+        self.source: list[tuple[np.ndarray, Runs, int]] = []
         self.hashes: list[np.ndarray] = []
         signed: dict[int, list[int]] = defaultdict(list)
-        for _, data, offsets in chunks(texts):
+        for _, data, offsets in chunks(items["text"]):
             found = words(data, offsets, lower=True)
             hashed, at = shingles(found.hash, found.first, width, whole=True)
             for d in range(len(offsets) - 1):
-                own = hashed[at[d]:at[d + 1]]
+                own = np.unique(hashed[at[d]:at[d + 1]])
                 if len(own):
-                    signed[_size_class(len(own))].append(len(self.words))
-                self.words.append(_words(data, found, int(found.first[d]), int(found.first[d + 1])))
-                self.hashes.append(np.unique(own))
+                    signed[_size_class(int(at[d + 1] - at[d]))].append(len(self.hashes))
+                self.source.append((data, found, d))
+                self.hashes.append(own)
         # Per class and hash: the sorted minima and the item of each.
         self.classes = {}
-        for size, items in sorted(signed.items()):
-            minima = np.array([[((self.hashes[i] ^ f) * m).min() for i in items] for f, m in zip(_FLIP, _MULTIPLY)])
+        for size, members in sorted(signed.items()):
+            values = np.concatenate([self.hashes[i] for i in members])
+            first = np.cumsum([0, *(len(self.hashes[i]) for i in members)])[:-1]
+            minima = np.array([np.minimum.reduceat((values ^ f) * m, first) for f, m in zip(_FLIP, _MULTIPLY)])
             order = np.argsort(minima, axis=1, kind="stable")
-            self.classes[size] = (np.take_along_axis(minima, order, 1), np.array(items)[order])
+            self.classes[size] = (np.take_along_axis(minima, order, 1), np.array(members)[order])
 
     def distinct(self, item: int) -> set[tuple[bytes, ...]]:
-        return _distinct(self.words[item], self.width)
+        data, found, d = self.source[item]
+        return _distinct(_words(data, found, int(found.first[d]), int(found.first[d + 1])), self.width)
 
 
 def _words(data: np.ndarray, runs: Runs, start: int, stop: int) -> list[bytes]:
@@ -106,32 +115,85 @@ def _candidates(hashed: np.ndarray, at: np.ndarray, block: ItemBlock) -> set[tup
     return out
 
 
-def _search(block: ItemBlock, ids: list, percent: int, schema: pa.Schema):
+def _hits(texts: pa.Array, block: ItemBlock, percent: int) -> Iterator[tuple[int, int, int, int]]:
+    """``(row, item, distinct shingles of the item, those that the text has)`` of items that are contained."""
+    wanted_of = cache(block.distinct)
+    for row, data, offsets in chunks(texts):
+        found = words(data, offsets, lower=True)
+        hashed, at = shingles(found.hash, found.first, block.width, whole=True)
+        for text, item in sorted(_candidates(hashed, at, block)):
+            items = block.hashes[item]
+            hit = np.isin(hashed[at[text]:at[text + 1]], items)
+            if 100 * len(np.unique(hashed[at[text]:at[text + 1]][hit])) < percent * len(items):
+                continue
+            wanted, shared, first = wanted_of(item), set(), int(found.first[text])
+            last = int(found.first[text + 1])
+            for w in np.flatnonzero(hit):
+                shared.add(tuple(_words(data, found, first + w, min(first + w + block.width, last))))
+            shared &= wanted
+            if 100 * len(shared) >= percent * len(wanted):
+                yield row + text, item, len(wanted), len(shared)
+
+
+def _write_blocks(items: DataFrame) -> list[str]:
+    """Different items in blocks, each a folder that tasks open; the driver sees their number and size only.
+
+    Rows that repeat an item are one row with ``copies``, so that they do not fill one block.
+    """
+    spark = items.sparkSession
+    single = items.groupBy("item_id", "text").agg(F.count("*").alias("copies"))
+    total = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    count = max(1, -(-total["n"] // BLOCK_ITEMS), -(-total["chars"] // BLOCK_CHARS))
+    path = new_path(spark, "benchmark_blocks")
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
+    single.withColumn("block", block).repartition("block").write.partitionBy("block").parquet(path)
+    return [f"{path}/block={number}" for number in range(count)]
+
+
+def _held(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of about ``limit`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _blocks_past(batches: Iterator[pa.RecordBatch], paths: list[str], width: int):
+    """``(held batches, their blocks one after the other)``; a single block is opened once a task."""
+    opened: tuple[str, ItemBlock | None] = ("", None)
+
+    def block(path: str) -> ItemBlock | None:
+        nonlocal opened
+        if opened[0] != path:
+            table = open_table(path)
+            opened = path, None if table is None else ItemBlock(table, width)
+        return opened[1]
+
+    for held in _held(batches, HELD_BYTES if len(paths) > 1 else 0):
+        yield held, (found for path in paths if (found := block(path)) is not None)
+
+
+def _search(paths: list[str], width: int, percent: int, item_type: pa.DataType):
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", item_type), ("n_item_shingles", pa.int64()),
+                        ("n_shared", pa.int64()), ("containment", pa.float64()), ("copies", pa.int64())])
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for row, data, offsets in chunks(batch["text"]):
-                found = words(data, offsets, lower=True)
-                hashed, at = shingles(found.hash, found.first, block.width, whole=True)
-                for text, item in sorted(_candidates(hashed, at, block)):
-                    items = block.hashes[item]
-                    hit = np.isin(hashed[at[text]:at[text + 1]], items)
-                    if 100 * len(np.unique(hashed[at[text]:at[text + 1]][hit])) < percent * len(items):
-                        continue
-                    wanted, shared, first = block.distinct(item), set(), int(found.first[text])
-                    last = int(found.first[text + 1])
-                    for w in np.flatnonzero(hit):
-                        shared.add(tuple(_words(data, found, first + w, min(first + w + block.width, last))))
-                    shared &= wanted
-                    if 100 * len(shared) >= percent * len(wanted):
-                        rows.append((row + text, ids[item], len(wanted), len(shared)))
-            if rows:
-                at_row, item, size, shared = zip(*rows)
-                yield pa.record_batch([
-                    batch["doc_id"].take(pa.array(at_row)), pa.array(item, schema.field("item_id").type),
-                    pa.array(size, pa.int64()), pa.array(shared, pa.int64()),
-                    pa.array([s / n for s, n in zip(shared, size)], pa.float64()),
-                ], schema=schema)
+        for held, blocks in _blocks_past(batches, paths, width):
+            for block in blocks:
+                for batch in held:
+                    rows = list(_hits(batch["text"], block, percent))
+                    if rows:
+                        at_row, item, size, shared = (np.array(c) for c in zip(*rows))
+                        yield pa.record_batch([
+                            batch["doc_id"].take(pa.array(at_row)), block.ids.take(pa.array(item)).combine_chunks(),
+                            pa.array(size, pa.int64()), pa.array(shared, pa.int64()), pa.array(shared / size),
+                            pa.array(block.copies[item], pa.int64()),
+                        ], schema=schema)
 
     return find
 
@@ -143,25 +205,38 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = WIDTH, perce
     A-Z lower-cased; a shingle is ``width`` words, or the whole text if it has fewer. An item is
     contained if ``100 * shared >= percent * its distinct shingles``. Null and empty texts have no
     shingles and neither contain nor are contained. Every row counts for itself, so repeated
-    rows give repeated results; null ids are kept. Other columns are ignored.
+    rows give repeated results; null ids are kept. Empty tables give no rows, other columns are ignored.
     """
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    total = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    blocks = max(1, -(-total["n"] // BLOCK_ITEMS), -(-total["chars"] // BLOCK_CHARS))
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_item_shingles", pa.int64()),
-                        ("n_shared", pa.int64()), ("containment", pa.float64())])
-    ddl = "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double"
-    found = []
-    for number in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).toArrow()
-        block = ItemBlock(part["text"], width)
-        found.append(texts.mapInArrow(_search(block, part["item_id"].to_pylist(), percent, schema), ddl))
-    return reduce(DataFrame.unionAll, found)
+    paths = _write_blocks(items.select(F.col("item_id").cast("long").alias("item_id"), "text"))
+    found = texts.mapInArrow(
+        _search(paths, width, percent, pa.int64()),
+        "doc_id long, item_id long, n_item_shingles long, n_shared long, containment double, copies long")
+    each = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
+    return found.select("*", each.alias("copy")).drop("copies", "copy")
+
+
+def _without(paths: list[str], width: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held, blocks in _blocks_past(batches, paths, width):
+            clean = [np.ones(batch.num_rows, bool) for batch in held]
+            for block in blocks:
+                for batch, flags in zip(held, clean):
+                    for row, *_ in _hits(batch["text"], block, percent):
+                        flags[row] = False
+            for batch, flags in zip(held, clean):
+                yield batch.filter(pa.array(flags))
+
+    return run
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without those that contain an item; rows without ``doc_id`` stay."""
-    leaks = contained_items(docs, items, width, percent).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    """Rows of ``docs`` that contain no item, all columns unchanged.
+
+    Every row is judged by its own text, also where rows share an id or have none. Null and empty
+    texts stay; without items everything stays.
+    """
+    bound_batches(docs.sparkSession)
+    paths = _write_blocks(items.select(F.col("item_id").cast("long").alias("item_id"), "text"))
+    return docs.mapInArrow(_without(paths, width, percent), docs.schema)
