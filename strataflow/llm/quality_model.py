@@ -5,7 +5,7 @@ vector (:func:`encode_chunk`); gated attention (Ilse, Tomczak and Welling 2018)
 the weighted sum is scored. Only documents have labels; the weights of passages are learned from them.
 
 Encoding and scoring stream over Arrow batches. Training takes a bounded sample of labelled
-documents, encoded on the executors, and runs on the driver.
+documents with all their passages, encoded on the executors, and runs on the driver.
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ from strataflow.llm.tokens import bound_batches, chunks, words
 
 PASSAGE = 48
 
-# Bounds of the training sample: labelled documents (those with the smallest hash of their id), and
-# passages of one of them (evenly spaced). Scoring has no such bounds.
+# Bounds of the training sample: labelled documents (those with the smallest hash of their id) and bytes of
+# their texts together. A document takes part with all its passages or not at all. Scoring has no such bounds.
 TRAIN_DOCS = 3000
-TRAIN_PASSAGES = 32
+TRAIN_BYTES = 8 << 20
 
 HIDDEN, GATE = 24, 12
 EPOCHS, RATE, DECAY = 220, 0.01, 1e-4
@@ -99,10 +99,16 @@ class AttentionModel:
     scale: np.ndarray
     weights: dict[str, np.ndarray]
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.scale, -8, 8)
+
     def forward(self, x: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
         """Scores of bags; ``x`` holds all their passages, bag ``i`` those of ``at[i]:at[i+1]``."""
+        return self.weigh(self.standard(x), at)
+
+    def weigh(self, z: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+        """The same of standardised passages."""
         p = self.weights
-        z = np.clip((x - self.mean) / self.scale, -8, 8)
         h = np.tanh(z @ p["E"] + p["e"])
         t, g = np.tanh(h @ p["V"]), _sigmoid(h @ p["U"])
         energy = (t * g) @ p["w"]
@@ -113,9 +119,9 @@ class AttentionModel:
         return {"z": z, "h": h, "t": t, "g": g, "attention": attention, "bag": bag,
                 "score": _sigmoid(bag @ p["c"] + p["b"])}
 
-    def gradient(self, x: np.ndarray, at: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        """Gradient of the mean log loss."""
-        p, s, counts = self.weights, self.forward(x, at), np.diff(at)
+    def gradient(self, z: np.ndarray, at: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradient of the mean log loss over standardised passages."""
+        p, s, counts = self.weights, self.weigh(z, at), np.diff(at)
         d = (s["score"] - y) / len(y)
         d_bag = np.repeat(d[:, None] * p["c"], counts, axis=0)
         a = s["attention"]
@@ -147,9 +153,10 @@ def fit(bags: list[np.ndarray], labels: np.ndarray) -> AttentionModel:
     x = np.concatenate(bags).astype(np.float64)
     at = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
     model = AttentionModel(x.mean(axis=0), x.std(axis=0) + 1e-3, weights)
+    z = model.standard(x)
     first, second = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))
     for step in range(1, EPOCHS + 1):
-        for k, d in model.gradient(x, at, y).items():
+        for k, d in model.gradient(z, at, y).items():
             d = d + DECAY * weights[k] * (k not in ("b", "e"))
             first[k] = 0.9 * first[k] + 0.1 * d
             second[k] = 0.999 * second[k] + 0.001 * d * d
@@ -167,22 +174,18 @@ def _encode_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for row, data, offsets in chunks(batch["text"]):
             vectors, at = encode_chunk(data, offsets)
-            rows = []
-            for i in range(len(offsets) - 1):
-                own = vectors[at[i]:at[i + 1]]
-                if len(own) > TRAIN_PASSAGES:
-                    own = own[np.linspace(0, len(own) - 1, TRAIN_PASSAGES).astype(int)]
-                rows.append(own.astype(np.float32).tobytes())
+            rows = [vectors[at[i]:at[i + 1]].tobytes() for i in range(len(offsets) - 1)]
             yield pa.record_batch(
                 [batch["doc_id"].slice(row, len(rows)), batch["label"].slice(row, len(rows)), pa.array(rows, pa.binary())],
                 names=["doc_id", "label", "vectors"])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> AttentionModel:
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, max_bytes: int = TRAIN_BYTES) -> AttentionModel:
     """Fit on at most ``max_docs`` rows of ``labels (doc_id, quality)`` that are not held out.
 
-    The sample is the labelled ids with the smallest hashes. Rows without id or label are left out; of
-    contradicting labels of one document the larger one counts.
+    The sample is the labelled ids with the smallest hashes, in that order, without documents that no longer
+    fit into ``max_bytes`` of text. Rows without id or label are left out; of contradicting labels of one document
+    the larger one counts, of different texts under one id the one with the smaller hash.
     """
     bound_batches(docs.sparkSession)
     sample = (
@@ -190,11 +193,21 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Att
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     )
+    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_hash", F.xxhash64("text"))
+    sizes = (
+        hashed.join(F.broadcast(sample), "doc_id")  # max_docs short rows
+        .groupBy("doc_id", "label").agg(F.min(F.struct("text_hash", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))).alias("t"))
+        .select("doc_id", "label", "t.*").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    )
+    taken, total = [], 0
+    for r in sizes:
+        if total + r["bytes"] <= max_bytes:
+            taken.append((r["doc_id"], r["text_hash"], r["label"]))
+            total += r["bytes"]
+    chosen = docs.sparkSession.createDataFrame(taken, "doc_id long, text_hash long, label int")
     rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(F.broadcast(sample), "doc_id")  # max_docs short rows
-        .mapInArrow(_encode_sample, "doc_id long, label int, vectors binary").toArrow()
-        .sort_by("doc_id")
+        hashed.join(F.broadcast(chosen), ["doc_id", "text_hash"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
+        .mapInArrow(_encode_sample, "doc_id long, label int, vectors binary").toArrow().sort_by("doc_id")
     )
     bags = [np.frombuffer(v, np.float32).reshape(-1, FEATURES) for v in rows["vectors"].to_pylist()]
     return fit(bags, rows["label"].to_numpy())
