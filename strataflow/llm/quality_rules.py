@@ -1,10 +1,11 @@
 """Quality rules whose thresholds follow the corpus: quantile sketches per language and source.
 
 Every document is measured (:func:`measure`). Each language and source gets a mergeable KLL sketch of
-every ratio; sketches of small groups are replaced by the merged sketch of their language, and
-that by the merged sketch of all. A ratio fails outside Tukey's outer fences of its group: beyond
-``FENCE`` interquartile ranges from the quartiles, where the range is at least a floor. The
-thresholds are joined to the measures; texts are read once and never shuffled.
+every ratio; sketches of a language, and of all, are merged from these. The outer fences of a group of ``n`` documents
+(Tukey: beyond ``FENCE`` interquartile ranges from the quartiles, where the range is at least a floor) weigh
+``n / (n + PRIOR)``, those of its language the rest, which in turn lean on all documents the same way. So a
+threshold moves smoothly from the corpus to the group as the group grows. The thresholds are joined to the measures; texts
+are read once and never shuffled.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 FENCE = 3.0
-MIN_GROUP = 100
+PRIOR = 10  # documents of a group that weigh as much as its language
 
 # Ratio -> least interquartile range, and whether low values fail as well.
 RATIOS = {
@@ -134,11 +135,31 @@ def measure(docs: DataFrame) -> DataFrame:
     )
 
 
-def thresholds(measured: DataFrame, min_group: int = MIN_GROUP, fence: float = FENCE) -> DataFrame:
-    """``lang, source`` and a lowest and highest allowed value of every ratio.
+def _fences(sketched: DataFrame, fence: float, name: str) -> DataFrame:
+    """Sketches replaced by a struct of lowest and highest values; ratios that only fail upwards have no lowest one."""
+    out = []
+    for r, (floor, low) in RATIOS.items():
+        q1, q3 = (F.kll_sketch_get_quantile_double(F.col(r), F.lit(q)) for q in (0.25, 0.75))
+        spread = fence * F.greatest(q3 - q1, F.lit(floor))
+        out.append(F.struct((q1 - spread if low else F.lit(None).cast("double")).alias("low"), (q3 + spread).alias("high")).alias(r))
+    return sketched.withColumn(name, F.when(F.col("n") > 0, F.struct(*out))).drop(*RATIOS)
 
-    Sketches cover the documents that pass the base rule. A group of fewer than ``min_group`` of them
-    takes the merged sketch of its language, or of everything. Null is a language or source of its own.
+
+def _lean(own: str, wider: str, prior: int) -> F.Column:
+    """``own`` fences by ``n / (n + prior)`` and ``wider`` ones by the rest; ``wider`` alone where there is no document."""
+    share = F.col("n") / (F.col("n") + F.lit(prior))
+    mixed = [
+        F.struct(*((share * F.col(f"{own}.{r}.{end}") + (1 - share) * F.col(f"{wider}.{r}.{end}")).alias(end) for end in ("low", "high"))
+                 ).alias(r)
+        for r in RATIOS
+    ]
+    return F.when(F.col(own).isNotNull(), F.struct(*mixed)).otherwise(F.col(wider))
+
+
+def thresholds(measured: DataFrame, prior: int = PRIOR, fence: float = FENCE) -> DataFrame:
+    """``lang, source`` and ``allowed``: a lowest (null: none) and a highest value of every ratio.
+
+    Sketches cover the documents that pass the base rule. Null is a language or source of its own.
     """
     sketches = measured.groupBy("lang", "source").agg(
         F.count_if(~F.col("base_failed")).alias("n"),
@@ -146,37 +167,25 @@ def thresholds(measured: DataFrame, min_group: int = MIN_GROUP, fence: float = F
     )
     groups = materialize(sketches, "quality_sketches")
     merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(r).alias(r) for r in RATIOS)]
-    by_lang = groups.where("n > 0").groupBy("lang").agg(*merged)
-    overall = groups.where("n > 0").agg(*merged)
-
-    def limits(sketched: DataFrame) -> list:
-        out = []
-        for r, (floor, low) in RATIOS.items():
-            q1, q3 = (F.kll_sketch_get_quantile_double(F.col(r), F.lit(q)) for q in (0.25, 0.75))
-            spread = fence * F.greatest(q3 - q1, F.lit(floor))
-            out.append(F.struct((q1 - spread if low else F.lit(float("-inf"))).alias("low"),
-                                (q3 + spread).alias("high")).alias(r))
-        return out
-
-    level = lambda sketched, name: F.when(F.col("n") >= min_group, F.struct(*limits(sketched))).alias(name)
-    own = groups.select("lang", "source", level(groups, "own"))
-    lang = by_lang.select(F.col("lang").alias("l"), level(by_lang, "by_lang"))
-    every = overall.where("n > 0").select(F.struct(*limits(overall)).alias("overall"))
+    overall = _fences(groups.where("n > 0").agg(*merged), fence, "overall").select("overall")
+    by_lang = (
+        _fences(groups.where("n > 0").groupBy("lang").agg(*merged), fence, "own").join(overall, F.lit(True), "left")  # one row
+        .select(F.col("lang").alias("l"), _lean("own", "overall", prior).alias("by_lang"))
+    )
     return (
-        own.join(lang, F.col("lang").eqNullSafe(F.col("l")), "left").drop("l")
-        .join(every, F.lit(True), "left")  # one row
-        .select("lang", "source", F.coalesce("own", "by_lang", "overall").alias("allowed"))
+        _fences(groups, fence, "own").join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left")
+        .select("lang", "source", _lean("own", "by_lang", prior).alias("allowed"))
     )
 
 
-def judge(docs: DataFrame, min_group: int = MIN_GROUP, fence: float = FENCE) -> DataFrame:
+def judge(docs: DataFrame, prior: int = PRIOR, fence: float = FENCE) -> DataFrame:
     """One row per document: its counts and ratios, ``base_failed``, ``kept`` and ``failed_rules``.
 
     Null or empty texts have zero words and fail the base rule. Extra columns are ignored, repeated
     rows are judged alike, and an empty table gives no rows.
     """
     measured = materialize(measure(docs), "quality_measures")
-    bounds = thresholds(measured, min_group, fence).select(
+    bounds = thresholds(measured, prior, fence).select(
         F.col("lang").alias("l"), F.col("source").alias("s"), "allowed")
     same = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
     failed = F.array_compact(F.array(*(
