@@ -7,8 +7,11 @@ share a long prefix lie next to each other. Two passes over these orders find th
 2. Regions, all documents that share ``MIN_DEPTH`` hashes of a tree, are searched completely if they
    still hold several components, whatever their size. Of a small region the pairs of different components
    are confirmed one by one; a larger one is compared where it lies, as a product of its documents'
-   shingle sets, and yields links only. A region too large for one task is cut into blocks
-   that meet each other in pairs; blocks of the region's largest component do not meet each other.
+   shingle sets, and yields links only.
+3. The depth follows the region: one too large for a task is first searched deeper, at ``DEEPER`` hashes, where it falls
+   into parts that fit, and what these link becomes one component before the documents meet at fewer hashes. At
+   ``MIN_DEPTH`` what is still too large is cut into blocks that meet each other in pairs; blocks of the region's largest
+   component do not meet each other. So depth decides the order of work, never which pairs are found.
 
 A pair inside one component needs no comparison, so a group of thousands of copies costs a
 few comparisons per copy, not one per pair. Documents with equal sets are one class and
@@ -37,6 +40,7 @@ PERCENT = 80
 TREES = 24
 MIN_DEPTH = 4  # hashes that documents of one region share
 MAX_DEPTH = 8
+DEEPER = (8, 6)  # depths of heavy regions, tried before MIN_DEPTH
 
 SMALL_REGION = 16  # documents whose pairs are confirmed one by one
 REGION_ITEMS = 2_000_000  # shingles of a region that one task compares; beyond, blocks of half as many
@@ -327,13 +331,17 @@ def _blocks(weight: F.Column, size: F.Column) -> F.Column:
     return F.greatest(F.ceil(weight / (REGION_ITEMS // 2)), F.ceil(size / (REGION_DOCS // 2)), F.lit(1)).cast("int")
 
 
+def _fits() -> F.Column:
+    """One task compares the region as a whole."""
+    return (F.col("weight") <= REGION_ITEMS) & (F.col("size") <= REGION_DOCS)
+
+
 def _in_blocks(large: DataFrame) -> DataFrame:
     """Rows of large regions, once for every pair of blocks that they take part in."""
     names = ["tree", "hi", "own", "first", "second", "doc_id", "component"]
-    fits = (F.col("weight") <= REGION_ITEMS) & (F.col("size") <= REGION_DOCS)
     zero = F.lit(0)
-    whole = large.where(fits).select("tree", "hi", zero.alias("own"), zero.alias("first"), zero.alias("second"), "doc_id", "component")
-    heavy = large.where(~fits)
+    whole = large.where(_fits()).select("tree", "hi", zero.alias("own"), zero.alias("first"), zero.alias("second"), "doc_id", "component")
+    heavy = large.where(~_fits())
     main = (
         heavy.groupBy("tree", "hi", "component").agg(F.sum("n").alias("w"), F.count("*").alias("s"))
         .groupBy("tree", "hi").agg(F.max(F.struct("w", "s", "component")).alias("main"))
@@ -353,12 +361,16 @@ def _in_blocks(large: DataFrame) -> DataFrame:
     return whole.unionByName(dealt.select(*names))
 
 
-def _searched_regions(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components that the regions of ``placed`` show: ``a, b``."""
-    mixed = placed.groupBy("tree", "hi").agg(
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Regions that hold several components, with their documents and shingles."""
+    return placed.groupBy("tree", "hi").agg(
         F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("component").alias("c0"), F.max("component").alias("c1"),
-    ).where("c0 < c1").drop("c0", "c1")  # regions with several components
-    rows = materialize(placed.join(mixed, ["tree", "hi"]), "near_regions")
+    ).where("c0 < c1").drop("c0", "c1")
+
+
+def _searched_regions(placed: DataFrame, sets: DataFrame, percent: int, regions: DataFrame | None = None) -> DataFrame:
+    """Links between components that the ``regions`` (by default all) of ``placed`` show: ``a, b``."""
+    rows = materialize(placed.join(_mixed(placed) if regions is None else regions, ["tree", "hi"]), "near_regions")
     small = (
         rows.where(F.col("size") <= SMALL_REGION).repartition("tree", "hi").sortWithinPartitions("tree", "hi", "doc_id")
         .mapInArrow(_small_regions(percent), "a long, b long").distinct()
@@ -372,14 +384,42 @@ def _searched_regions(placed: DataFrame, sets: DataFrame, percent: int) -> DataF
     return materialize(_confirm(small, sets, percent).union(inside), "near_late_links")
 
 
+def _at_depth(placed: DataFrame, depth: int) -> DataFrame:
+    """Rows whose regions share ``depth`` hashes, more than ``MIN_DEPTH``; two regions under one key would only be compared as well."""
+    prefix = F.shiftrightunsigned("lo", 16 * (MAX_DEPTH - depth))
+    return placed.withColumn("hi", F.xxhash64("hi", prefix))
+
+
+def _merged(linked: DataFrame, links: DataFrame) -> DataFrame:
+    return components(linked.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
+
+
+def _linked_by_regions(planted: DataFrame, sets: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
+    """Components after all regions of ``planted`` are searched, heavy ones from their deepest parts upwards."""
+    def placed() -> DataFrame:
+        return planted.join(linked.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+            "component", F.coalesce("component", "doc_id"))
+
+    regions = materialize(_mixed(placed()), "near_mixed")
+    heavy = regions.where(~_fits()).select("tree", "hi")
+    if not heavy.isEmpty():
+        for depth in DEEPER:
+            inner = _at_depth(placed().join(heavy, ["tree", "hi"], "left_semi"), depth)
+            links = _searched_regions(inner, sets, percent, _mixed(inner).where(_fits()))
+            linked = materialize(_merged(linked, links), "near_components")
+        regions = materialize(_mixed(placed()), "near_mixed")
+    return _merged(linked, _searched_regions(placed(), sets, percent, regions))
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs (doc_id, text)``: ``doc_id, n_shingles, component_id, kept``.
 
     Sets are the distinct shingles of ``width`` lower-cased words (fewer words: the whole
     sequence). Documents are linked if ``100 * shared >= percent * union``; a component's id is
     its smallest ``doc_id``. Null and empty texts are linked with nothing. Rows that repeat a
-    ``doc_id`` count as one document; rows without ``doc_id`` have neither component nor
-    ``kept``. Other columns are ignored.
+    ``doc_id`` and its text count as one document; an id must not stand for different texts (:func:`distinct_documents`
+    numbers the rows itself). Rows without ``doc_id`` have neither component nor ``kept``. An empty table gives no rows,
+    other columns are ignored.
     """
     bound_batches(docs.sparkSession)
     spark = docs.sparkSession
@@ -408,14 +448,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     links = materialize(_confirm(chained.where("near").select("a", "b"), sets, percent), "near_links")
     first = materialize(components(links), "near_components")
 
-    # Only documents with neighbours are planted again, each with its component.
-    placed = (
-        reps.select("doc_id", "n_shingles", "sig").join(partners.hint("merge"), "doc_id", "left_semi").mapInArrow(_plant, FOREST)
-        .join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .withColumn("component", F.coalesce("component", "doc_id"))
-    )
-    late = _searched_regions(placed, sets, percent)
-    linked = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
+    # Only documents with neighbours are planted again.
+    planted = reps.select("doc_id", "n_shingles", "sig").join(partners.hint("merge"), "doc_id", "left_semi").mapInArrow(_plant, FOREST)
+    linked = _linked_by_regions(planted, sets, first, percent)
 
     classes = (
         reps.select("fp", "doc_id").join(linked.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -432,8 +467,21 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 def distinct_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Rows of ``docs`` that represent their component; all columns unchanged.
 
-    Of rows that repeat a ``doc_id`` one stays. Rows without ``doc_id``, and texts without words, stay.
+    Rows are numbered and compared one by one, whatever their ids. Of a component the row with the smallest
+    ``doc_id`` stays (rows without id last). Texts without words stay, but of such rows that repeat a ``doc_id`` one.
     """
-    dropped = near_duplicates(docs, width, percent).where("not kept").select("doc_id").distinct()
-    numbered = docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return numbered.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    row = "_row"
+    while row in {c.lower() for c in docs.columns}:
+        row += "_"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "near_rows")
+    found = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), width, percent)
+    named = found.select(F.col("doc_id").alias("r"), "n_shingles", "component_id").join(
+        numbered.select(F.col(row).alias("r"), F.col("doc_id").cast("long").alias("doc_id")), "r")
+    wordless = F.col("n_shingles") == 0
+    kind = F.when(~wordless, 0).when(F.col("doc_id").isNotNull(), 1).otherwise(2)
+    member = F.when(~wordless, F.col("component_id")).otherwise(F.coalesce("doc_id", "r"))
+    kept = (
+        named.groupBy(kind.alias("kind"), member.alias("member"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "r")).alias("first")).select(F.col("first.r").alias(row))
+    )
+    return numbered.join(kept, row, "left_semi").drop(row)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import glob
 import random
+import re
 import time
+import zlib
 
 import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from cases import BASE, DOCS, SECRET, changed, frame, prose, rows_of
+from cases import BASE, DOCS, SECRET, SHARED, changed, frame, prose, rows_of
 from pyspark.sql import functions as F
 
 from strataflow.llm import (
@@ -58,8 +60,19 @@ def test_decontamination_of_empty_tables(spark, docs, none):
     assert decontaminate.contained_items(docs, items.limit(0)).count() == 0
     kept = decontaminate.clean_documents(docs, items)
     assert kept.columns == docs.columns
-    dirty = {d for d, *_ in brute.contained(DOCS, ITEMS)} - {None}
-    assert rows_of(kept, "doc_id") == sorted([(d,) for d, _ in DOCS if d not in dirty], key=str)
+    dirty = {i for i, *_ in brute.contained([(i, t) for i, (_, t) in enumerate(DOCS)], ITEMS)}
+    assert rows_of(kept, "doc_id", "text") == sorted([row for i, row in enumerate(DOCS) if i not in dirty], key=str)
+    assert decontaminate.clean_documents(none, items).count() == 0
+    assert decontaminate.clean_documents(docs, items.limit(0)).count() == len(DOCS)
+
+
+def test_repeated_items_and_ids_of_different_texts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 3)
+    rows = [(1, prose(30, 1) + " " + SHARED), (1, prose(30, 2)), (None, SHARED), (2, None)]
+    items = spark.createDataFrame([(7, SHARED)] * 5 + [(8, prose(20, 3)), (None, SHARED)], "item_id long, text string")
+    got = decontaminate.contained_items(frame(spark, rows), items)
+    assert rows_of(got, "doc_id", "item_id") == sorted([(1, 7), (None, 7)] * 5 + [(1, None), (None, None)], key=str)
+    assert rows_of(decontaminate.clean_documents(frame(spark, rows), items), "doc_id", "text") == sorted([rows[1], rows[3]], key=str)
 
 
 # 2 ---------------------------------------------------------------------------------------------
@@ -313,10 +326,38 @@ def test_distinct_documents_keep_columns(docs, none):
     kept = near_dedup.distinct_documents(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
-    assert ids.count(40) == 1 and ids.count(None) == 2 and 10 in ids and not {11, 12, 13} & set(ids) and {1, 2, 3, 6} <= set(ids)
+    assert ids.count(40) == 1 and ids.count(None) == 1 and 10 in ids and not {11, 12, 13} & set(ids) and {1, 2, 3, 6} <= set(ids)
     assert near_dedup.distinct_documents(none).count() == 0
 
 
+def test_distinct_documents_judge_every_row_by_its_text(spark):
+    """Ids that stand for different texts, and rows without id."""
+    a, b, c = prose(100, 31), prose(100, 32), prose(100, 33)
+    rows = [(5, a), (5, b), (6, b), (4, b), (None, a), (None, c), (None, c), (9, None), (9, None), (None, ""), (None, "")]
+    kept = near_dedup.distinct_documents(frame(spark, rows))
+    assert rows_of(kept, "doc_id", "text") == sorted(
+        [(5, a), (4, b), (None, c), (9, None), (None, ""), (None, "")], key=str)
+
+
+def test_heavy_regions_are_searched_from_their_deepest_parts(spark, monkeypatch):
+    """Parts that fit a task are linked first, so fewer components meet at four hashes; nothing else is found or lost."""
+    monkeypatch.setattr(near_dedup, "REGION_DOCS", 20)
+    rows = [(d, d, [*range(50 * (d // 10), 50 * (d // 10) + 49), 10_000 + d]) for d in range(100)]
+    planted = _placed(spark, rows, lambda d: (d // 10) << 32 | d % 10 // 5).drop("component")
+    depths = []
+    search = near_dedup._searched_regions
+
+    def watched(placed, sets, percent, regions=None):
+        depths.append(placed.select("component").distinct().count())
+        return search(placed, sets, percent, regions)
+
+    monkeypatch.setattr(near_dedup, "_searched_regions", watched)
+    linked = spark.createDataFrame([], "node long, component long")
+    got = near_dedup._linked_by_regions(planted, _sets_of(spark, rows), linked, 85).collect()
+    assert {r["node"]: r["component"] for r in got} == {d: d // 10 * 10 for d in range(100)}
+    assert depths == [100, 20, 10]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (7, 7)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(edges).collect()}
@@ -343,6 +384,48 @@ def test_thresholds_follow_the_source(spark):
     assert sum(r["kept"] for d, r in got.items() if d < 5000) >= 298 and got[5002]["kept"]
 
 
+def _plain_verdict(measures, prior):
+    """Verdicts by exact quantiles; ratios so close to a fence that a sketch may decide otherwise are left out."""
+    def fences(group, r):
+        values = sorted(m[r] for m in group)
+        q1, q3 = (values[max(-(-len(values) * k // 4) - 1, 0)] for k in (1, 3))
+        spread = 3 * max(q3 - q1, quality_rules.RATIOS[r][0])
+        return np.array([q1 - spread, q3 + spread])
+
+    good = [m for m in measures if not m["base_failed"]]
+    out = {}
+    for m in measures:
+        bad, close = m["base_failed"], False
+        for r, (_, low) in quality_rules.RATIOS.items():
+            lang = [g for g in good if g["lang"] == m["lang"]]
+            own = [g for g in lang if g["source"] == m["source"]]
+            bound = fences(good, r)
+            for group in (lang, own):
+                share = len(group) / (len(group) + prior)
+                bound = share * fences(group, r) + (1 - share) * bound if group else bound
+            bad |= bool(m[r] > bound[1] or low and m[r] < bound[0])
+            close |= min(abs(m[r] - bound)) < 0.02 * max(1, abs(m[r]))
+        out[m["doc_id"]] = None if close else not bad
+    return out
+
+
+def test_verdicts_equal_exact_quantiles(spark):
+    """Groups of 1 to 150 documents: a threshold leans on the language, and that on all, without a size at which it jumps."""
+    rows, d = [], 0
+    for lang, source, size, tail in (("en", "a", 150, ""), ("en", "b", 99, " {#}" * 9), ("en", "c", 101, " {#}" * 9), ("en", None, 1, " ###" * 30),
+                                     ("de", "a", 5, " |" * 40), (None, "a", 30, "")):
+        for i in range(size):
+            rows.append((d, prose(80, d) + tail + (" %%%" * 60 if i % 29 == 28 else ""), lang, source))
+            d += 1
+    rows.append((d, "few words", "xx", "y"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = _plain_verdict([r.asDict() for r in quality_rules.measure(docs).collect()], quality_rules.PRIOR)
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs).collect()}
+    sure = {d for d, kept in want.items() if kept is not None}
+    assert len(sure) > 0.8 * len(rows) and {d: got[d] for d in sure} == {d: want[d] for d in sure}
+    assert {want[d] for d in sure} == {True, False}
+
+
 def test_rules_on_nulls_and_empty_tables(spark, docs, none):
     got = quality_rules.judge(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert len(got) == len(DOCS) and all(r["kept"] in (True, False) for r in got)
@@ -387,7 +470,7 @@ def test_attention_gradient_is_the_slope_of_the_loss():
         return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
 
     model.weights = {k: rng.normal(0, 0.1, v.shape) for k, v in model.weights.items()}
-    slopes = model.gradient(x, at, y)
+    slopes = model.gradient(model.standard(x), at, y)
     for k in ("E", "V", "U", "w", "c"):
         place = tuple(rng.integers(0, s) for s in model.weights[k].shape)
         kept = model.weights[k][place]
@@ -399,6 +482,59 @@ def test_attention_gradient_is_the_slope_of_the_loss():
         assert abs((up - down) / 2e-5 - slopes[k][place]) < 1e-6
 
 
+def _plain_score(model, text):
+    """Encoding and attention of one text by a loop over its passages and bytes."""
+    kind = {**{b: 6 for b in range(256)}, **{b: 0 for b in range(97, 123)}, **{b: 1 for b in range(65, 91)},
+            **{b: 2 for b in range(48, 58)}, **{b: 3 for b in (32, 9, 11, 12, 13)}, 10: 4, 44: 5, 46: 5, 124: 7,
+            **{ord(c): 8 for c in "#*$%&<>@"}, **{b: 9 for b in range(0xC0, 256)}, **{b: 10 for b in range(0x80, 0xC0)}}
+    data = (text or "").encode()
+    found = list(re.finditer(rb"[^\x20\x09-\x0D]+", data))
+    starts = list(range(0, max(len(found), 1), quality_model.PASSAGE))
+    hidden, energy, p = [], [], model.weights
+    for s in starts:
+        own = found[s:s + quality_model.PASSAGE]
+        begin = 0 if s == 0 else own[0].start()
+        after = s + quality_model.PASSAGE
+        part = data[begin:found[after].start() if after < len(found) else len(data)]
+        x = np.zeros(quality_model.FEATURES)
+        for a, b in zip(part, part[1:]):
+            x[kind[a] * 11 + kind[b]] += 1 / (len(part) - 1)
+        if own:
+            w = [m[0].translate(bytes(b + 32 if 65 <= b < 91 else b for b in range(256))) for m in own]
+            sizes = [min(len(v), 64) for v in w]
+            x[121:] = [len(set(w)) / len(w), sum(a == b for a, b in zip(w, w[1:])) / len(w), np.mean(sizes) / 8,
+                       np.std(sizes) / 8, sum(n <= 3 for n in sizes) / len(w)]
+        h = np.tanh(np.clip((x - model.mean) / model.scale, -8, 8) @ p["E"] + p["e"])
+        hidden.append(h)
+        energy.append((np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) @ p["w"])
+    weight = np.exp(energy) / np.exp(energy).sum()
+    return 1 / (1 + np.exp(-(sum(a * h for a, h in zip(weight, hidden)) @ p["c"] + p["b"])))
+
+
+def test_scores_equal_a_loop_over_passages(spark):
+    docs, labels = _labelled(spark, 60)
+    model = quality_model.train(docs, labels)
+    rows = [(i, t) for i, (_, t) in enumerate(DOCS)]
+    got = quality_model.score(frame(spark, rows), model).collect()
+    assert all(abs(r["score"] - _plain_score(model, dict(rows)[r["doc_id"]])) < 1e-4 for r in got)
+
+
+def test_training_takes_whole_documents_within_its_bounds(spark, monkeypatch):
+    docs, labels = _labelled(spark, 60)
+    seen = []
+    monkeypatch.setattr(quality_model, "fit", lambda bags, y: seen.append([len(b) for b in bags]))
+    quality_model.train(docs.union(docs), labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    fit_on = sorted(d for d in texts if zlib.crc32(str(d).encode()) % 5)
+    assert seen[0] == [max(1, -(-len(texts[d].split()) // quality_model.PASSAGE)) for d in fit_on]
+    quality_model.train(docs, labels, max_bytes=5000)
+    quality_model.train(docs, labels, max_docs=7)
+    assert 0 < len(seen[1]) < len(seen[0]) and len(seen[2]) <= 7
+    long = spark.createDataFrame([(1, prose(48 * 40, 1)), (2, prose(48, 2))], "doc_id long, text string")
+    quality_model.train(long, spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int"))
+    assert max(seen[3]) == 40
+
+
 def test_scores_of_awkward_texts(spark, docs, none):
     _, labels = _labelled(spark, 10)
     model = quality_model.train(docs, labels.limit(0))

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
+from cases import DOCS, frame
 from strataflow.llm.queries import ORACLE_SQL, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -126,5 +127,29 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in last.collect()} == set(after)
 
 
+def _with_tables(spark, tmp_path, docs, source=SF_DIR):
+    """A folder with ``docs`` as documents and the other tables of the pipeline."""
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{source}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_pipeline_on_awkward_rows(spark, tmp_path):
+    """Nulls, empty texts, repeated rows and columns with clashing names pass every stage."""
+    source = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").selectExpr("doc_id + 1000 as doc_id", "text")
+    docs = frame(spark, [*DOCS, *(tuple(r) for r in source.collect())])
+    folder, columns = _with_tables(spark, tmp_path, docs), docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder).cache()
+        assert docs.columns == columns, name
+    assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    folder = _with_tables(spark, tmp_path, spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0))
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
 def test_pipeline_runs_all_stages(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 100
