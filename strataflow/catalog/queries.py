@@ -201,14 +201,19 @@ def schema_enforce(spark, d):
 
 
 def _raw_history(spark: SparkSession, d: str) -> DataFrame:
-    """Two ingests: pickups before 1999, then the rest plus corrected fares of earlier green trips."""
+    """Two ingests: pickups before 1999, then the rest plus corrected fares of earlier green trips.
+
+    One pass over the trips: an earlier green trip becomes two rows.
+    """
     rows = tt.trips(spark, d)
     early = F.col("pickup") < F.lit("1999-01-01").cast("timestamp")
-    first = rows.where(early).withColumn("_ingested_ts", F.lit("2023-01-01 00:00:00").cast("timestamp"))
-    second = rows.where(~early | (F.col("taxi_type") == "green")).withColumn(
-        "fareAmount", F.when(early, F.col("fareAmount") + 1).otherwise(F.col("fareAmount"))
-    ).withColumn("_ingested_ts", F.lit("2023-02-01 00:00:00").cast("timestamp"))
-    return first.unionByName(second)
+    late = F.coalesce(~early | (F.col("taxi_type") == "green"), F.lit(False))
+    ingest = lambda day, fare: F.struct(F.lit(day).cast("timestamp").alias("ts"), fare.alias("fare"))
+    first = ingest("2023-01-01 00:00:00", F.col("fareAmount"))
+    second = ingest("2023-02-01 00:00:00", F.when(early, F.col("fareAmount") + 1).otherwise(F.col("fareAmount")))
+    ingests = F.array_compact(F.array(F.when(early, first), F.when(late, second)))
+    return rows.withColumn("_ingest", F.explode(ingests)).withColumns(
+        {"fareAmount": F.col("_ingest.fare"), "_ingested_ts": F.col("_ingest.ts")}).drop("_ingest")
 
 
 _HISTORY = TripBinding("pickup", "dropoff", tag_col="taxi_type")

@@ -51,19 +51,21 @@ def rejects(df: DataFrame, b: TripBinding) -> DataFrame:
     return df.withColumn("reasons", reasons).where(F.size("reasons") > 0)
 
 
-def surrogate_key(b: TripBinding) -> Column:
-    """SHA-256 over vendor, pickup time (as UTC text) and pickup location."""
-    return F.sha2(
-        F.concat_ws(
-            "|",
-            F.coalesce(F.col(b.vendor), F.lit("")),
-            F.col(b.pickup).cast("string"),
-            F.coalesce(F.col(b.pu_location), F.lit("")),
-        ),
-        256,
+def key_text(b: TripBinding) -> Column:
+    """Vendor, pickup time (as UTC text) and pickup location in one string: equal where the surrogate keys are."""
+    return F.concat_ws(
+        "|",
+        F.coalesce(F.col(b.vendor), F.lit("")),
+        F.col(b.pickup).cast("string"),
+        F.coalesce(F.col(b.pu_location), F.lit("")),
     )
 
 
+def surrogate_key(b: TripBinding) -> Column:
+    """SHA-256 over :func:`key_text`."""
+    return F.sha2(key_text(b), 256)
+
+
 def dedup_latest(
     df: DataFrame, keys: Sequence[str], tie_break: Sequence[str], ingested: str | None = None
 ) -> DataFrame:
@@ -91,14 +93,17 @@ def _ingested(df: DataFrame, name: str | None) -> str | None:
 def silver_trips(df: DataFrame, b: TripBinding, run_ts: str | None = None) -> DataFrame:
     """Quality filter → key → dedup → derived columns → contract columns, by name."""
     tag = F.col(b.tag_col) if b.tag_col else F.lit(b.tag)
-    keyed = filter_quality(df, b).select(
-        "*", surrogate_key(b).alias("trip_id"), tag.alias("_tag")
-    )
+    # Rows are dealt with the key's text and what the result needs; the hash, twice as long and not compressible, is
+    # formed of the rows that stay.
+    keyed = filter_quality(df, b)
+    ingested = _ingested(df, b.ingested)
+    needed = dict.fromkeys([b.pickup, b.pu_location, *b.tie_break, *([ingested] if ingested else [])])
+    keyed = keyed.select(*needed, key_text(b).alias("_key"), tag.alias("_tag"))
     # The key determines the pickup time; naming it lets filters on dates pass the window.
-    keys = ["trip_id", "_tag", b.pickup]
-    unique = dedup_latest(keyed, keys, b.tie_break, _ingested(df, b.ingested))
+    keys = ["_key", "_tag", b.pickup]
+    unique = dedup_latest(keyed, keys, b.tie_break, ingested)
     return unique.select(
-        F.col("trip_id"),
+        F.sha2("_key", 256).alias("trip_id"),
         F.col(b.pickup).alias("pickup_ts"),
         F.col(b.dropoff).alias("dropoff_ts"),
         minutes_between(b.pickup, b.dropoff).alias("trip_duration_min"),

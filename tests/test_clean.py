@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow.catalog import queries
 from strataflow.operators import clean
 from strataflow.sources.bindings import WEATHER, SourceConfig, trip_binding
 from strataflow.sources.contracts import BRONZE_YELLOW, SILVER_TRIPS, contract
@@ -130,3 +131,19 @@ def test_bindings():
     assert len(BRONZE_YELLOW.fields) == 22
     with pytest.raises(ValueError):
         SourceConfig("x", "p", format="avro")
+
+
+def test_the_hashed_key_is_not_shuffled(spark):
+    plan = clean.silver_trips(raw(spark, row()), YELLOW)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("sha2(") < plan.index("Exchange") and "sha2(" not in plan[plan.index("Exchange"):]
+
+
+def test_all_ingests_come_from_one_pass(spark, tmp_path):
+    spark.sql("""select 1L l_orderkey, 1L l_partkey, 1L l_suppkey, 1 l_linenumber, 2D l_quantity, 10D l_extendedprice, 0D l_tax,
+        'R' l_returnflag, x l_linestatus, timestamp'1998-02-01' l_shipdate from values ('F'), ('O') t(x)""").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    spark.sql("select 1L o_orderkey, timestamp'1998-01-01' o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    history = queries._raw_history(spark, str(tmp_path))
+    got = sorted((r["taxi_type"], r["fareAmount"], r["_ingested_ts"].month) for r in history.collect())
+    assert got == [("green", 10.0, 1), ("green", 11.0, 2), ("yellow", 10.0, 1)]
+    assert history._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
