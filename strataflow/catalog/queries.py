@@ -272,16 +272,16 @@ def bronze_append(spark, d):
 
 
 def _upserted(spark, target, source, keys, date_col, schema, date_from, split_by=()) -> DataFrame:
-    """Load the target, upsert the source twice, read the table back."""
+    """Load the target, upsert the source twice, read the table back; both are rows of a written table."""
     path = new_path(spark, "upserted")
     for rows in (target, source, source):
-        sinks.write_upsert(path, rows, keys, date_col, date_from=date_from, split_by=split_by)
+        sinks.write_upsert(path, rows, keys, date_col, date_from=date_from, split_by=split_by, source_is_written=True)
     return spark.read.schema(sinks.monthly(schema)).parquet(path).select(schema.names)
 
 
 @query
 def silver_upsert(spark, d):
-    trips = materialize(trips_silver(spark, d), "silver_trips")
+    trips = materialize(trips_silver(spark, d), "silver_trips", compression=sinks.COMPRESSION)
     target = trips.where("pickup_date < '1999-01-01'")
     source = trips.where("pickup_date >= '1998-07-01'").withColumn("total_amount", F.col("total_amount") + 1)
     return _shown(_upserted(
@@ -291,7 +291,7 @@ def silver_upsert(spark, d):
 @query
 def silver_upsert_shared_key(spark, d):
     """Yellow then green into one table on the trip id alone: equal ids are overwritten."""
-    trips = materialize(trips_silver(spark, d), "silver_trips")
+    trips = materialize(trips_silver(spark, d), "silver_trips", compression=sinks.COMPRESSION)
     return _shown(_upserted(
         spark, trips.where("taxi_type = 'yellow'"), trips.where("taxi_type = 'green'"),
         ["trip_id"], "pickup_date", contracts.SILVER_TRIPS, ["trip_id"]))

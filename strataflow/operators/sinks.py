@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,9 @@ from strataflow.storage import is_missing_path, materialize
 # days are found inside by the files' min/max statistics.
 MONTH = "_month"
 
+# Hashed keys are text over 16 letters: a codec without entropy coding leaves them as long as they are.
+COMPRESSION = "zstd"
+
 
 class MergeConflict(RuntimeError):
     """Several source rows share one merge key."""
@@ -95,6 +98,10 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
+    """Hashes of the keys are counted; the keys themselves only if two rows share a hash."""
+    hashed = source.select(F.xxhash64(*keys).alias("key"))
+    if duplicate_keys(hashed, ["key"]).first() is None:
+        return
     conflict = duplicate_keys(source, keys).first()
     if conflict is not None:
         raise MergeConflict(f"{conflict['n_rows']} source rows for key {[conflict[k] for k in keys]}")
@@ -125,20 +132,35 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -
     return ranged.sortWithinPartitions(*by)
 
 
-def _replace_months(df: DataFrame, path: str, date_col: str, cluster_by: Sequence[str], split_by: Sequence[str] = ()) -> None:
-    """Overwrite the months ``df`` has rows of; inside, rows are clustered by date and key."""
+def _layout(date_col: str, keys: Sequence[str], split_by: Sequence[str]) -> list[str]:
+    """Columns that a table's rows are ranged and sorted by."""
+    return [*split_by, date_col, *(c for c in keys if c != date_col and c not in split_by)]
+
+
+def _replace_months(df: DataFrame, path: str, date_col: str, split_by: Sequence[str] = ()) -> None:
+    """Overwrite the months ``df`` has rows of; its rows are clustered by date and key."""
     message = F.lit(f"row without a value in {', '.join(split_by)}")
     told = {c: F.coalesce(F.col(c), F.raise_error(message).cast(df.schema[c].dataType)) for c in split_by}
     (
-        clustered(df, [*split_by, date_col, *(c for c in cluster_by if c != date_col and c not in split_by)])
-        .withColumns({**told, MONTH: month_of(date_col)})
+        df.withColumns({**told, MONTH: month_of(date_col)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*split_by, MONTH)
-        .parquet(path)
+        .parquet(path, compression=COMPRESSION)
     )
 
 
+def merged(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """:func:`upsert` of rows whose key is ``columns``, clustered by them.
+
+    The ranges bring rows of one key together, so the rows are dealt once for both.
+    """
+    both = source.withColumn("_new", F.lit(True)).unionByName(target.withColumn("_new", F.lit(False)))
+    replaced = F.max("_new").over(Window.partitionBy(*columns))
+    kept = clustered(both, columns).withColumn("_replaced", replaced).where(F.col("_new") | ~F.col("_replaced"))
+    return kept.drop("_new", "_replaced")
+
+
 def replace_months(df: DataFrame, path: str) -> None:
     """Overwrite the months (a column of ``df``) that ``df`` has rows of; other months stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
@@ -154,7 +176,8 @@ def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: str,
-                 source_is_unique: bool = False, date_from: Sequence[str] = (), split_by: Sequence[str] = ()) -> int:
+                 source_is_unique: bool = False, date_from: Sequence[str] = (), split_by: Sequence[str] = (),
+                 source_is_written: bool = False) -> int:
     """Upsert into a table split by month of ``date_col``; only touched months are rewritten.
 
     A match can only lie in the same month, so ``date_col`` must be one of the keys, or be derived from
@@ -163,31 +186,34 @@ def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: st
     The source is written to the shared folder before the target changes; its directories select the target's
     by a join that prunes, so nothing depends on their number. The new ones are built beside the old ones and
     take their place when they are complete. ``source_is_unique`` skips the duplicate-key check for a
-    source just deduplicated on the keys. Returns the number of source rows.
+    source just deduplicated on the keys, ``source_is_written`` another copy of rows that lie in written files
+    outside the table already. Returns the number of source rows.
     """
     if date_col not in keys and not (date_from and set(date_from) <= set(keys)):
         raise ValueError(f"{date_col!r} is neither a key nor derived from one: a key whose date changes would be kept twice")
     if not set(split_by) <= set(keys):
         raise ValueError(f"{list(split_by)} must be keys: a match may lie under another value otherwise")
     spark = source.sparkSession
-    staged = materialize(source, "upsert_source")
+    staged = source if source_is_written else materialize(source, "upsert_source", compression=COMPRESSION)
     if not source_is_unique:
         check_unique(staged, keys)
 
+    columns = _layout(date_col, keys, split_by)
     target = _read_if_exists(spark, path, monthly(staged.schema))
     if target is None:
-        _replace_months(staged, path, date_col, keys, split_by)
+        _replace_months(clustered(staged, columns), path, date_col, split_by)
     else:
         touched = touched_rows(target, staged, date_col, split_by)
-        _replace_months(upsert(touched.select(staged.columns), staged, keys), path, date_col, keys, split_by)
+        _replace_months(merged(touched.select(staged.columns), staged, columns), path, date_col, split_by)
     return written_rows(staged)
 
 
 def touched_rows(target: DataFrame, source: DataFrame, date_col: str, split_by: Sequence[str] = ()) -> DataFrame:
     """Rows of the directories of ``target`` that ``source`` has rows for."""
-    # The comparison leaves out nothing; it lets the planner prune directories by this side.
+    # The comparison leaves out nothing; it lets the planner prune directories by this side. A row per directory of the
+    # table at most is sent to every task, so the target's rows are not dealt by month.
     wanted = source.select(*split_by, month_of(date_col).alias(MONTH)).distinct().where(F.col(MONTH) >= "")
-    return target.join(wanted, [*split_by, MONTH], "left_semi").drop(MONTH)
+    return target.join(F.broadcast(wanted), [*split_by, MONTH], "left_semi").drop(MONTH)
 
 
 def replace_table(path: str, df: DataFrame, column: str = "summary_date",
@@ -230,7 +256,7 @@ def replace_dates(
         new = materialize(kept.unionByName(staged), "replaced_months")
     filled = _values(new.select(month_of(column).alias(MONTH)), MONTH)
     if filled:
-        _replace_months(new, path, column, cluster_by)
+        _replace_months(clustered(new, _layout(column, cluster_by, ())), path, column)
     # Dynamic overwrite leaves a month without rows as it was: write zero rows over it.
     for month in sorted(present - filled):
         new.where("false").write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")

@@ -166,3 +166,38 @@ def test_split_columns_are_keys_and_never_null(spark):
     got = spark.read.schema(sinks.monthly(frame(spark).schema)).parquet(path).select("kind", "id", "day", "v")
     assert sorted((tuple(r) for r in got.collect()), key=str) == [
         ("a", "1", "2024-01-01", 2), ("b", "1", "2024-01-01", 3), ("b", "2", None, 4)]
+
+
+def test_an_upsert_deals_its_rows_once(spark):
+    path, rows = new_path(spark, "upsert"), [("a", str(i), f"2023-0{1 + i % 3}-05", 1) for i in range(60)]
+    sinks.write_upsert(path, frame(spark, *rows), ["id"], "day", date_from=["id"])
+    target = spark.read.schema(sinks.monthly(frame(spark).schema)).parquet(path)
+    source = frame(spark, ("a", "1", "2023-02-05", 2), ("a", None, None, 3), ("a", "99", "2023-02-07", 4))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        touched = sinks.touched_rows(target, source, "day")
+        both = sinks.merged(touched.select(source.columns), source, ["day", "id"])
+        plan = both._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange rangepartitioning") == 1 and "SortMergeJoin" not in plan
+    got = {r["id"]: (r["day"], r["v"]) for r in both.collect()}
+    assert len(got) == 22 and got["1"] == ("2023-02-05", 2) and got[None] == (None, 3) and got["4"] == ("2023-02-05", 1)
+
+
+def test_a_written_source_is_not_copied(spark, tmp_path, monkeypatch):
+    written = str(tmp_path / "source")
+    frame(spark, ("a", "1", "2023-01-01", 1), ("a", "2", "2023-01-01", 1)).write.parquet(written)
+    source = spark.read.schema(frame(spark).schema).parquet(written)
+    monkeypatch.setattr(sinks, "materialize", lambda *a, **kw: pytest.fail("copied"))
+    path = new_path(spark, "upsert")
+    for _ in range(2):
+        assert sinks.write_upsert(path, source, ["id"], "day", date_from=["id"], source_is_written=True) == 2
+    assert len(table(spark, path)) == 2
+
+
+def test_keys_with_nulls_in_other_places_are_no_conflict(spark):
+    rows = frame(spark, (None, "a", "d", 1), ("a", None, "d", 1))
+    sinks.check_unique(rows, ["kind", "id"])
+    with pytest.raises(sinks.MergeConflict):
+        sinks.check_unique(rows.unionByName(rows), ["kind", "id"])
