@@ -20,7 +20,7 @@ from strataflow.session import configure
 from strataflow.sources import contracts, testtables as tt
 from strataflow.sources.bindings import SourceConfig, TripBinding, WeatherBinding
 from strataflow.sources.reading import in_months, read_raw, read_source, slice_source, with_audit
-from strataflow.storage import materialize, new_path
+from strataflow.storage import materialize, new_path, shuffles_dropped
 from strataflow.streaming import alerts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,8 +61,14 @@ def _shown(df: DataFrame, digits: int = 6) -> DataFrame:
 # --- cleansed and aggregated layers, in memory ---------------------------------------
 
 
-def trips_silver(spark: SparkSession, d: str) -> DataFrame:
-    return clean.silver_trips(tt.trips(spark, d), tt.ADAPTED_TRIPS, tt.RUN_TS)
+def trips_silver(spark: SparkSession, d: str, ranged: bool = False) -> DataFrame:
+    return clean.silver_trips(tt.trips(spark, d), tt.ADAPTED_TRIPS, tt.RUN_TS, ranged)
+
+
+def _written_trips(spark: SparkSession, d: str) -> DataFrame:
+    """Cleansed trips in files that are ranged by pickup."""
+    with shuffles_dropped(spark):
+        return materialize(trips_silver(spark, d, ranged=True), "silver_trips", compression=sinks.COMPRESSION)
 
 
 def weather_silver(spark: SparkSession, d: str) -> DataFrame:
@@ -272,10 +278,11 @@ def bronze_append(spark, d):
 
 
 def _upserted(spark, target, source, keys, date_col, schema, date_from, split_by=()) -> DataFrame:
-    """Load the target, upsert the source twice, read the table back; both are rows of a written table."""
+    """Load the target, upsert the source twice, read the table back; both are rows of a written table ranged by date."""
     path = new_path(spark, "upserted")
     for rows in (target, source, source):
-        sinks.write_upsert(path, rows, keys, date_col, date_from=date_from, split_by=split_by, source_is_written=True)
+        sinks.write_upsert(path, rows, keys, date_col, date_from=date_from, split_by=split_by,
+                           source_is_written=True, source_is_clustered=True)
     return spark.read.schema(sinks.monthly(schema)).parquet(path).select(schema.names)
 
 
@@ -291,7 +298,7 @@ def silver_upsert(spark, d):
 @query
 def silver_upsert_shared_key(spark, d):
     """Yellow then green into one table on the trip id alone: equal ids are overwritten."""
-    trips = materialize(trips_silver(spark, d), "silver_trips", compression=sinks.COMPRESSION)
+    trips = _written_trips(spark, d)
     return _shown(_upserted(
         spark, trips.where("taxi_type = 'yellow'"), trips.where("taxi_type = 'green'"),
         ["trip_id"], "pickup_date", contracts.SILVER_TRIPS, ["trip_id"]))
@@ -299,7 +306,7 @@ def silver_upsert_shared_key(spark, d):
 
 @query
 def weather_upsert(spark, d):
-    weather = materialize(weather_silver(spark, d), "silver_weather")
+    weather = materialize(sinks.clustered(weather_silver(spark, d), ["weather_date", "station_name", "weather_ts"]), "silver_weather")
     target = weather.where("weather_date < '1999-01-01'")
     source = weather.where("weather_date >= '1998-07-01'").withColumn("temperature_c", F.col("temperature_c") + 1)
     return _shown(_upserted(

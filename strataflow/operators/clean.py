@@ -90,8 +90,12 @@ def _ingested(df: DataFrame, name: str | None) -> str | None:
     return name if name in df.columns else None
 
 
-def silver_trips(df: DataFrame, b: TripBinding, run_ts: str | None = None) -> DataFrame:
-    """Quality filter → key → dedup → derived columns → contract columns, by name."""
+def silver_trips(df: DataFrame, b: TripBinding, run_ts: str | None = None, ranged: bool = False) -> DataFrame:
+    """Quality filter → key → dedup → derived columns → contract columns, by name.
+
+    ``ranged`` deals the rows for deduplication by ranges of pickup time and key instead of hashes, so the result is
+    clustered without another shuffle; rows of one key are then not limited before they are dealt.
+    """
     tag = F.col(b.tag_col) if b.tag_col else F.lit(b.tag)
     # Rows are dealt with the key's text and what the result needs; the hash, twice as long and not compressible, is
     # formed of the rows that stay.
@@ -100,7 +104,8 @@ def silver_trips(df: DataFrame, b: TripBinding, run_ts: str | None = None) -> Da
     needed = dict.fromkeys([b.pickup, b.pu_location, *b.tie_break, *([ingested] if ingested else [])])
     keyed = keyed.select(*needed, key_text(b).alias("_key"), tag.alias("_tag"))
     # The key determines the pickup time; naming it lets filters on dates pass the window.
-    keys = ["_key", "_tag", b.pickup]
+    keys = [b.pickup, "_key", "_tag"]
+    keyed = keyed.repartitionByRange(*keys) if ranged else keyed
     unique = dedup_latest(keyed, keys, b.tie_break, ingested)
     return unique.select(
         F.sha2("_key", 256).alias("trip_id"),

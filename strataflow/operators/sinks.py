@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.sources.reading import EVENT_MONTH, NO_MONTH, VALID, IngestionError
-from strataflow.storage import is_missing_path, materialize
+from strataflow.storage import is_missing_path, materialize, shuffles_dropped
 
 # Directory column of upserted tables. Months match the slices a run ingests and stay few;
 # days are found inside by the files' min/max statistics.
 MONTH = "_month"
 
+# Rows of a file whose replacement one bitmap tells; Spark's bitmaps have 4,096 bytes.
+GROUP = 32_768
+
 # Hashed keys are text over 16 letters: a codec without entropy coding leaves them as long as they are.
 COMPRESSION = "zstd"
 
@@ -177,7 +180,7 @@ def _read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: str,
                  source_is_unique: bool = False, date_from: Sequence[str] = (), split_by: Sequence[str] = (),
-                 source_is_written: bool = False) -> int:
+                 source_is_written: bool = False, source_is_clustered: bool = False) -> int:
     """Upsert into a table split by month of ``date_col``; only touched months are rewritten.
 
     A match can only lie in the same month, so ``date_col`` must be one of the keys, or be derived from
@@ -187,27 +190,61 @@ def write_upsert(path: str, source: DataFrame, keys: Sequence[str], date_col: st
     by a join that prunes, so nothing depends on their number. The new ones are built beside the old ones and
     take their place when they are complete. ``source_is_unique`` skips the duplicate-key check for a
     source just deduplicated on the keys, ``source_is_written`` another copy of rows that lie in written files
-    outside the table already. Returns the number of source rows.
+    outside the table already, ``source_is_clustered`` their range shuffle, if these files are ranged by date.
+    Target rows are not shuffled: those that stay are written again as their files hold them, and the source's beside
+    them. Returns the number of source rows.
     """
     if date_col not in keys and not (date_from and set(date_from) <= set(keys)):
         raise ValueError(f"{date_col!r} is neither a key nor derived from one: a key whose date changes would be kept twice")
     if not set(split_by) <= set(keys):
         raise ValueError(f"{list(split_by)} must be keys: a match may lie under another value otherwise")
     spark = source.sparkSession
-    staged = source if source_is_written else materialize(source, "upsert_source", compression=COMPRESSION)
-    if not source_is_unique:
-        check_unique(staged, keys)
-
     columns = _layout(date_col, keys, split_by)
-    target = _read_if_exists(spark, path, monthly(staged.schema))
-    if target is None:
-        _replace_months(clustered(staged, columns), path, date_col, split_by)
-    else:
-        touched = touched_rows(target, staged, date_col, split_by)
-        _replace_months(merged(touched.select(staged.columns), staged, columns), path, date_col, split_by)
+    with shuffles_dropped(spark):
+        staged = source if source_is_written else materialize(
+            clustered(source, columns), "upsert_source", compression=COMPRESSION)
+        if not source_is_unique:
+            check_unique(staged, keys)
+        new = clustered(staged, columns) if source_is_written and not source_is_clustered else staged
+        target = _read_if_exists(spark, path, monthly(staged.schema))
+        if target is not None:
+            touched = touched_rows(with_places(target), staged, date_col, split_by)
+            new = kept_rows(touched, staged, keys).unionByName(new)
+        _replace_months(new, path, date_col, split_by)
     return written_rows(staged)
 
 
+def with_places(target: DataFrame) -> DataFrame:
+    """A scan of files with the place of every row: its file, as a hash, and its number there."""
+    return target.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def kept_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` (:func:`with_places`) without a source row of the same key, in the order of their files.
+
+    Keys are dealt, as two hashes, and the places of the rows; the rows themselves stay where they are read. Replaced ones
+    are told to every task by one bit per row of their files, in groups of :data:`GROUP` rows. Keys compare null-safe.
+    """
+    hashes = {f"_h{i}": _hash(keys, i) for i in range(2)}
+    replaced = target.select(*_named(hashes), "_file", "_row").join(source.select(*_named(hashes)), list(hashes), "left_semi")
+    group, bit = F.expr(f"_row div {GROUP}"), F.col("_row") % GROUP
+    bits = replaced.groupBy("_file", group.alias("_group")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    told = target.withColumn("_group", group).join(F.broadcast(bits), ["_file", "_group"], "left")
+    octet = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_replaced = F.expr("shiftright(_octet, cast(_row % 8 as int)) & 1") == 1
+    kept = told.withColumn("_octet", octet).where(F.col("_octet").isNull() | ~is_replaced)
+    return kept.drop("_file", "_row", "_group", "_bits", "_octet")
+
+
+def _hash(keys: Sequence[str], seed: int) -> Column:
+    """Nulls are told apart: a hash passes over them."""
+    return F.xxhash64(F.lit(seed), *(c for k in keys for c in (F.col(k).isNull(), F.col(k))))
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
+
+
 def touched_rows(target: DataFrame, source: DataFrame, date_col: str, split_by: Sequence[str] = ()) -> DataFrame:
     """Rows of the directories of ``target`` that ``source`` has rows for."""
     # The comparison leaves out nothing; it lets the planner prune directories by this side. A row per directory of the

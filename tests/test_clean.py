@@ -147,3 +147,11 @@ def test_all_ingests_come_from_one_pass(spark, tmp_path):
     got = sorted((r["taxi_type"], r["fareAmount"], r["_ingested_ts"].month) for r in history.collect())
     assert got == [("green", 10.0, 1), ("green", 11.0, 2), ("yellow", 10.0, 1)]
     assert history._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+def test_ranged_trips_are_the_same_rows_clustered_by_one_shuffle(spark):
+    rows = raw(spark, *(row(fare=float(i % 5), vendor=str(i % 3)) for i in range(20)))
+    plain, ranged = (clean.silver_trips(rows, YELLOW, "2024-01-01 00:00:00", ranged) for ranged in (False, True))
+    assert sorted(map(tuple, ranged.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan

@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from strataflow import storage
 from strataflow.operators import sinks
 from strataflow.sources.reading import IngestionError, read_layer, read_optional
 from strataflow.storage import new_path
@@ -201,3 +202,39 @@ def test_keys_with_nulls_in_other_places_are_no_conflict(spark):
     sinks.check_unique(rows, ["kind", "id"])
     with pytest.raises(sinks.MergeConflict):
         sinks.check_unique(rows.unionByName(rows), ["kind", "id"])
+
+
+def test_an_upsert_deals_keys_and_leaves_the_rows_of_the_target_where_they_are(spark, monkeypatch):
+    """Rows that stay are read and written; a join of hashes and bits of row numbers say which ones those are."""
+    monkeypatch.setattr(sinks, "GROUP", 64)  # several groups of rows in a file
+    path = new_path(spark, "upsert")
+    rows = spark.range(1000).select(
+        F.when(F.col("id") % 7 > 0, "a").alias("kind"), F.when(F.col("id") != 5, F.col("id").cast("string")).alias("id"),
+        F.concat(F.lit("2023-0"), (1 + F.col("id") % 3).cast("string"), F.lit("-05")).alias("day"), F.lit(1).alias("v"))
+    sinks.write_upsert(path, rows, ["kind", "id"], "day", date_from=["id"])
+    new = rows.where("coalesce(id, 5) % 4 = 1").withColumn("v", F.lit(2)).unionByName(frame(spark, (None, "3000", "2023-01-05", 2)))
+    plans, replace_months = [], sinks._replace_months
+    monkeypatch.setattr(sinks, "_replace_months", lambda df, *a: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or replace_months(df, *a))
+    for _ in range(2):
+        assert sinks.write_upsert(path, new, ["kind", "id"], "day", date_from=["id"]) == 251
+    changed = {(r["kind"], r["id"]) for r in new.collect()}
+    want = [(r["kind"], r["id"], r["day"], 2 if (r["kind"], r["id"]) in changed else 1) for r in rows.collect()]
+    assert table(spark, path) == sorted([*want, (None, "3000", "2023-01-05", 2)], key=str)
+    for plan in plans:
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+        assert not any("day#" in line for line in dealt) and "rangepartitioning" not in plan
+
+
+def test_keys_with_nulls_in_other_places_replace_nothing(spark):
+    path = new_path(spark, "upsert")
+    sinks.write_upsert(path, frame(spark, (None, "a", "2023-01-05", 1)), ["kind", "id"], "day", date_from=["id"])
+    sinks.write_upsert(path, frame(spark, ("a", None, "2023-01-05", 2)), ["kind", "id"], "day", date_from=["id"])
+    assert table(spark, path) == [("a", None, "2023-01-05", 2), (None, "a", "2023-01-05", 1)]
+
+
+def test_shuffle_files_of_a_write_go_with_it(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with storage.shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name) == "false"
