@@ -105,7 +105,7 @@ def silver_trips(df: DataFrame, b: TripBinding, run_ts: str | None = None, range
     keyed = keyed.select(*needed, key_text(b).alias("_key"), tag.alias("_tag"))
     # The key determines the pickup time; naming it lets filters on dates pass the window.
     keys = [b.pickup, "_key", "_tag"]
-    keyed = keyed.repartitionByRange(*keys) if ranged else keyed
+    keyed = keyed.repartitionByRange(b.pickup, "_key") if ranged else keyed
     unique = dedup_latest(keyed, keys, b.tie_break, ingested)
     return unique.select(
         F.sha2("_key", 256).alias("trip_id"),
